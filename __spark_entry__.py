@@ -193,10 +193,10 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages with a table have been ingested before."""
+    """The pages of one kind of host have been ingested before."""
     pages = parquet_tables(spark, sf_dir, "pages")["pages"]
     listing = pages.select(c("url").alias("file_name"))
-    manifest = pages.where(c("html").contains("<table")).select(c("url").alias("file_name"))
+    manifest = pages.where(c("url").contains(".com/")).select(c("url").alias("file_name"))
     return unseen_files(listing, manifest)
 
 
@@ -304,13 +304,12 @@ def match_document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(opening, no_overs, late)
     )
     spelled = F.when(k % 7 != 0, c("season"))
-    text = F.when(k % 2 == 0, document(year)).otherwise(document(spelled))
-    return views.raw_matches(spark, sf_dir).select(
-        "match_id",
-        F.when(k % 11 == 0, F.substring(text, F.lit(1), F.length(text) - 5))
-        .otherwise(text)
-        .alias("document"),
-    )
+    season = F.coalesce(F.when(k % 2 == 0, year.cast("string")), spelled)
+    texts = views.raw_matches(spark, sf_dir).select("match_id", document(season).alias("document"))
+    # Even matches give the season as a JSON number; every eleventh document is cut short.
+    text = F.regexp_replace("document", r'"season":"(\d{4})"', '"season":$1')
+    kept = F.length("document") - F.when(k % 11 == 0, 10).otherwise(0)
+    return texts.select("match_id", F.substring(text, F.lit(1), kept).alias("document"))
 
 
 def _overs_type() -> str:
@@ -429,7 +428,8 @@ def stream_daily_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(oracle.LEXICON.items()), "token STRING, valence DOUBLE")
+    rows = spark.createDataFrame(list(oracle.LEXICON.items()), "token STRING, valence DOUBLE")
+    return stored(rows.coalesce(1), "lexicon")
 
 
 def text_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -615,7 +615,7 @@ SQL: dict[str, str] = {
         FROM log GROUP BY pipeline_name, run_type""",
     "unseen_files": """
         SELECT url AS file_name FROM pages
-        WHERE url NOT IN (SELECT url FROM pages WHERE html LIKE '%<table%')""",
+        WHERE url NOT IN (SELECT url FROM pages WHERE url LIKE '%.com/%')""",
     "match_headers": MATCH_HEADERS,
     "document_balls": DOCUMENT_BALLS,
     "rejected_documents": REJECTED_DOCS,

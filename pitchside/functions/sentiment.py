@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pitchside.functions.columns import joined_text, stripped
 
 SPACE = r"[\s\x0B\p{Z}]+"
-OUTER_PUNCTUATION = r"^\p{Punct}+|\p{Punct}+$"
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 SCORE_COLUMNS = [
     "sentiment_compound",
@@ -73,14 +73,10 @@ def sentiment_label(compound: Column, pos: float = 0.05, neg: float = -0.05) ->
     )
 
 
-def _words(text: Column) -> Column:
-    """Words without outer punctuation; tokens that would shrink to two characters stay whole."""
-
-    def bare(token: Column) -> Column:
-        inner = F.regexp_replace(token, OUTER_PUNCTUATION, "")
-        return F.when(F.length(inner) <= 2, token).otherwise(inner)
-
-    return F.filter(F.transform(F.split(text, SPACE), bare), lambda w: w != "")
+def _bare(token: Column) -> Column:
+    """Token without outer punctuation, or as it is when at most two characters would remain."""
+    inner = F.btrim(token, F.lit(PUNCTUATION))
+    return F.when(F.length(inner) <= 2, token).otherwise(inner)
 
 
 def _is_upper(word: Column) -> Column:
@@ -141,6 +137,14 @@ def _in_context(rules: Rules) -> Column:
     return F.when(is_modifier, 0.0).otherwise(value * contrast)
 
 
+def _with_neighbours(words: Column):
+    def slot(word: Column, at: Column) -> Column:
+        before = [F.get(words, at - k).alias(f"before{k}") for k in (1, 2, 3)]
+        return F.struct(word.alias("word"), at.alias("at"), *before)
+
+    return slot
+
+
 def score_text(
     df: DataFrame,
     id_col: str,
@@ -157,44 +161,38 @@ def score_text(
     no scores and is neutral.
     """
     texts = df.select(F.col(id_col).alias("_id"), stripped(text_col).alias("_text"))
-    worded = texts.select(
-        "_id",
-        (_emphasis(F.col("_text"), rules) if rules else F.lit(0.0)).alias("emphasis"),
-        _words(F.col("_text")).alias("words"),
-    )
-    words = F.col("words")
+    tokens = F.split("_text", SPACE)  # one empty token for an empty text
     if rules:
+        words = F.col("words")
         upper = F.size(F.filter(words, _is_upper))
-        worded = worded.select(
-            "_id",
-            "emphasis",
-            ((upper > 0) & (upper < F.size(words))).alias("mixed_case"),
-            (
-                F.array_position(F.transform(words, F.lower), rules.contrast).cast("int") - 1
-            ).alias("contrast_at"),
-            F.explode_outer(
-                F.transform(
-                    words,
-                    lambda w, i: F.struct(
-                        w.alias("word"),
-                        i.alias("at"),
-                        *[F.get(words, i - k).alias(f"before{k}") for k in (1, 2, 3)],
-                    ),
-                )
-            ).alias("w"),
+        contrast = F.array_position(F.transform(words, F.lower), rules.contrast)
+        worded = (
+            texts.select(
+                "_id",
+                _emphasis(F.col("_text"), rules).alias("emphasis"),
+                F.transform(tokens, _bare).alias("words"),
+            )
+            # Facts about the whole text, found once per text and not once per word.
+            .withColumn("mixed_case", (upper > 0) & (upper < F.size(words)))
+            .withColumn("contrast_at", contrast.cast("int") - 1)
+            .select(
+                "_id",
+                "emphasis",
+                "mixed_case",
+                "contrast_at",
+                F.explode(F.transform(words, _with_neighbours(words))).alias("w"),
+            )
         )
     else:
-        worded = worded.select(
-            "_id",
-            "emphasis",
-            F.explode_outer(F.transform(words, lambda w: F.struct(w.alias("word")))).alias("w"),
+        worded = texts.select("_id", F.explode(tokens).alias("token")).select(
+            "_id", F.lit(0.0).alias("emphasis"), F.struct(_bare(F.col("token")).alias("word")).alias("w")
         )
 
     lookup = lexicon.select(F.col("token").alias("_token"), F.col("valence").cast("double"))
     valued = worded.join(lookup, F.lower("w.word") == F.col("_token"), "left").select(
         "_id",
         "emphasis",
-        F.col("w.word").isNotNull().alias("is_word"),
+        (F.col("w.word") != "").alias("is_word"),
         F.coalesce(_in_context(rules) if rules else F.col("valence"), F.lit(0.0)).alias("v"),
     )
     v = F.col("v")

@@ -27,6 +27,11 @@ def parquet_tables(spark: SparkSession, folder: str, *names: str) -> dict[str, D
     return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}
 
 
+def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
+    """Lexicon ``(token, valence)`` from tab-separated text; columns after these are left out."""
+    return spark.read.schema("token STRING, valence DOUBLE").csv(path, sep="\t", quote="")
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
     """File names of a folder, listed by Spark without reading the files."""
     files = (
