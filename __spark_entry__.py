@@ -54,10 +54,9 @@ def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ball_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The ball fact reads only columns that the match fact takes over from staging.
     balls = _balls(spark, sf_dir)
-    return facts.fct_deliveries(
-        balls, dimensions.dim_players(balls), _results(spark, sf_dir)
-    )
+    return facts.fct_deliveries(balls, dimensions.dim_players(balls), _matches(spark, sf_dir))
 
 
 # --- models -----------------------------------------------------------------------------------
@@ -165,13 +164,13 @@ def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ball fact holds the matches before 1999; the others are built and appended."""
-    results = _results(spark, sf_dir)
+    matches = _matches(spark, sf_dir)
     balls = _balls(spark, sf_dir)
     held = balls.join(
-        results.where(c("match_date") < "1999-01-01").select("match_id"), "match_id", "left_semi"
+        matches.where(c("match_date") < "1999-01-01").select("match_id"), "match_id", "left_semi"
     )
     players = dimensions.dim_players(balls)
-    return _as_text(facts.fct_deliveries(balls, players, results, target=held))
+    return _as_text(facts.fct_deliveries(balls, players, matches, target=held))
 
 
 def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:

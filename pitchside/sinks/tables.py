@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -55,6 +56,19 @@ def load_new_keys(incoming: DataFrame, layer: str, name: str, keys: Sequence[str
     append_rows(insert_new_keys(existing, incoming, keys), layer, name)
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Inserts overwrite only the partitions they have rows for. ``insertInto`` reads this from the
+    session, it does not know the writer option of the same name."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def load_replacing(
     incoming: DataFrame, layer: str, name: str, keys: Sequence[str], buckets: int
 ) -> None:
@@ -73,12 +87,10 @@ def load_replacing(
         return
     existing = read_table(spark, layer, name).where(F.col(BUCKET).isin(touched))
     content = stored(replace_by_key(existing, incoming, keys).hint("rebalance", BUCKET), "content")
-    (
-        content.select(*existing.columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table_name(layer, name))
-    )
+    with _dynamic_overwrite(spark):
+        content.select(*existing.columns).write.mode("overwrite").insertInto(
+            table_name(layer, name)
+        )
 
 
 def upsert_rows(source: DataFrame, layer: str, name: str, keys: Sequence[str]) -> None:

@@ -164,8 +164,8 @@ def run_sentiment_stream(
         landed = f"{paths.landing}/batch={batch_id}"
         raw = with_audit(scored, load_id, landed).withColumn("batch_id", F.lit(batch_id))
         _overwrite_partitions(raw, paths.raw, "batch_id")
-        # From here on the batch is read back from its partition: the source and the scoring run once.
-        stored_batch = read_raw_posts(spark, paths).where(F.col("batch_id") == batch_id)
+        # From here on the batch is read back from its partition: source and scoring run once.
+        stored_batch = _scan(spark, f"{paths.raw}/batch_id={batch_id}", RAW_POSTS)
         land_batch(stored_batch.select(*scored.columns), "fetched_at", paths.landing, batch_id)
         days = refresh_latest(spark, paths, post_versions(stored_batch))
         refresh_days(spark, paths, days)
