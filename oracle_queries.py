@@ -1,6 +1,8 @@
 """DuckDB twins of the registered queries, over the same parquet tables.
 
 Dates and timestamps are compared as text, so that the two engines' client types do not matter.
+Ratios are rounded as decimal numbers: DuckDB rounds a double by way of a binary product, which
+takes 97 / 40 = 2.425 to 2.42.
 """
 
 from __future__ import annotations
@@ -158,9 +160,9 @@ innings AS (
 batting_stats AS (
     SELECT batter AS player_name, season, count(*) AS innings_played,
            CAST(sum(runs) AS BIGINT) AS total_runs, CAST(sum(balls) AS BIGINT) AS balls_faced,
-           round(CAST(sum(runs) AS DOUBLE) / nullif(CAST(sum(balls) AS DOUBLE), 0) * 100, 2)
+           round((CAST(sum(runs) AS DOUBLE) / nullif(CAST(sum(balls) AS DOUBLE), 0) * 100)::DECIMAL(38, 10), 2)::DOUBLE
                AS strike_rate,
-           round(CAST(sum(runs) AS DOUBLE) / count(*), 2) AS average,
+           round((CAST(sum(runs) AS DOUBLE) / count(*))::DECIMAL(38, 10), 2)::DOUBLE AS average,
            CAST(sum(fours) AS BIGINT) AS fours, CAST(sum(sixes) AS BIGINT) AS sixes,
            CAST(sum(fours + sixes) AS BIGINT) AS boundary_count, max(runs) AS highest_score
     FROM innings GROUP BY batter, season),
@@ -177,15 +179,15 @@ best_figures AS (
 bowling_sums AS (
     SELECT bowler, season, CAST(sum(balls) AS BIGINT) AS balls_bowled,
            CAST(sum(runs) AS BIGINT) AS runs_conceded, CAST(sum(wickets) AS BIGINT) AS total_wickets,
-           round(CAST(sum(balls) AS DOUBLE) / 6.0, 1) AS overs_bowled
+           round((CAST(sum(balls) AS DOUBLE) / 6.0)::DECIMAL(38, 10), 1)::DOUBLE AS overs_bowled
     FROM spells GROUP BY bowler, season),
 bowling_stats AS (
     SELECT s.bowler AS player_name, s.season, balls_bowled, overs_bowled, runs_conceded,
            total_wickets,
-           round(CAST(runs_conceded AS DOUBLE) / nullif(overs_bowled, 0), 2) AS economy_rate,
-           round(CAST(runs_conceded AS DOUBLE) / CAST(nullif(total_wickets, 0) AS DOUBLE), 2)
+           round((CAST(runs_conceded AS DOUBLE) / nullif(overs_bowled, 0))::DECIMAL(38, 10), 2)::DOUBLE AS economy_rate,
+           round((CAST(runs_conceded AS DOUBLE) / CAST(nullif(total_wickets, 0) AS DOUBLE))::DECIMAL(38, 10), 2)::DOUBLE
                AS bowling_average,
-           round(CAST(balls_bowled AS DOUBLE) / CAST(nullif(total_wickets, 0) AS DOUBLE), 2)
+           round((CAST(balls_bowled AS DOUBLE) / CAST(nullif(total_wickets, 0) AS DOUBLE))::DECIMAL(38, 10), 2)::DOUBLE
                AS bowling_strike_rate,
            best_bowling_figures
     FROM bowling_sums s JOIN best_figures f ON f.bowler = s.bowler AND f.season = s.season),
@@ -202,16 +204,16 @@ team_sums AS (
            count(*) FILTER (WHERE match_winner = team_name) AS won,
            count(*) FILTER (WHERE toss_winner = team_name) AS tosses,
            count(*) FILTER (WHERE toss_winner = team_name AND match_winner = team_name) AS both_won,
-           round(avg(match_runs), 2) AS avg_runs_per_match
+           round((avg(match_runs))::DECIMAL(38, 10), 2)::DOUBLE AS avg_runs_per_match
     FROM team_matches t
     LEFT JOIN team_runs r
       ON r.batting_team = t.team_name AND r.match_id = t.match_id AND r.season = t.season
     GROUP BY t.team_name, t.season),
 team_performance AS (
     SELECT team_name, season, played AS matches_played, won AS matches_won,
-           round(CAST(won AS DOUBLE) / CAST(played AS DOUBLE) * 100, 2) AS win_rate,
+           round((CAST(won AS DOUBLE) / CAST(played AS DOUBLE) * 100)::DECIMAL(38, 10), 2)::DOUBLE AS win_rate,
            tosses AS toss_wins,
-           round(CAST(both_won AS DOUBLE) / CAST(nullif(tosses, 0) AS DOUBLE) * 100, 2)
+           round((CAST(both_won AS DOUBLE) / CAST(nullif(tosses, 0) AS DOUBLE) * 100)::DECIMAL(38, 10), 2)::DOUBLE
                AS toss_win_to_match_win_rate,
            avg_runs_per_match
     FROM team_sums),
@@ -231,32 +233,32 @@ career_bat AS (
     FROM batting_stats GROUP BY player_name),
 career_bowl AS (
     SELECT player_name, CAST(sum(total_wickets) AS BIGINT) AS wickets,
-           CAST(sum(runs_conceded) AS DOUBLE) AS conceded, round(sum(overs_bowled), 1) AS overs
+           CAST(sum(runs_conceded) AS DOUBLE) AS conceded, round((sum(overs_bowled))::DECIMAL(38, 10), 1)::DOUBLE AS overs
     FROM bowling_stats GROUP BY player_name),
 player_career AS (
     SELECT b.player_name, seasons_played, total_innings, career_runs, career_balls_faced,
-           round(career_runs * CAST(100 AS DOUBLE) / CAST(career_balls_faced AS DOUBLE), 2)
+           round((career_runs * CAST(100 AS DOUBLE) / CAST(career_balls_faced AS DOUBLE))::DECIMAL(38, 10), 2)::DOUBLE
                AS career_strike_rate,
-           round(CAST(career_runs AS DOUBLE) / CAST(total_innings AS DOUBLE), 2) AS career_average,
+           round((CAST(career_runs AS DOUBLE) / CAST(total_innings AS DOUBLE))::DECIMAL(38, 10), 2)::DOUBLE AS career_average,
            career_fours, career_sixes, highest_score,
            coalesce(wickets, 0) AS career_wickets,
-           round(conceded / nullif(overs, 0), 2) AS career_economy,
-           round(conceded / CAST(nullif(wickets, 0) AS DOUBLE), 2) AS career_bowling_average
+           round((conceded / nullif(overs, 0))::DECIMAL(38, 10), 2)::DOUBLE AS career_economy,
+           round((conceded / CAST(nullif(wickets, 0) AS DOUBLE))::DECIMAL(38, 10), 2)::DOUBLE AS career_bowling_average
     FROM career_bat b LEFT JOIN career_bowl w ON w.player_name = b.player_name)
 """
 
 DAILY = """
 daily_sums AS (
-    SELECT post_date, count(*) AS total_posts, round(avg(sentiment_score), 4) AS avg_sentiment_score,
+    SELECT post_date, count(*) AS total_posts, round((avg(sentiment_score))::DECIMAL(38, 10), 4)::DOUBLE AS avg_sentiment_score,
            count(*) FILTER (WHERE sentiment_label = 'POSITIVE') AS positive_posts,
            count(*) FILTER (WHERE sentiment_label = 'NEGATIVE') AS negative_posts,
            count(*) FILTER (WHERE sentiment_label = 'NEUTRAL') AS neutral_posts,
            max(sentiment_score) AS max_sentiment_score, min(sentiment_score) AS min_sentiment_score
     FROM latest_post GROUP BY post_date),
 daily_sentiment AS (
-    SELECT *, round(CAST(positive_posts AS DOUBLE) / CAST(total_posts AS DOUBLE) * 100, 2)
+    SELECT *, round((CAST(positive_posts AS DOUBLE) / CAST(total_posts AS DOUBLE) * 100)::DECIMAL(38, 10), 2)::DOUBLE
                   AS positive_pct,
-           round(CAST(negative_posts AS DOUBLE) / CAST(total_posts AS DOUBLE) * 100, 2)
+           round((CAST(negative_posts AS DOUBLE) / CAST(total_posts AS DOUBLE) * 100)::DECIMAL(38, 10), 2)::DOUBLE
                AS negative_pct
     FROM daily_sums)
 """

@@ -25,10 +25,19 @@ def count_when(predicate: Column) -> Column:
     return F.sum(F.when(predicate, 1).otherwise(0)).cast("long")
 
 
+def rounded(value: Column, scale: int) -> Column:
+    """Round a double half away from zero, as the decimal number that it stands for.
+
+    The first rounding takes out what binary arithmetic adds behind the tenth place, so that an
+    exact half is seen as one.
+    """
+    return F.round(F.round(value, 10), scale)
+
+
 def ratio(num: Column, den: Column, scale: int = 2, factor: float = 1.0) -> Column:
-    """``round(num / den * factor, scale)`` in double precision; NULL when ``den`` is zero."""
+    """``num / den * factor`` rounded to ``scale`` places; NULL when ``den`` is zero."""
     quotient = num.cast("double") / F.nullif(den, F.lit(0)).cast("double")
-    return F.round(quotient * F.lit(float(factor)) if factor != 1.0 else quotient, scale)
+    return rounded(quotient * F.lit(float(factor)) if factor != 1.0 else quotient, scale)
 
 
 def first_of(array: Column | str) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pitchside.functions.columns import count_when, ordered_listagg, ratio
+from pitchside.functions.columns import count_when, ordered_listagg, ratio, rounded
 from pitchside.operators.entities import unpivot_roles
 from pitchside.operators.picks import best_row, best_value
 
@@ -80,7 +80,7 @@ def best_figures(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
 
 def bowling_stats(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
     """Bowler by season. Economy divides by the overs after their rounding to one decimal."""
-    overs = F.round(F.col("balls_bowled").cast("double") / F.lit(6.0), 1)
+    overs = rounded(F.col("balls_bowled").cast("double") / F.lit(6.0), 1)
     return (
         bowling_per_match(deliveries, matches)
         .where(F.col("bowler").isNotNull() & F.col("season").isNotNull())
@@ -139,7 +139,7 @@ def team_performance(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
             count_when(won).alias("matches_won"),
             count_when(toss).alias("toss_wins"),
             count_when(toss & won).alias("_toss_and_match"),
-            F.round(F.avg("match_runs"), 2).alias("avg_runs_per_match"),
+            rounded(F.avg("match_runs"), 2).alias("avg_runs_per_match"),
         )
         .select(
             "team_name",
@@ -191,7 +191,7 @@ def player_career(batting: DataFrame, bowling: DataFrame) -> DataFrame:
             F.sum("total_wickets").alias("_wickets"),
             F.sum("runs_conceded").alias("_conceded"),
             # One-decimal numbers: the rounding takes out the noise of adding them in any order.
-            F.round(F.sum("overs_bowled"), 1).alias("_overs"),
+            rounded(F.sum("overs_bowled"), 1).alias("_overs"),
         )
     )
     return bat.join(bowl, "player_name", "left").select(
@@ -220,7 +220,7 @@ def daily_sentiment(latest_post: DataFrame) -> DataFrame:
         latest_post.groupBy("post_date")
         .agg(
             F.count(F.lit(1)).alias("total_posts"),
-            F.round(F.avg(score), 4).alias("avg_sentiment_score"),
+            rounded(F.avg(score), 4).alias("avg_sentiment_score"),
             count_when(label == "POSITIVE").alias("positive_posts"),
             count_when(label == "NEGATIVE").alias("negative_posts"),
             count_when(label == "NEUTRAL").alias("neutral_posts"),

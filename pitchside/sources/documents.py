@@ -38,8 +38,8 @@ def parse_match_docs(df: DataFrame, id_col: str, json_col: str) -> tuple[DataFra
     """The same for documents that already lie in a text column, one per row."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     doc = F.from_json(json_col, _READ_SCHEMA, options)
-    docs = df.select(F.col(id_col).alias("match_id"), doc.alias("d")).select("match_id", "d.*")
-    return _split(docs)
+    # As a generator the parse runs once per row, and not again for every field and filter.
+    return _split(df.select(F.col(id_col).alias("match_id"), F.inline(F.array(doc))))
 
 
 def match_headers(docs: DataFrame) -> DataFrame:

@@ -27,6 +27,16 @@ def parquet_tables(spark: SparkSession, folder: str, *names: str) -> dict[str, D
     return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}
 
 
+def spread_single_file(df: DataFrame) -> DataFrame:
+    """Rows of a one-file table over all cores, for work that is heavy per row.
+
+    A small file is often a single row group, which one task reads and processes alone. Tables of
+    more files are left as they are: there the scan itself gives enough tasks.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) == 1 and cores > 1 else df
+
+
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     """Lexicon ``(token, valence)`` from tab-separated text; columns after these are left out."""
     return spark.read.schema("token STRING, valence DOUBLE").csv(path, sep="\t", quote="")

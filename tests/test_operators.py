@@ -160,3 +160,22 @@ def test_declared_checks_are_complete():
     assert sum(len(r.not_null) for r in RULES.values()) == 69
     assert sum(len(r.unique) for r in RULES.values()) == 12
     assert sum(len(r.accepted) for r in RULES.values()) == 5
+
+
+def test_ratio_rounds_like_exact_arithmetic(spark):
+    from decimal import ROUND_HALF_UP, Decimal, localcontext
+
+    pairs = [(a, b) for a in range(1, 260) for b in range(1, 260)]
+    df = spark.createDataFrame(pairs, "a INT, b INT").select(
+        "a",
+        "b",
+        ratio(F.col("a"), F.col("b"), 2).alias("plain"),
+        ratio(F.col("a"), F.col("b"), 2, 100).alias("percent"),
+    )
+    cent = Decimal("0.01")
+    with localcontext() as context:
+        context.prec = 60
+        for a, b, plain, percent in df.collect():
+            exact = Decimal(a) / b
+            assert plain == float(exact.quantize(cent, ROUND_HALF_UP)), (a, b)
+            assert percent == float((exact * 100).quantize(cent, ROUND_HALF_UP)), (a, b)
