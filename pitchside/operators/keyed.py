@@ -4,22 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 
 def _distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).distinct()
 
 
-def insert_new_keys(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+def insert_new_keys(
+    existing: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    counts: Observation | None = None,
+) -> DataFrame:
     """Incoming rows whose key the table does not hold; append these.
 
     The table is first cut down to the keys that come in, so it is not shuffled when the incoming
-    keys are few enough for Spark to broadcast them.
+    keys are few enough for Spark to broadcast them. ``counts`` receives the numbers ``incoming``
+    and ``skipped`` when the rows are written.
     """
     held = existing.select(*keys).join(_distinct_keys(incoming, keys), list(keys), "left_semi")
     held = held.distinct()
-    return incoming.join(held, list(keys), "left_anti").select(*incoming.columns)
+    if counts is None:
+        return incoming.join(held, list(keys), "left_anti").select(*incoming.columns)
+    marked = incoming.join(held.withColumn("_held", F.lit(True)), list(keys), "left").observe(
+        counts,
+        F.count(F.lit(1)).alias("incoming"),
+        F.count_if(F.col("_held").isNotNull()).alias("skipped"),
+    )
+    return marked.where(F.col("_held").isNull()).select(*incoming.columns)
 
 
 def replace_by_key(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

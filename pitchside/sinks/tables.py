@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import (
+    Column, DataFrame, Observation, SparkSession, functions as F, types as T,
+)
 
 from pitchside.operators.keyed import insert_new_keys, replace_by_key, upsert_by_key
 from pitchside.session import stored
@@ -50,10 +52,18 @@ def append_rows(df: DataFrame, layer: str, name: str) -> DataFrame:
     return df.sparkSession.table(target)
 
 
-def load_new_keys(incoming: DataFrame, layer: str, name: str, keys: Sequence[str]) -> None:
-    """Append the rows of keys the table does not hold; held rows are never updated."""
+def load_new_keys(
+    incoming: DataFrame, layer: str, name: str, keys: Sequence[str]
+) -> dict[str, int]:
+    """Append the rows of keys the table does not hold; held rows are never updated.
+
+    Returns how many rows were ``inserted`` and ``skipped``, counted while they were written.
+    """
     existing = read_table(incoming.sparkSession, layer, name)
-    append_rows(insert_new_keys(existing, incoming, keys), layer, name)
+    counts = Observation()
+    append_rows(insert_new_keys(existing, incoming, keys, counts), layer, name)
+    seen = counts.get
+    return {"inserted": seen["incoming"] - seen["skipped"], "skipped": seen["skipped"]}
 
 
 @contextmanager

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -86,6 +87,15 @@ def read_daily(spark: SparkSession, paths: PostPaths) -> DataFrame:
     return _scan(spark, paths.daily, schema).where("total_posts > 0").select(*schema.names)
 
 
+def post_models(spark: SparkSession, paths: PostPaths) -> dict[str, DataFrame]:
+    """The post tables by model name, for the declared checks."""
+    return {
+        "raw_posts": read_raw_posts(spark, paths),
+        "latest_post": read_latest(spark, paths),
+        "daily_sentiment": read_daily(spark, paths),
+    }
+
+
 def create_post_tables(spark: SparkSession, paths: PostPaths) -> None:
     """Empty tables, where there are none, so that the first batch can read them."""
     schemas = {
@@ -146,12 +156,14 @@ def run_sentiment_stream(
     lexicon: DataFrame | None = None,
     rules: Rules | None = None,
     trigger: dict | None = None,
+    after_batch: Callable[[SparkSession], None] | None = None,
 ) -> StreamingQuery:
     """Start the micro-batch pipeline on a stream of posts.
 
     Without ``lexicon`` the posts already carry their scores. Batches run one after the other, every
     15 minutes unless ``trigger`` says otherwise. All output of a batch is keyed by the batch id or
     by the post day, so a batch that runs again after a failure replaces its own output.
+    ``after_batch`` runs once all of that is done, for instance to write the run log.
     """
     spark = posts.sparkSession
     create_post_tables(spark, paths)
@@ -169,6 +181,8 @@ def run_sentiment_stream(
         land_batch(stored_batch.select(*scored.columns), "fetched_at", paths.landing, batch_id)
         days = refresh_latest(spark, paths, post_versions(stored_batch))
         refresh_days(spark, paths, days)
+        if after_batch:
+            after_batch(spark)
 
     return (
         posts.writeStream.foreachBatch(process)

@@ -29,7 +29,7 @@ def test_batch_runs_and_replays(spark, tmp_path):
     assert sorted(map(tuple, raw.drop("loaded_at").collect())) == first
     again = sorted(map(tuple, spark.table("marts.fct_deliveries").collect()), key=str)
     assert again == facts_first
-    log = spark.table("marts.pipeline_run_log").collect()
+    log = spark.table("marts.pipeline_run_log").where("run_type = 'Batch'").collect()
     assert [(r.pipeline_name, r.run_type, r.status) for r in log] == [
         ("match_pipeline", "Batch", "SUCCESS")
     ]
@@ -60,6 +60,19 @@ def test_batch_runs_and_replays(spark, tmp_path):
     assert spark.table("marts.player_career").count() > 0
 
 
+def test_new_keys_are_counted(spark):
+    from pitchside.schemas import RUN_LOG
+    from pitchside.sinks.tables import create_if_absent, load_new_keys
+
+    create_if_absent(spark, "raw", "counted", RUN_LOG)
+    rows = spark.createDataFrame([("a", "x", None, "OK"), ("b", "x", None, "OK")], RUN_LOG)
+    first = load_new_keys(rows.limit(1), "raw", "counted", ["pipeline_name"])
+    assert first == {"inserted": 1, "skipped": 0}
+    second = load_new_keys(rows, "raw", "counted", ["pipeline_name"])
+    assert second == {"inserted": 1, "skipped": 1}
+    assert spark.table("raw.counted").count() == 2
+
+
 def test_empty_replacement_changes_nothing(spark):
     from pitchside.sinks.tables import create_if_absent, load_replacing
     from pitchside.schemas import RAW_DELIVERIES

@@ -1,18 +1,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import random
 
-import pytest
-from pyspark.sql import functions as F
-
-from pitchside.plans import marts, staging
+from pitchside.plans import batch, marts, staging
 from pitchside.schemas import RAW_POSTS
 from pitchside.sources.posts import read_posts
 from pitchside.streaming import posts as stream
 
-import json
-
 AUDIT = ("pipeline_load_id", "pipeline_loaded_at", "pipeline_batch_file", "raw_json")
 FIELDS = [f for f in RAW_POSTS.fields if f.name not in AUDIT]
 SCHEMA = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in FIELDS)
@@ -130,7 +126,13 @@ def test_responses_are_scored_and_an_empty_batch_is_skipped(spark, tmp_path):
     lexicon = spark.createDataFrame([("good", 2.0), ("bad", -2.0)], ["token", "valence"])
     paths = stream.PostPaths(str(tmp_path / "out"))
     posts = read_posts(spark, str(responses), streaming=True, files_per_batch=1)
-    query = stream.run_sentiment_stream(posts, paths, lexicon, trigger={"availableNow": True})
+    query = stream.run_sentiment_stream(
+        posts,
+        paths,
+        lexicon,
+        trigger={"availableNow": True},
+        after_batch=lambda s: batch.log_run(s, "post_pipeline", "Micro Batch"),
+    )
     assert query.awaitTermination(300)
     (latest,) = stream.read_latest(spark, paths).collect()
     assert (latest.post_id, latest.title, latest.sentiment_label) == ("a", "bad", "NEGATIVE")
@@ -138,3 +140,7 @@ def test_responses_are_scored_and_an_empty_batch_is_skipped(spark, tmp_path):
     landed = spark.read.json(paths.landing)
     assert landed.count() == 2 and "sentiment_label" in landed.columns
     assert _daily(spark, paths) == {dt.date(2024, 1, 1): (1, 0, 1)}
+    (run,) = spark.table("marts.pipeline_run_log").where("pipeline_name = 'post_pipeline'").collect()
+    assert (run.run_type, run.status) == ("Micro Batch", "SUCCESS")
+    checks = batch.check_models(stream.post_models(spark, paths)).collect()
+    assert len(checks) == 7 and all(c.passed for c in checks)
