@@ -18,7 +18,7 @@ from pitchside.plans import batch, contracts, dimensions, facts, marts, staging
 from pitchside.session import scratch_path, stored  # noqa: E402
 from pitchside.sinks.landing import batch_file, land_batch, with_audit  # noqa: E402
 from pitchside.sources import documents, posts as post_source  # noqa: E402
-from pitchside.sources.tables import parquet_tables, spread_single_file, unseen_files  # noqa: E402
+from pitchside.sources.tables import parquet_tables, spread_scan, unseen_files  # noqa: E402
 from pitchside.streaming import posts as stream  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -432,12 +432,12 @@ def _lexicon(spark: SparkSession) -> DataFrame:
 
 
 def text_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread_single_file(parquet_tables(spark, sf_dir, "documents")["documents"])
+    docs = spread_scan(parquet_tables(spark, sf_dir, "documents")["documents"])
     return score_text(docs, "doc_id", "text", _lexicon(spark))
 
 
 def text_sentiment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread_single_file(parquet_tables(spark, sf_dir, "documents")["documents"])
+    docs = spread_scan(parquet_tables(spark, sf_dir, "documents")["documents"])
     rules = Rules(
         intensifiers=oracle.INTENSIFIERS,
         dampeners=oracle.DAMPENERS,
@@ -448,7 +448,7 @@ def text_sentiment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def post_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = parquet_tables(spark, sf_dir, "pages")["pages"]
+    pages = spread_scan(parquet_tables(spark, sf_dir, "pages")["pages"])
     posts = pages.select("page_id", c("url").alias("post_title"), c("html").alias("post_body"))
     return score_posts(posts, _lexicon(spark)).drop("post_title", "post_body")
 

@@ -31,20 +31,54 @@ def ordered_report(df: DataFrame, model: str) -> DataFrame:
     return df.orderBy(F.col(REPORT_ORDER[model]).desc())
 
 
-def load_documents(spark: SparkSession, path: str, buckets: int = KEY_BUCKETS) -> DataFrame:
-    """Parse a folder of match documents into the raw tables; returns the rejected documents."""
+def _create_raw_tables(spark: SparkSession) -> None:
     sink.create_if_absent(spark, "raw", "raw_matches", RAW_MATCHES)
     sink.create_if_absent(spark, "raw", "raw_deliveries", RAW_DELIVERIES, bucketed=True)
-    docs, rejects = documents.read_match_docs(spark, path)
+
+
+def _load(docs: DataFrame, buckets: int) -> None:
     docs = stored(docs, "documents")  # the text is parsed once, both row sets read the columns
     loaded_at = utc_now()
     headers = documents.match_headers(docs).withColumn("loaded_at", loaded_at)
     balls = documents.deliveries(docs).withColumn("loaded_at", loaded_at)
     sink.load_new_keys(headers, "raw", "raw_matches", ["match_id"])
     sink.load_replacing(balls, "raw", "raw_deliveries", ["match_id"], buckets)
+
+
+def load_documents(spark: SparkSession, path: str, buckets: int = KEY_BUCKETS) -> DataFrame:
+    """Parse a whole folder of match documents into the raw tables; returns the rejected files."""
+    _create_raw_tables(spark)
+    docs, rejects = documents.read_match_docs(spark, path)
+    _load(docs, buckets)
     return rejects
 
 
+def load_new_documents(
+    spark: SparkSession,
+    path: str,
+    checkpoint: str,
+    buckets: int = KEY_BUCKETS,
+    files_per_batch: int | None = None,
+) -> None:
+    """The same for the files that came since the last call with this checkpoint folder.
+
+    Files do not change once they are there, so the raw tables end up as after a full read. A batch
+    that runs again after a failure replaces its own rows.
+    """
+    _create_raw_tables(spark)
+    query = (
+        documents.stream_match_docs(spark, path, files_per_batch)
+        .writeStream.foreachBatch(lambda docs, _: _load(docs, buckets))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    # The batches ran in a session of the query; this one may know the tables' files of before.
+    for name in ("raw_matches", "raw_deliveries"):
+        spark.catalog.refreshTable(table_name("raw", name))
+
+
 def build_models(spark: SparkSession) -> dict[str, DataFrame]:
     """Build all match models from the raw tables; the ball fact only grows by new matches."""
     built: dict[str, DataFrame] = {
@@ -106,9 +140,17 @@ def log_run(spark: SparkSession, pipeline: str, run_type: str) -> None:
     sink.upsert_rows(row, "marts", "pipeline_run_log", ["pipeline_name", "run_type"])
 
 
-def run_batch(spark: SparkSession, path: str, buckets: int = KEY_BUCKETS) -> DataFrame:
-    """Load, build, check, and log the run once all of it has succeeded; returns the checks."""
-    load_documents(spark, path, buckets)
+def run_batch(
+    spark: SparkSession, path: str, buckets: int = KEY_BUCKETS, checkpoint: str | None = None
+) -> DataFrame:
+    """Load, build, check, and log the run once all of it has succeeded; returns the checks.
+
+    With ``checkpoint`` only files that no earlier run has read are loaded.
+    """
+    if checkpoint:
+        load_new_documents(spark, path, checkpoint, buckets)
+    else:
+        load_documents(spark, path, buckets)
     report = stored(check_models(build_models(spark)), "checks")
     log_run(spark, "match_pipeline", "Batch")
     return report

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import (
+    Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T,
+)
+from pyspark.sql.streaming import DataStreamReader
 
 from pitchside.functions.columns import first_key, first_of, not_empty
 from pitchside.schemas import MATCH_DOCUMENT
@@ -17,13 +20,9 @@ def _split(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, docs.where(bad).select("match_id", F.col(CORRUPT).alias("document"))
 
 
-def read_match_docs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Documents ``(match_id, info, innings)`` of a folder, and the rejected files.
-
-    Malformed files and files without ``info`` are rejected; the others are read all the same.
-    """
-    docs = (
-        spark.read.schema(_READ_SCHEMA)
+def _scan(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
+    return (
+        reader.schema(_READ_SCHEMA)
         .option("multiLine", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -31,7 +30,24 @@ def read_match_docs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
         .json(path)
         .withColumn("match_id", F.regexp_extract("_metadata.file_name", r"^(.*)\.json$", 1))
     )
-    return _split(docs)
+
+
+def read_match_docs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Documents ``(match_id, info, innings)`` of a folder, and the rejected files.
+
+    Malformed files and files without ``info`` are rejected; the others are read all the same.
+    """
+    return _split(_scan(spark.read, path))
+
+
+def stream_match_docs(
+    spark: SparkSession, path: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """Documents of a folder as a stream that reads each file once."""
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return _split(_scan(reader, path))[0]
 
 
 def parse_match_docs(df: DataFrame, id_col: str, json_col: str) -> tuple[DataFrame, DataFrame]:

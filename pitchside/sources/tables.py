@@ -27,14 +27,14 @@ def parquet_tables(spark: SparkSession, folder: str, *names: str) -> dict[str, D
     return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}
 
 
-def spread_single_file(df: DataFrame) -> DataFrame:
-    """Rows of a one-file table over all cores, for work that is heavy per row.
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Rows of a scan over all cores, for work that is heavy per row.
 
-    A small file is often a single row group, which one task reads and processes alone. Tables of
-    more files are left as they are: there the scan itself gives enough tasks.
+    Only where the scan has fewer tasks than the session has cores, as for a small file of one row
+    group. A scan with enough tasks is left as it is and costs no shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) == 1 and cores > 1 else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:

@@ -60,6 +60,25 @@ def test_batch_runs_and_replays(spark, tmp_path):
     assert spark.table("marts.player_career").count() > 0
 
 
+def test_new_files_are_loaded_once(spark, tmp_path):
+    def load(documents, malformed):
+        folder = write_folder(tmp_path / "docs", documents, malformed)
+        batch.load_new_documents(
+            spark, folder, str(tmp_path / "checkpoint"), buckets=8, files_per_batch=2
+        )
+
+    spark.sql("DROP TABLE IF EXISTS raw.raw_matches")
+    spark.sql("DROP TABLE IF EXISTS raw.raw_deliveries")
+    load({k: DOCUMENTS[k] for k in ("1001", "1005")}, {"1003": "{"})
+    assert _ids(spark.table("raw.raw_matches")) == ["1001", "1005"]
+    first = spark.table("raw.raw_deliveries").where("match_id = '1001'").first().loaded_at
+    load({"1007": DOCUMENTS["1007"], "1002": DOCUMENTS["1002"]}, {})
+    assert _ids(spark.table("raw.raw_matches")) == ["1001", "1002", "1005", "1007"]
+    balls = spark.table("raw.raw_deliveries")
+    assert _ids(balls) == ["1001"] * 3 + ["1002"] + ["1005"] * 3
+    assert balls.where("match_id = '1001'").first().loaded_at == first
+
+
 def test_new_keys_are_counted(spark):
     from pitchside.schemas import RUN_LOG
     from pitchside.sinks.tables import create_if_absent, load_new_keys
