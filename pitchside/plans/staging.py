@@ -86,18 +86,20 @@ POST_COLUMNS = {
     "sentiment_neu": "sentiment_neutral",
 }
 
+# A later fetch wins; then the greater load id; then the later load of the same batch.
+POST_ORDER = ["fetched_at", "version_tie", "loaded_at"]
+
 
 def post_versions(raw_posts: DataFrame) -> DataFrame:
     """Every fetched version of every post, renamed, with its calendar day."""
     return raw_posts.select(
         *[F.col(raw).alias(name) for name, raw in POST_COLUMNS.items()],
         F.to_date("created_utc").alias("post_date"),
-        # Orders versions that were fetched at the same moment.
         F.col("pipeline_load_id").alias("version_tie"),
     )
 
 
 def latest_post(raw_posts: DataFrame) -> DataFrame:
     """The latest fetched version of each post."""
-    newest = latest_per_key(post_versions(raw_posts), ["post_id"], ["fetched_at", "version_tie"])
+    newest = latest_per_key(post_versions(raw_posts), ["post_id"], POST_ORDER)
     return newest.drop("version_tie")

@@ -11,6 +11,7 @@ from pyspark.sql import (
 
 from pitchside.operators.keyed import insert_new_keys, replace_by_key, upsert_by_key
 from pitchside.session import stored
+from pitchside.sinks.redo import Redo
 from pitchside.sources.tables import read_table, table_name
 
 BUCKET = "key_bucket"
@@ -84,23 +85,29 @@ def load_replacing(
 ) -> None:
     """Replace all rows of the incoming keys; an empty input changes nothing.
 
-    Only the storage buckets of the incoming keys are read and rewritten. Their new content is
-    written to scratch first, so that the table is never read while it is overwritten and a failed
-    overwrite can run again. Every rewritten bucket holds an incoming row, so the dynamic overwrite
-    reaches it. The rebalance splits a bucket that a hot key has made large.
+    Only the storage buckets of the incoming keys are read and rewritten. Every rewritten bucket
+    holds an incoming row, so the dynamic overwrite reaches it. The rebalance splits a bucket that a
+    hot key has made large. An overwrite that a crash has cut short is finished first.
     """
     spark = incoming.sparkSession
+    target = table_name(layer, name)
+    # Beside the table, so that it belongs to this table alone.
+    database = spark.catalog.getDatabase(target.split(".")[0])
+    redo = Redo(spark, f"{database.locationUri}/_redo_{name}")
+
+    def apply(content: DataFrame) -> None:
+        with _dynamic_overwrite(spark):
+            content.write.mode("overwrite").insertInto(target)
+
+    redo.finish(apply)
     incoming = stored(incoming.withColumn(BUCKET, key_bucket(keys, buckets)), "incoming")
     # At most `buckets` numbers.
     touched = [row[0] for row in incoming.select(BUCKET).distinct().collect()]
     if not touched:
         return
     existing = read_table(spark, layer, name).where(F.col(BUCKET).isin(touched))
-    content = stored(replace_by_key(existing, incoming, keys).hint("rebalance", BUCKET), "content")
-    with _dynamic_overwrite(spark):
-        content.select(*existing.columns).write.mode("overwrite").insertInto(
-            table_name(layer, name)
-        )
+    content = replace_by_key(existing, incoming, keys).select(*existing.columns)
+    redo.run(content.hint("rebalance", BUCKET), apply)
 
 
 def upsert_rows(source: DataFrame, layer: str, name: str, keys: Sequence[str]) -> None:

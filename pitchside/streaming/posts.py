@@ -11,12 +11,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pitchside.functions.sentiment import Rules, score_posts
 from pitchside.operators.picks import latest_per_key
 from pitchside.plans.marts import daily_sentiment
-from pitchside.plans.staging import post_versions
+from pitchside.plans.staging import POST_ORDER, post_versions
 from pitchside.schemas import RAW_POSTS
 from pitchside.sinks.landing import land_batch, with_audit
+from pitchside.sinks.redo import Redo
 
 TRIGGER = "15 minutes"
-POST_ORDER = ["fetched_at", "version_tie"]
 
 
 @dataclass(frozen=True)
@@ -41,6 +41,10 @@ class PostPaths:
     def daily(self) -> str:
         return f"{self.root}/daily_sentiment"
 
+    @property
+    def redo(self) -> str:
+        return f"{self.root}/redo"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
@@ -107,34 +111,42 @@ def create_post_tables(spark: SparkSession, paths: PostPaths) -> None:
         spark.createDataFrame([], schema).write.mode("append").parquet(path)
 
 
+def _days(df: DataFrame) -> list:
+    # Calendar days: the list is as short as the calendar, however many posts there are.
+    return [row[0] for row in df.select("post_date").distinct().collect()]
+
+
 def _in_days(df: DataFrame, days: list) -> DataFrame:
     wanted = F.col("post_date").isin([d for d in days if d is not None])
     return df.where(wanted | F.col("post_date").isNull() if None in days else wanted)
 
 
-def refresh_latest(spark: SparkSession, paths: PostPaths, versions: DataFrame) -> list:
-    """Merge new versions into the latest-post table; returns the days that may have changed.
+def refresh_posts(spark: SparkSession, paths: PostPaths, versions: DataFrame) -> None:
+    """Merge new versions into the latest-post table and refresh the days they may change.
 
     The table is partitioned by post day. A newer version can move a post to another day, so the
     days of the versions held so far are found first, by one pass over the key column. Then only
     the partitions of those days and of the new versions' days are read and overwritten. Each gets
     an empty marker row, because the overwrite leaves a partition alone that receives no row.
-    Running the same versions again gives the same table.
+    Running the same versions again gives the same tables, also after a crash in the middle.
     """
+
+    def apply(content: DataFrame) -> None:
+        _overwrite_partitions(content, paths.latest, "post_date")
+        refresh_days(spark, paths, _days(content))
+
+    redo = Redo(spark, paths.redo)
+    redo.finish(apply)
     fresh = latest_per_key(versions, ["post_id"], POST_ORDER)
     held = read_latest(spark, paths)
     moved = held.join(fresh.select("post_id"), "post_id", "left_semi").select("post_date")
-    # Calendar days: the list is as short as the calendar, however many posts there are.
-    days = [
-        row[0] for row in fresh.select("post_date").union(moved).distinct().collect()
-    ]
+    days = _days(fresh.select("post_date").union(moved))
     content = latest_per_key(
         _in_days(held, days).unionByName(fresh), ["post_id"], POST_ORDER
     )
     markers = spark.createDataFrame([(d,) for d in days], "post_date DATE")
     content = content.unionByName(markers, allowMissingColumns=True)
-    _overwrite_partitions(content.hint("rebalance", "post_date"), paths.latest, "post_date")
-    return days
+    redo.run(content.hint("rebalance", "post_date"), apply)
 
 
 def refresh_days(spark: SparkSession, paths: PostPaths, days: list) -> None:
@@ -179,8 +191,7 @@ def run_sentiment_stream(
         # From here on the batch is read back from its partition: source and scoring run once.
         stored_batch = _scan(spark, f"{paths.raw}/batch_id={batch_id}", RAW_POSTS)
         land_batch(stored_batch.select(*scored.columns), "fetched_at", paths.landing, batch_id)
-        days = refresh_latest(spark, paths, post_versions(stored_batch))
-        refresh_days(spark, paths, days)
+        refresh_posts(spark, paths, post_versions(stored_batch))
         if after_batch:
             after_batch(spark)
 

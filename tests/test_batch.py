@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import copy
 
+import pytest
+
 from pitchside.plans import batch
 from pitchside.sources.tables import read_table
 from tests.documents import DOCUMENTS, write_folder
@@ -79,6 +81,41 @@ def test_new_files_are_loaded_once(spark, tmp_path):
     assert balls.where("match_id = '1001'").first().loaded_at == first
 
 
+def test_crash_while_buckets_are_swapped(spark, monkeypatch):
+    from contextlib import contextmanager
+
+    from pyspark.sql import types as T
+
+    from pitchside.sinks import tables
+
+    schema = T.StructType().add("k", T.StringType()).add("v", T.IntegerType())
+    tables.create_if_absent(spark, "raw", "swapped", schema, bucketed=True)
+
+    def load(*rows):
+        df = spark.createDataFrame(rows, schema)
+        tables.load_replacing(df, "raw", "swapped", ["k"], 1)
+
+    def content():
+        return sorted((r.k, r.v) for r in spark.table("raw.swapped").collect())
+
+    load(("a", 1), ("b", 2))
+    whole = tables._dynamic_overwrite
+
+    @contextmanager
+    def dies(session):
+        session.sql("TRUNCATE TABLE raw.swapped")
+        raise RuntimeError("driver lost")
+        yield
+
+    monkeypatch.setattr(tables, "_dynamic_overwrite", dies)
+    with pytest.raises(RuntimeError):
+        load(("a", 3))
+    assert content() == []
+    monkeypatch.setattr(tables, "_dynamic_overwrite", whole)
+    load(("a", 3))
+    assert content() == [("a", 3), ("b", 2)]
+
+
 def test_new_keys_are_counted(spark):
     from pitchside.schemas import RUN_LOG
     from pitchside.sinks.tables import create_if_absent, load_new_keys

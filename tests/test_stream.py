@@ -3,6 +3,9 @@ from __future__ import annotations
 import datetime as dt
 import json
 import random
+import shutil
+
+import pytest
 
 from pitchside.plans import batch, marts, staging
 from pitchside.schemas import RAW_POSTS
@@ -100,11 +103,34 @@ def test_refresh_twice_is_the_same_as_once(spark, tmp_path):
     paths = _run(spark, str(tmp_path), [[_post("a", 0, 0, 0.5)], [_post("a", 1, 1, 0.5)]])
     before = _daily(spark, paths)
     versions = staging.post_versions(stream.read_raw_posts(spark, paths).where("batch_id = 1"))
-    days = stream.refresh_latest(spark, paths, versions)
-    stream.refresh_days(spark, paths, days)
+    stream.refresh_posts(spark, paths, versions)
     assert _daily(spark, paths) == before == {dt.date(2024, 1, 2): (1, 1, 0)}
 
 
+@pytest.mark.parametrize("crash_in", ["latest_post", "daily_sentiment"])
+def test_crash_while_partitions_are_swapped(spark, tmp_path, monkeypatch, crash_in):
+    first = [_post("a", 0, 0, 0.5), _post("b", 0, 0, -0.5), _post("c", 0, 2, 0.5)]
+    paths = _run(spark, str(tmp_path), [first])
+    overwrite = stream._overwrite_partitions
+
+    def dies(df, path, column):
+        if path.endswith(crash_in):
+            # The old partition is gone and the new one is not there yet.
+            shutil.rmtree(f"{path}/post_date=2024-01-01")
+            raise RuntimeError("driver lost")
+        overwrite(df, path, column)
+
+    monkeypatch.setattr(stream, "_overwrite_partitions", dies)
+    with pytest.raises(Exception, match="driver lost"):
+        _run(spark, str(tmp_path), [[_post("a", 15, 1, 0.5)]])
+    monkeypatch.setattr(stream, "_overwrite_partitions", overwrite)
+    paths = _run(spark, str(tmp_path), [])
+    latest, daily = _batch_answer(spark, paths)
+    _same(stream.read_latest(spark, paths).drop("version_tie"), latest)
+    _same(stream.read_daily(spark, paths), daily)
+    assert _daily(spark, paths)[dt.date(2024, 1, 1)] == (1, 0, 1)
+
+
 def test_restart_continues_after_the_last_batch(spark, tmp_path):
     _run(spark, str(tmp_path), [[_post("a", 0, 0, 0.5)]])
     paths = _run(spark, str(tmp_path), [[_post("b", 1, 0, 0.5)]])
