@@ -8,13 +8,14 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T  # noqa: E402
 
 import oracle_queries as oracle  # noqa: E402
 from pitchside import testviews as views  # noqa: E402
 from pitchside.functions.sentiment import Rules, score_posts, score_text  # noqa: E402
 from pitchside.operators import entities, keyed, quality  # noqa: E402
 from pitchside.plans import batch, contracts, dimensions, facts, marts, staging  # noqa: E402
+from pitchside.schemas import POST_RESPONSE  # noqa: E402
 from pitchside.session import scratch_path, stored  # noqa: E402
 from pitchside.sinks.landing import batch_file, land_batch, with_audit  # noqa: E402
 from pitchside.sources import documents, posts as post_source  # noqa: E402
@@ -202,122 +203,8 @@ def unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- nested documents and landed posts --------------------------------------------------------
 
 
-def _json_options() -> dict[str, str]:
-    return {"ignoreNullFields": "true"}
-
-
-def match_document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested match document per order, some cut short and some without their header."""
-    k = c("match_id").cast("long")
-    year = F.year("match_date")
-    player, bowler = c("player_of_match"), F.concat(F.lit("Bowler "), (k % 50).cast("string"))
-
-    def number(value: Column) -> Column:
-        return value.cast("int")
-
-    def document(season: Column) -> Column:
-        info = F.struct(
-            F.array(c("match_date").cast("string")).alias("dates"),
-            season.alias("season"),
-            F.when(k % 9 == 0, F.array("team1")).otherwise(F.array("team1", "team2")).alias("teams"),
-            "venue",
-            "city",
-            F.struct(c("toss_winner").alias("winner"), c("toss_decision").alias("decision")).alias(
-                "toss"
-            ),
-            F.struct(
-                c("match_winner").alias("winner"),
-                F.struct(
-                    c("win_by_runs").alias("runs"), c("win_by_wickets").alias("wickets")
-                ).alias("by"),
-            ).alias("outcome"),
-            F.struct(
-                c("event_name").alias("name"),
-                c("event_stage").alias("stage"),
-                c("event_match_number").alias("match_number"),
-            ).alias("event"),
-            F.when(k % 4 != 0, F.array(player)).alias("player_of_match"),
-        )
-        return F.to_json(
-            F.struct(F.when(k % 13 != 0, info).alias("info"), innings.alias("innings")),
-            _json_options(),
-        )
-
-    def ball(**fields: Column) -> Column:
-        return F.struct(
-            player.alias("batter"),
-            bowler.alias("bowler"),
-            *[value.alias(name) for name, value in fields.items()],
-        )
-
-    def runs(batter: Column, extras: Column, total: Column) -> Column:
-        return F.struct(batter.alias("batter"), extras.alias("extras"), total.alias("total"))
-
-    none = F.lit(None)
-    no_runs = none.cast("struct<batter:int,extras:int,total:int>")
-    wickets_type = (
-        "array<struct<kind:string,player_out:string,fielders:array<struct<name:string>>>>"
-    )
-    fielder = F.struct(F.concat(F.lit("Fielder "), (k % 40).cast("string")).alias("name"))
-    wicket = F.struct(
-        F.lit("caught").alias("kind"),
-        player.alias("player_out"),
-        F.when(k % 2 == 0, F.array(fielder)).alias("fielders"),
-    )
-    second = F.struct(
-        F.lit("run out").alias("kind"),
-        F.lit("Player 0").alias("player_out"),
-        F.when(k % 2 == 0, F.array(fielder)).alias("fielders"),
-    )
-    first_ball = ball(
-        non_striker=F.lit("Player 0"),
-        runs=runs(number(k % 7), number(k % 2), number(k % 7 + k % 2)),
-        extras=F.when(k % 2 == 1, F.create_map(F.lit("noballs"), F.lit(1), F.lit("byes"), F.lit(2))),
-        wickets=F.when(k % 5 == 0, F.array().cast(wickets_type)),
-    )
-    second_ball = ball(
-        non_striker=none.cast("string"),
-        runs=no_runs,
-        extras=none.cast("map<string,int>"),
-        wickets=F.when(k % 3 == 0, F.array(wicket, second)).cast(wickets_type),
-    )
-    late_ball = ball(
-        non_striker=none.cast("string"),
-        runs=runs(number(k % 5), none.cast("int"), number(k % 5)),
-        extras=none.cast("map<string,int>"),
-        wickets=none.cast(wickets_type),
-    )
-
-    def inning(team: str, *overs: Column) -> Column:
-        return F.struct(c(team).alias("team"), F.array(*overs).alias("overs"))
-
-    def over(index: Column, *balls: Column) -> Column:
-        return F.struct(index.alias("over"), F.array(*balls).alias("deliveries"))
-
-    opening = inning("team1", over(F.lit(0), first_ball, second_ball))
-    no_overs = F.struct(
-        c("team2").alias("team"), F.lit(None).cast(_overs_type()).alias("overs")
-    )
-    late = inning("team2", over(number(k % 20), late_ball))
-    innings = F.when(k % 3 == 1, F.array(opening, no_overs)).otherwise(
-        F.array(opening, no_overs, late)
-    )
-    spelled = F.when(k % 7 != 0, c("season"))
-    season = F.coalesce(F.when(k % 2 == 0, year.cast("string")), spelled)
-    texts = views.raw_matches(spark, sf_dir).select("match_id", document(season).alias("document"))
-    # Even matches give the season as a JSON number; every eleventh document is cut short.
-    text = F.regexp_replace("document", r'"season":"(\d{4})"', '"season":$1')
-    kept = F.length("document") - F.when(k % 11 == 0, 10).otherwise(0)
-    return texts.select("match_id", F.substring(text, F.lit(1), kept).alias("document"))
-
-
-def _overs_type() -> str:
-    innings = documents.MATCH_DOCUMENT["innings"].dataType
-    return innings.elementType["overs"].dataType.simpleString()
-
-
 def _parsed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    texts = match_document_texts(spark, sf_dir)
+    texts = views.match_document_texts(spark, sf_dir)
     return documents.parse_match_docs(texts, "match_id", "document")
 
 
@@ -334,37 +221,9 @@ def rejected_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def post_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One landed response of two posts per event; some lists are empty and some missing."""
-    events = parquet_tables(spark, sf_dir, "events")["events"]
-    e = c("event_id")
-
-    def post(i: int) -> Column:
-        return F.struct(
-            F.concat(F.lit("e"), e.cast("string"), F.lit(f"-{i}")).alias("id"),
-            c("event_type").alias("title"),
-            F.concat(F.lit("user "), c("user_id").cast("string")).alias("author"),
-            F.lit("League").alias("subreddit"),
-            F.concat(F.lit("/post/"), e.cast("string")).alias("url"),
-            F.when(e % 3 != 0, c("props")).alias("selftext"),
-            F.floor("value").cast("long").alias("score"),
-            c("value").alias("upvote_ratio"),
-            (e % 100 + i).alias("num_comments"),
-            F.when(e % 4 != 0, F.lit(1704067200) + e * 60).alias("created_utc"),
-        )
-
-    data = F.when(e % 10 == 0, F.filter(F.array(post(0)), lambda p: F.lit(False))).when(
-        e % 10 != 5, F.array(post(0), post(1))
-    )
-    fetched_at = F.concat(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")
-    )
-    response = F.to_json(
-        F.struct(data.alias("data"), fetched_at.alias("fetched_at")), _json_options()
-    )
-    parsed = F.from_json(response, post_source.POST_RESPONSE)
-    return _as_text(
-        post_source.post_records(events.select(parsed.alias("r")).select("r.*"))
-    )
+    texts = views.post_response_texts(spark, sf_dir)
+    parsed = texts.select(F.inline(F.array(F.from_json("response", POST_RESPONSE))))
+    return _as_text(post_source.post_records(parsed))
 
 
 # --- landing and streaming --------------------------------------------------------------------
