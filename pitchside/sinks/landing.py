@@ -8,13 +8,23 @@ from pitchside.functions.columns import row_as_json, utc_now
 from pitchside.schemas import RAW_POSTS
 
 
+def _time_parts(time: Column) -> dict[str, Column]:
+    """Digits of a timestamp. Taken from its text, which no session zone can shift."""
+    text = time.cast("timestamp_ntz").cast("string")
+    places = {"year": (1, 4), "month": (6, 2), "day": (9, 2), "hour": (12, 2), "minute": (15, 2),
+              "second": (18, 2)}
+    return {name: F.substring(text, at, size) for name, (at, size) in places.items()}
+
+
 def batch_file(prefix: str, name: str, fetched_at: Column) -> Column:
     """Landing path of a batch: ``prefix/YYYY/MM/DD/HH/name_YYYYmmdd_HHMMSS.json``."""
+    part = _time_parts(fetched_at)
+    date, clock = ["year", "month", "day"], ["hour", "minute", "second"]
     return F.concat(
-        F.lit(f"{prefix}/"),
-        F.date_format(fetched_at, "yyyy/MM/dd/HH"),
-        F.lit(f"/{name}_"),
-        F.date_format(fetched_at, "yyyyMMdd_HHmmss"),
+        F.concat_ws("/", F.lit(prefix), *[part[p] for p in date], part["hour"], F.lit(f"{name}_")),
+        *[part[p] for p in date],
+        F.lit("_"),
+        *[part[p] for p in clock],
         F.lit(".json"),
     )
 
@@ -22,12 +32,11 @@ def batch_file(prefix: str, name: str, fetched_at: Column) -> Column:
 def land_batch(df: DataFrame, fetched_at: str, prefix: str, batch_id: int | str) -> str:
     """Write a batch as JSON lines in one folder per hour; a retry overwrites the same folder."""
     path = f"{prefix}/batch={batch_id}"
-    hours = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
-    by_hour = df.withColumns(
-        {name: F.date_format(fetched_at, pattern) for name, pattern in hours.items()}
-    )
+    parts = _time_parts(F.col(fetched_at))
+    hours = ["year", "month", "day", "hour"]
     (
-        by_hour.write.mode("overwrite")
+        df.withColumns({name: parts[name] for name in hours})
+        .write.mode("overwrite")
         .partitionBy(*hours)
         .option("ignoreNullFields", "false")
         .json(path)

@@ -93,6 +93,17 @@ def test_landing_is_by_hour_and_overwrites_on_retry(spark, tmp_path):
     assert spark.read.json(path).count() == 2
 
 
+def test_landing_hours_do_not_depend_on_the_session_zone(spark):
+    # 02:30 does not exist in this zone on that day.
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        time = F.lit("2024-03-10 02:30:00").cast("timestamp_ntz")
+        path = spark.range(1).select(batch_file("p", "posts", time)).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert path == "p/2024/03/10/02/posts_20240310_023000.json"
+
+
 def test_audit_columns(spark):
     file = batch_file("p/raw", "posts", F.col("fetched_at"))
     rows = {r.post_id: r for r in with_audit(_posts(spark), "load-1", file).collect()}
