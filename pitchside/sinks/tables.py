@@ -85,15 +85,14 @@ def load_replacing(
 ) -> None:
     """Replace all rows of the incoming keys; an empty input changes nothing.
 
-    Only the storage buckets of the incoming keys are read and rewritten. Every rewritten bucket
-    holds an incoming row, so the dynamic overwrite reaches it. The rebalance splits a bucket that a
-    hot key has made large. An overwrite that a crash has cut short is finished first.
+    Rows of keys that the table does not hold are appended. Only the storage buckets of held keys
+    are rewritten; each then holds an incoming row, so the dynamic overwrite reaches it. The
+    rebalance splits a bucket that a hot key has made large. An overwrite that a crash has cut short
+    is finished first, and keys of an append that was cut short are held when it runs again.
     """
     spark = incoming.sparkSession
     target = table_name(layer, name)
-    # Beside the table, so that it belongs to this table alone.
-    database = spark.catalog.getDatabase(target.split(".")[0])
-    redo = Redo(spark, f"{database.locationUri}/_redo_{name}")
+    redo = _redo(spark, layer, name)
 
     def apply(content: DataFrame) -> None:
         with _dynamic_overwrite(spark):
@@ -101,17 +100,41 @@ def load_replacing(
 
     redo.finish(apply)
     incoming = stored(incoming.withColumn(BUCKET, key_bucket(keys, buckets)), "incoming")
-    # At most `buckets` numbers.
-    touched = [row[0] for row in incoming.select(BUCKET).distinct().collect()]
-    if not touched:
-        return
-    existing = read_table(spark, layer, name).where(F.col(BUCKET).isin(touched))
-    content = replace_by_key(existing, incoming, keys).select(*existing.columns)
-    redo.run(content.hint("rebalance", BUCKET), apply)
+    table = read_table(spark, layer, name)
+    bucketed_keys = [*keys, BUCKET]
+    in_reach = table.where(F.col(BUCKET).isin(_buckets(incoming)))
+    held = in_reach.select(*bucketed_keys).join(
+        incoming.select(*bucketed_keys).distinct(), bucketed_keys, "left_semi"
+    )
+    held = stored(held.distinct(), "held")
+    rewritten = _buckets(held)
+    if rewritten:
+        known = incoming.join(held, bucketed_keys, "left_semi")
+        existing = table.where(F.col(BUCKET).isin(rewritten))
+        content = replace_by_key(existing, known, keys).select(*table.columns)
+        redo.run(content.hint("rebalance", BUCKET), apply)
+    unknown = incoming.join(held, bucketed_keys, "left_anti").select(*table.columns)
+    unknown.hint("rebalance", BUCKET).write.mode("append").insertInto(target)
+
+
+def _buckets(df: DataFrame) -> list[int]:
+    """Storage buckets of the rows, at most as many as the table has."""
+    return [row[0] for row in df.select(BUCKET).distinct().collect()]
+
+
+def _redo(spark: SparkSession, layer: str, name: str) -> Redo:
+    """Staging folder beside the table, so that it belongs to this table alone."""
+    database = spark.catalog.getDatabase(table_name(layer, name).split(".")[0])
+    return Redo(spark, f"{database.locationUri}/_redo_{name}")
 
 
 def upsert_rows(source: DataFrame, layer: str, name: str, keys: Sequence[str]) -> None:
     """Update or insert rows of a small log table, which is rewritten as a whole."""
-    target = read_table(source.sparkSession, layer, name)
-    content = stored(upsert_by_key(target, source, keys), "upsert")
-    content.write.mode("overwrite").format("parquet").saveAsTable(table_name(layer, name))
+    spark = source.sparkSession
+    redo = _redo(spark, layer, name)
+
+    def apply(content: DataFrame) -> None:
+        content.write.mode("overwrite").format("parquet").saveAsTable(table_name(layer, name))
+
+    redo.finish(apply)
+    redo.run(upsert_by_key(read_table(spark, layer, name), source, keys), apply)

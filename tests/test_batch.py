@@ -99,6 +99,10 @@ def test_crash_while_buckets_are_swapped(spark, monkeypatch):
         return sorted((r.k, r.v) for r in spark.table("raw.swapped").collect())
 
     load(("a", 1), ("b", 2))
+    load()
+    load(("b", 4), ("c", 5), ("c", 6))
+    assert content() == [("a", 1), ("b", 4), ("c", 5), ("c", 6)]
+    load(("b", 2))
     whole = tables._dynamic_overwrite
 
     @contextmanager
@@ -113,7 +117,37 @@ def test_crash_while_buckets_are_swapped(spark, monkeypatch):
     assert content() == []
     monkeypatch.setattr(tables, "_dynamic_overwrite", whole)
     load(("a", 3))
-    assert content() == [("a", 3), ("b", 2)]
+    assert content() == [("a", 3), ("b", 2), ("c", 5), ("c", 6)]
+
+
+def test_only_buckets_of_held_keys_are_rewritten(spark):
+    from pyspark.sql import types as T
+
+    from pitchside.sinks import tables
+
+    schema = T.StructType().add("k", T.StringType()).add("v", T.IntegerType())
+    tables.create_if_absent(spark, "raw", "partly", schema, bucketed=True)
+
+    def load(rows):
+        tables.load_replacing(spark.createDataFrame(rows, schema), "raw", "partly", ["k"], 4)
+
+    def files():
+        return set(spark.table("raw.partly").inputFiles())
+
+    load([(f"k{i}", i) for i in range(40)])
+    first = files()
+    load([(f"n{i}", i) for i in range(40)])
+    assert first < files()  # new keys: every old file is still there
+    second = files()
+    load([("k7", 70), ("k7", 71)])
+    assert len({f.split("key_bucket=")[1][0] for f in second - files()}) == 1
+    rows = {}
+    for r in spark.table("raw.partly").collect():
+        rows.setdefault(r.k, []).append(r.v)
+    assert sorted(rows.pop("k7")) == [70, 71]
+    want = {f"{p}{i}": [i] for p in "kn" for i in range(40)}
+    want.pop("k7")
+    assert rows == want
 
 
 def test_new_keys_are_counted(spark):
