@@ -22,6 +22,13 @@ from pitchside.sources import documents, posts as post_source  # noqa: E402
 from pitchside.sources.tables import parquet_tables, spread_scan, unseen_files  # noqa: E402
 from pitchside.streaming import posts as stream  # noqa: E402
 
+try:
+    from pitchside.llm import queries as text_queries
+except ModuleNotFoundError as missing:  # the folder may be left out
+    if missing.name != "pitchside.llm":
+        raise
+    text_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -388,7 +395,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """One entry per model and operator."""
-    return {
+    found = {
         "stg_matches": stg_matches,
         "stg_deliveries": stg_deliveries,
         "latest_post": latest_post,
@@ -427,8 +434,9 @@ def queries() -> dict[str, Query]:
         "stream_latest_post": stream_latest_post,
         "stream_daily_sentiment": stream_daily_sentiment,
     }
+    return found | text_queries.queries() if text_queries else found
 
 
 def oracle_sql() -> dict[str, str]:
     """The DuckDB twin of each query."""
-    return dict(oracle.SQL)
+    return dict(oracle.SQL) | (text_queries.oracle_sql() if text_queries else {})
