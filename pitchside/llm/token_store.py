@@ -14,6 +14,7 @@ fingerprint, and reads that byte range of that file: constant work however large
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,8 +22,9 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from pitchside.llm.common import PartFile, Ranges, bound_batches, text_or_empty
 
@@ -42,6 +44,17 @@ ROWS = "doc_id long, shard string, shard_no int, offset long, n_tokens long, ids
 # --- identifiers ------------------------------------------------------------------------------
 
 
+#: White space for ``str.split`` but not in Unicode's property, which the library goes by.
+SEPARATORS = re.compile("[\x1c-\x1f]")
+WHITE_SPACE = regex.compile(r"\p{White_Space}+")
+
+
+def words_of(text: str) -> list[str]:
+    if SEPARATORS.search(text):
+        return [word for word in WHITE_SPACE.split(text) if word]
+    return text.split()
+
+
 class Encoder:
     """Identifiers of whole texts, as bytes.
 
@@ -69,7 +82,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [ids + self.end for ids in self._encode(texts)]
-        split = [text.split() for text in texts]
+        split = [words_of(text) for text in texts]
         known = self.known
         if len(known) > WORDS_KEPT:
             known.clear()
@@ -312,8 +325,8 @@ def lookup(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
 def read_ids(places: DataFrame, folder: str, width: int) -> DataFrame:
     """Adds ``ids`` (the payload as stored) to rows with shard, offset and n_tokens."""
     bound_batches(places.sparkSession)
-    schema = places.schema.add("ids", "binary")
     names = places.columns
+    schema = T.StructType([*places.schema.fields, T.StructField("ids", T.BinaryType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranges = Ranges(f"{folder}/shards")
