@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchside.llm import token_counts, token_store
+from pitchside.llm import outliers, token_counts, token_store
 from pitchside.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,10 +36,16 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return outliers.with_verdicts(docs, carry=["doc_id"]).drop("distance")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_store": op1_token_store,
         "op6_token_counts": op6_token_counts,
+        "op9_quality_outliers": op9_quality_outliers,
     }
 
 
