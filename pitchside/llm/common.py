@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -119,7 +120,7 @@ def slices(batches: Iterable[pa.RecordBatch], size: int, column: str) -> Iterato
     """The batches in slices of about ``size`` bytes of ``column``, one row at least."""
     for batch in batches:
         texts = batch.column(column)
-        lengths = pa.compute.binary_length(texts.cast(pa.binary())).fill_null(0).to_pylist()
+        lengths = pc.binary_length(texts.cast(pa.binary())).fill_null(0).to_pylist()
         begin = total = 0
         for i, length in enumerate(lengths):
             if i > begin and total + length > size:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchside.llm import outliers, token_counts, token_store
+from pitchside.llm import near_dups, outliers, token_counts, token_store
 from pitchside.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_report(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 512
@@ -44,6 +48,7 @@ def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_token_store": op1_token_store,
+        "op2_near_duplicates": op2_near_duplicates,
         "op6_token_counts": op6_token_counts,
         "op9_quality_outliers": op9_quality_outliers,
     }

@@ -15,6 +15,7 @@ fingerprint, and reads that byte range of that file: constant work however large
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from pitchside.llm.common import PartFile, Ranges, bound_batches, text_or_empty
+from pitchside.llm.token_counts import byte_symbols
 
 #: Keys in a segment of the index, on average.
 SEGMENT_KEYS = 16_384
@@ -34,7 +36,7 @@ SEGMENT_KEYS = 16_384
 BITS_PER_KEY = 2.0
 MOST_LEVELS = 48
 #: Words whose identifiers a worker remembers before it forgets them all.
-WORDS_KEPT = 1_000_000
+WORDS_KEPT, VARIANTS_KEPT = 800_000, 200_000
 #: A word a worker remembers has at most so many code points; longer ones are encoded each time.
 WORD_KEPT_CHARS = 64
 
@@ -55,44 +57,81 @@ def words_of(text: str) -> list[str]:
     return text.split()
 
 
+#: Punctuation that the vocabulary splits from the letters before it.
+CLOSING = ".,!?;:"
+#: Letters below this code point are never changed by normalization, and but for one (a dotted
+#: capital I) become one letter each in lower case.
+LATIN_END, DOTTED = "\u0250", "\u0130"
+
+
+class _Words(dict):
+    """The identifiers of words, from the library when a word is new.
+
+    A word of Latin letters is merged by the library's model alone: all that the library does before
+    is to put it in lower case and write its bytes as letters. Closing punctuation is looked up apart,
+    as the library splits it off. Any other word passes through the whole library.
+    """
+
+    def __init__(self, library, kind: str):
+        super().__init__()
+        self.library, self.model, self.kind = library, library.model, kind
+        self.symbols = byte_symbols()
+        #: Words with capitals or closing punctuation, which come again less often.
+        self.variants: dict[str, bytes] = {}
+
+    def packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.kind}", *ids)
+
+    def whole(self, text: str) -> bytes:
+        return self.packed(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+
+    def __missing__(self, word: str) -> bytes:
+        if (value := self.variants.get(word)) is not None:
+            return value
+        letters = word.rstrip(CLOSING)
+        lower = letters.lower()
+        if letters.isalpha() and max(letters) < LATIN_END and DOTTED not in letters:
+            if lower != word:
+                value = self[lower] + (self[word[len(letters) :]] if letters != word else b"")
+                if len(self.variants) >= VARIANTS_KEPT:
+                    self.variants.clear()
+                self.variants[word] = value
+                return value
+            written = "".join(map(self.symbols.__getitem__, word.encode("utf-8")))
+            value = self.packed([token.id for token in self.model.tokenize(written)])
+        else:
+            value = self.whole(word)
+        if len(word) <= WORD_KEPT_CHARS:
+            if len(self) >= WORDS_KEPT:
+                self.clear()
+            self[word] = value
+        return value
+
+
 class Encoder:
     """Identifiers of whole texts, as bytes.
 
-    For vocabularies that drop white space, a text's identifiers are those of its words in turn, so
-    each word goes to the library once and is remembered. Whether a vocabulary is of that kind is
-    stated by the caller and covered by tests against the library on whole texts.
+    ``by_word`` states that the vocabulary is of a kind: white space is dropped, letters are put in
+    lower case, and letters, digits and other signs are split. A text's identifiers are then those of
+    its words in turn, so each word goes to the library once and is remembered. Tests hold this
+    against the library on whole texts.
     """
 
     def __init__(self, path: str, end_id: int | None, by_word: bool):
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self.kind = np.dtype(f"<u{self.width}")
-        self.end = b"" if end_id is None else np.array([end_id], self.kind).tobytes()
+        library = Tokenizer.from_file(path)
+        library.no_truncation()
+        library.no_padding()
+        self.width = 2 if library.get_vocab_size() <= 1 << 16 else 4
         self.by_word = by_word
-        self.known: dict[str, bytes] = {}
+        self.words = _Words(library, "H" if self.width == 2 else "I")
+        self.end = b"" if end_id is None else self.words.packed([end_id])
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.kind).tobytes() for x in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, text: str) -> bytes:
         if not self.by_word:
-            return [ids + self.end for ids in self._encode(texts)]
-        split = [words_of(text) for text in texts]
-        known = self.known
-        if len(known) > WORDS_KEPT:
-            known.clear()
-        new = list({word for words in split for word in words} - known.keys())
-        known.update(zip(new, self._encode(new)))
-        out = [b"".join(map(known.__getitem__, words)) + self.end for words in split]
-        for word in new:
-            if len(word) > WORD_KEPT_CHARS:
-                del known[word]
-        return out
+            return self.words.whole(text) + self.end
+        return b"".join(map(self.words.__getitem__, words_of(text))) + self.end
 
 
 @lru_cache(maxsize=2)
@@ -207,7 +246,7 @@ def write_store(
         encode = encoder(vocabulary, end_id, by_word)
         number, file = TaskContext.get().partitionId(), None
         for batch in batches:
-            found = encode.encode(batch.column("text").to_pylist())
+            found = [encode.encode(text) for text in batch.column("text").to_pylist()]
             if found and file is None:
                 file = PartFile(shards, f"part-{number:06d}")
             yield pa.RecordBatch.from_pydict(
