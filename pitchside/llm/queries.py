@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchside.llm import near_dups, outliers, token_counts, token_store
+from pitchside.llm import decontaminate, near_dups, outliers, token_counts, token_store
 from pitchside.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,12 +45,19 @@ def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.with_verdicts(docs, carry=["doc_id"]).drop("distance")
 
 
+def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leak_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_store": op1_token_store,
         "op2_near_duplicates": op2_near_duplicates,
         "op6_token_counts": op6_token_counts,
         "op9_quality_outliers": op9_quality_outliers,
+        "op10_benchmark_leaks": op10_benchmark_leaks,
     }
 
 
