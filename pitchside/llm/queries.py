@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchside.llm import decontaminate, near_dups, outliers, token_counts, token_store
+from pitchside.llm import decontaminate, mixing, near_dups, outliers, sql, token_counts, token_store
 from pitchside.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.with_sample(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
 def op9_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return outliers.with_verdicts(docs, carry=["doc_id"]).drop("distance")
@@ -56,10 +60,11 @@ def queries() -> dict[str, Query]:
         "op1_token_store": op1_token_store,
         "op2_near_duplicates": op2_near_duplicates,
         "op6_token_counts": op6_token_counts,
+        "op8_mixing": op8_mixing,
         "op9_quality_outliers": op9_quality_outliers,
         "op10_benchmark_leaks": op10_benchmark_leaks,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()
