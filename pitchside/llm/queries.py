@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchside.llm import decontaminate, mixing, near_dups, outliers, sql, token_counts, token_store
+from pitchside.llm import (
+    captures,
+    decontaminate,
+    mixing,
+    near_dups,
+    outliers,
+    sql,
+    token_counts,
+    token_store,
+)
 from pitchside.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +49,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captures.archive_report(table(spark, sf_dir, "pages"), scratch_path(spark, "archive"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.with_sample(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
@@ -60,6 +73,7 @@ def queries() -> dict[str, Query]:
         "op1_token_store": op1_token_store,
         "op2_near_duplicates": op2_near_duplicates,
         "op6_token_counts": op6_token_counts,
+        "op7_captures": op7_captures,
         "op8_mixing": op8_mixing,
         "op9_quality_outliers": op9_quality_outliers,
         "op10_benchmark_leaks": op10_benchmark_leaks,

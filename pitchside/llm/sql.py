@@ -71,8 +71,28 @@ def mixing(docs: str, mix: Mix = Mix()) -> str:
     return ",\n".join(out)
 
 
+#: Records of pages: the digest's hexadecimal digits are turned to base32 five at a time.
+CAPTURES = """
+with paid as (
+    select page_id, encode(coalesce(html, '')) as payload from pages
+), hashed as (
+    select page_id, octet_length(payload) as payload_bytes, sha1(payload) as digest from paid
+), newest as (
+    select digest, max(page_id) as newest from hashed group by all
+)
+select page_id, payload_bytes,
+    list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((('0x' || substr(digest, (1 + 5 * (i // 4))::bigint, 5))::bigint
+        >> (15 - 5 * (i % 4))::bigint) & 31) + 1, 1)), 'string_agg', '') as payload_digest,
+    case when page_id is distinct from newest then 'revisit' else 'response' end as record_type,
+    case when page_id is distinct from newest then newest end as refers_to
+from hashed join newest using (digest)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op7_captures": CAPTURES,
         "op8_mixing": f"with {mixing('documents')}\nselect doc_id, _tokens as n_tokens,"
         " _topic as topic, probability, kept from mixed",
     }
