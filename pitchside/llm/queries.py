@@ -13,6 +13,7 @@ from pitchside.llm import (
     mixing,
     near_dups,
     outliers,
+    pseudonyms,
     sql,
     token_counts,
     token_store,
@@ -43,6 +44,15 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: A key for the query alone; real ones come from a store of secrets.
+QUERY_KEY = "key of the registered query"
+
+
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.with_pseudonyms(docs, QUERY_KEY)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_report(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 512
@@ -72,6 +82,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_token_store": op1_token_store,
         "op2_near_duplicates": op2_near_duplicates,
+        "op5_pseudonyms": op5_pseudonyms,
         "op6_token_counts": op6_token_counts,
         "op7_captures": op7_captures,
         "op8_mixing": op8_mixing,
