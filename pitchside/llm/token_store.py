@@ -31,12 +31,12 @@ from pitchside.llm.common import PartFile, Ranges, bound_batches, text_or_empty
 from pitchside.llm.token_counts import byte_symbols
 
 #: Keys in a segment of the index, on average.
-SEGMENT_KEYS = 16_384
+SEGMENT_KEYS = 1_024
 #: Bits that a level of the hash function has for each key still to be placed.
 BITS_PER_KEY = 2.0
 MOST_LEVELS = 48
 #: Words whose identifiers a worker remembers before it forgets them all.
-WORDS_KEPT, VARIANTS_KEPT = 800_000, 200_000
+WORDS_KEPT, VARIANTS_KEPT = 500_000, 200_000
 #: A word a worker remembers has at most so many code points; longer ones are encoded each time.
 WORD_KEPT_CHARS = 64
 
