@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitchside.llm import (
     captures,
     decontaminate,
+    language,
     mixing,
     near_dups,
     outliers,
@@ -44,6 +45,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(table(spark, sf_dir, "documents"))
+
+
 #: A key for the query alone; real ones come from a store of secrets.
 QUERY_KEY = "key of the registered query"
 
@@ -82,6 +87,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_token_store": op1_token_store,
         "op2_near_duplicates": op2_near_duplicates,
+        "op3_language": op3_language,
         "op5_pseudonyms": op5_pseudonyms,
         "op6_token_counts": op6_token_counts,
         "op7_captures": op7_captures,
