@@ -18,6 +18,7 @@ from pitchside.llm import (
     sql,
     token_counts,
     token_store,
+    toxicity,
 )
 from pitchside.llm.common import scratch_path
 
@@ -49,6 +50,12 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_report(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 #: A key for the query alone; real ones come from a store of secrets.
 QUERY_KEY = "key of the registered query"
 
@@ -88,6 +95,7 @@ def queries() -> dict[str, Query]:
         "op1_token_store": op1_token_store,
         "op2_near_duplicates": op2_near_duplicates,
         "op3_language": op3_language,
+        "op4_toxicity": op4_toxicity,
         "op5_pseudonyms": op5_pseudonyms,
         "op6_token_counts": op6_token_counts,
         "op7_captures": op7_captures,
