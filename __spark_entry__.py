@@ -23,11 +23,12 @@ from pitchside.sources.tables import parquet_tables, spread_scan, unseen_files
 from pitchside.streaming import posts as stream  # noqa: E402
 
 try:
+    import corpus_pipeline
     from pitchside.llm import queries as text_queries
-except ModuleNotFoundError as missing:  # the folder may be left out
-    if missing.name != "pitchside.llm":
+except ModuleNotFoundError as missing:  # the text operators may be left out
+    if missing.name not in ("corpus_pipeline", "pitchside.llm"):
         raise
-    text_queries = None
+    corpus_pipeline = text_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -434,7 +435,9 @@ def queries() -> dict[str, Query]:
         "stream_latest_post": stream_latest_post,
         "stream_daily_sentiment": stream_daily_sentiment,
     }
-    return found | text_queries.queries() if text_queries else found
+    if text_queries:
+        found |= text_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
