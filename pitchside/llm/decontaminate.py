@@ -266,19 +266,24 @@ def _index(path: str, block: int, budget: Budget) -> Index:
 
 
 def with_items(
-    docs: DataFrame, benchmark: DataFrame, *, text: str = "text", budget: Budget = Budget()
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    text: str = "text",
+    name: str = "items",
+    budget: Budget = Budget(),
 ) -> DataFrame:
-    """Adds ``items``: the sorted ids of the benchmark texts of which a document holds a window.
+    """Adds ``items`` (or ``name``): the sorted ids of the benchmark texts of which a document holds a window.
 
     ``benchmark`` has ``item_id`` and ``text``; null ids count as -1. Null and empty texts hold
     nothing, and benchmark texts shorter than the budget's least are not sought. Whole texts are
     searched, however long. Rows stand alone, so repeated rows and ids get one answer. Other columns
-    pass through, but for one called ``items``, which is replaced. An empty benchmark finds nothing.
+    pass through, but for one of that name, which is replaced. An empty benchmark finds nothing.
     """
     spark = docs.sparkSession
     bound_batches(spark)
     path, blocks = _store_windows(benchmark, budget)
-    docs = docs.drop("items")
+    docs = docs.drop(name)
     names = docs.columns
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,9 +295,9 @@ def with_items(
                     for held, more in zip(found, _index(path, block, budget).found(data, upto)):
                         held |= more
                 items = pa.array([sorted(x) for x in found], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*batch.columns, items], names=[*names, "items"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, items], names=[*names, name])
 
-    schema = docs.select("*", F.array().cast("array<long>").alias("items")).schema
+    schema = docs.select("*", F.array().cast("array<long>").alias(name)).schema
     return docs.mapInArrow(search, schema)
 
 

@@ -135,18 +135,18 @@ def with_sample(
     on ``doc_id`` and the seed alone, so repeated rows stay or go together and a repeated run draws
     the same; all rows without a ``doc_id`` share one draw. Where the targets ask for more tokens than
     a cell has, all its documents stay, and the mix falls short there. An empty table gives an empty
-    one. ``carry`` may hold any column but those named here and those beginning with ``_``.
+    one. A carried column with one of these names is replaced.
     """
     scratch = Scratch(docs.sparkSession)
-    rows = with_features(docs, mix, text).select(
-        *[c(name).alias(name) for name in carry],
+    # Apart from the rest, columns of any name can be carried.
+    own = docs.select(
+        F.struct(*carry).alias("_carried"),
         c("doc_id").cast("string").alias("_key"),
         F.coalesce("source", F.lit("")).alias("_source"),
         F.coalesce("lang", F.lit("")).alias("_lang"),
-        "_topic",
-        "_tokens",
+        c(text).alias("_raw"),
     )
-    rows = stored(rows, "features")
+    rows = stored(with_features(own, mix, "_raw").drop("_raw"), "features")
     cells = rows.groupBy(
         c("_source").alias("source"), c("_lang").alias("lang"), c("_topic").alias("topic")
     ).agg(F.sum("_tokens").alias("base"))
@@ -154,10 +154,13 @@ def with_sample(
     fitted = stored(fitted.toDF("_source", "_lang", "_topic", "probability"), "probabilities")
     scratch.clear()
     drawn = uniform(F.coalesce("_key", F.lit("")), mix.seed)
+    told = {
+        "n_tokens": c("_tokens"),
+        "topic": c("_topic"),
+        "probability": c("probability"),
+        "kept": drawn < c("probability"),
+    }
     return rows.join(fitted, ["_source", "_lang", "_topic"]).select(
-        *carry,
-        c("_tokens").alias("n_tokens"),
-        c("_topic").alias("topic"),
-        "probability",
-        (drawn < c("probability")).alias("kept"),
+        *[c("_carried")[name].alias(name) for name in carry if name not in told],
+        *[value.alias(name) for name, value in told.items()],
     )

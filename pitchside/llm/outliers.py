@@ -33,6 +33,7 @@ VECTOR = {
     "v4": "sqrt(n_repeat_words / cast(greatest(n_words, 1) as double))",
     "v5": "sqrt(n_capitals / cast(greatest(word_chars, 1) as double))",
 }
+BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 D = len(VECTOR)
 NAMES = list(VECTOR)
 
@@ -257,15 +258,22 @@ def with_verdicts(
     its own verdict, so repeated rows all stay or all go. Rows that fail the base rule take no part
     in the estimates. Pools with too few rows share one with their language and then with all other
     small pools; if those are still too few, nothing is rejected by distance. An empty table gives
-    an empty one. ``carry`` may hold any column but those named here and those beginning with ``_``.
+    an empty one. A carried column with one of these names is replaced.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    rows = with_statistics(docs, text).select(
-        *carry,
+    # Apart from the rest, columns of any name can be carried.
+    own = docs.select(
+        F.struct(*carry).alias("_carried"),
         F.coalesce("lang", F.lit("")).alias("_lang"),
         F.coalesce("source", F.lit("")).alias("_source"),
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        c(text).alias("_raw"),
+    )
+    rows = with_statistics(own, "_raw").select(
+        "_carried",
+        "_lang",
+        "_source",
+        *BASE,
         *[F.expr(formula).alias(name) for name, formula in VECTOR.items()],
         (
             (c("n_words") < limits.least_words)
@@ -278,14 +286,17 @@ def with_verdicts(
         rows.where("not base_failed").join(pools, ["_lang", "_source"]), scratch, limits
     )
     enough = estimates.where(c("pool_rows") >= limits.least_pool)
-    told = stored(pools.join(enough, "pool"), "pool-estimates")
+    by_pool = stored(pools.join(enough, "pool"), "pool-estimates")
     scratch.clear()
-    judged = _distance(rows.join(told, ["_lang", "_source"], "left"))
+    judged = _distance(rows.join(by_pool, ["_lang", "_source"], "left"))
     distance = c("d") / c("factor")
+    told = {
+        **{name: c(name) for name in BASE},
+        "base_failed": c("base_failed"),
+        "distance": F.when(~c("base_failed"), distance),
+        "kept": ~c("base_failed") & F.coalesce(distance <= limits.cutoff, F.lit(True)),
+    }
     return judged.select(
-        *carry,
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed",
-        F.when(~c("base_failed"), distance).alias("distance"),
-        (~c("base_failed") & F.coalesce(distance <= limits.cutoff, F.lit(True))).alias("kept"),
+        *[c("_carried")[name].alias(name) for name in carry if name not in told],
+        *[value.alias(name) for name, value in told.items()],
     )

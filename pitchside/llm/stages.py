@@ -17,8 +17,8 @@ BROADCAST_IDS = 1_000_000
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rule or lie too far from their language and source go."""
-    judged = outliers.with_verdicts(docs, carry=docs.columns)
-    return judged.where("kept").select(docs.columns)
+    rows = docs.withColumn("_row", F.struct("*"))
+    return outliers.with_verdicts(rows, carry=["_row"]).where("kept").select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,13 +32,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a benchmark text go."""
-    found = decontaminate.with_items(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("items") == 0).select(docs.columns)
+    found = decontaminate.with_items(docs, table(spark, sf_dir, "benchmark"), name="_items")
+    return found.where(F.size("_items") == 0).drop("_items")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample by the probabilities that bring sources, languages and topics to their targets."""
-    return mixing.with_sample(docs, carry=docs.columns).where("kept").select(docs.columns)
+    rows = docs.withColumn("_row", F.struct("*"))
+    return mixing.with_sample(rows, carry=["_row"]).where("kept").select("_row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
