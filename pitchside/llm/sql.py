@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pitchside.llm.mixing import DIMENSIONS, Mix
+from pitchside.llm.outliers import Limits
 
 #: A text's words, as a list.
 WORDS = (
@@ -90,9 +91,124 @@ from hashed join newest using (digest)
 """
 
 
+def statistics(docs: str) -> list[str]:
+    """CTEs that end in ``base``: the statistics of each row of ``docs``."""
+    return [
+        f"split as materialized (select row_number() over () as rid, *, {WORDS} as words,"
+        " list_filter(string_split(coalesce(text, ''), chr(10)), lambda x:"
+        f" regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines from {docs})",
+        "windows as (select rid, i, list_slice(words, i, i + 2) as three from (select rid, words,"
+        " unnest(range(1, len(words) - 1)) as i from split))",
+        "again as (select rid, i from (select *, count(*) over (partition by rid, three) as times"
+        " from windows) where times > 1)",
+        "covered as (select rid, count(distinct place) as n from (select rid,"
+        " unnest([i, i + 1, i + 2]) as place from again) group by rid)",
+        "base as (select *, len(words) as n_words,"
+        " coalesce(length(list_aggregate(words, 'string_agg', '')), 0) as word_chars,"
+        f" {_removed('#*$%&|<>')} as n_symbols, {_removed('A-Z')} as n_capitals,"
+        " len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines,"
+        " coalesce(n, 0) as n_repeat_words from split left join covered using (rid))",
+    ]
+
+
+def outliers(docs: str, limits: Limits = Limits()) -> str:
+    """CTEs that end in ``judged``: the rows of ``docs`` with statistics and verdicts."""
+    n = range(5)
+    pairs = [(i, j) for i in n for j in range(i + 1)]
+    out = statistics(docs) + [
+        "vectors as materialized (select *, coalesce(lang, '') as l, coalesce(source, '') as s,"
+        f" n_words < {limits.least_words} or 100 * n_repeat_words >"
+        f" {limits.most_repeat_percent} * n_words as base_failed,"
+        " ln(greatest(word_chars, 1)::double / greatest(n_words, 1)) as v0,"
+        " sqrt(n_symbols::double / greatest(word_chars, 1)) as v1,"
+        " sqrt(n_dup_lines::double / greatest(n_lines, 1)) as v2,"
+        " sqrt(n_repeat_words::double / greatest(n_words, 1)) as v3,"
+        " sqrt(n_capitals::double / greatest(word_chars, 1)) as v4 from base)",
+        "sizes as (select l, s, count(*) as size from vectors where not base_failed group by all)",
+        f"pools as (select l, s, case when size >= {limits.least_pool} then 'source' || chr(1) || l"
+        f" || chr(1) || s when sum(case when size < {limits.least_pool} then size else 0 end)"
+        f" over (partition by l) >= {limits.least_pool} then 'language' || chr(1) || l"
+        " else 'rest' end as pool from sizes)",
+        "sound as materialized (select pool, v0, v1, v2, v3, v4 from vectors join pools"
+        " using (l, s) where not base_failed)",
+        "quartiles as (select pool, "
+        + ", ".join(
+            f"quantile_cont(round(v{i}, 3), {q}) as q{i}_{k}"
+            for i in n
+            for k, q in enumerate((0.25, 0.5, 0.75))
+        )
+        + " from sound group by pool)",
+    ]
+    squares = [
+        f"pow((v{i} - q{i}_1) / ((q{i}_2 - q{i}_0) / 1.349::double + {limits.floors[i]}::double),"
+        " 2)"
+        for i in n
+    ]
+    out += [
+        f"started as (select *, {' + '.join(squares)} as e0, greatest({', '.join(squares)}) as e1"
+        " from sound join quartiles using (pool))",
+        "near_0 as (select pool, v0, v1, v2, v3, v4, 0 as start, e0 as d from started union all"
+        " select pool, v0, v1, v2, v3, v4, 1, e1 from started)",
+    ]
+    distance = " + ".join(
+        "pow(" + " + ".join(f"w{i}_{j} * (v{j} - m{j})" for j in range(i + 1)) + ", 2)" for i in n
+    )
+
+    def reach(name: str, rows: str) -> list[str]:
+        return [
+            f"{name}_counts as (select pool, start, floor(log2(d + 1e-9::double) * 64)::int as bin,"
+            f" count(*) as size from {rows} group by all)",
+            f"{name} as materialized (select pool, start, min(bin) as last, any_value(whole) as"
+            " pool_rows from (select *, sum(size) over (partition by pool, start order by bin) as"
+            f" upto, sum(size) over (partition by pool, start) as whole from {name}_counts)"
+            f" where upto >= ceil(whole * {limits.coverage}::double) group by all)",
+        ]
+
+    for step in range(limits.steps + 1):
+        out += reach(f"reach_{step}", f"near_{step}")
+        averages = [f"avg(v{i}) as m{i}" for i in n] + [
+            f"avg(v{i} * v{j}) as p{i}_{j}" for i, j in pairs
+        ]
+        root, inverse = [], []
+        for i, j in pairs:
+            value = f"p{i}_{j} - m{i} * m{j}"
+            value += f" + {limits.floors[i] ** 2!r}::double" if i == j else ""
+            value += "".join(f" - l{i}_{k} * l{j}_{k}" for k in range(j))
+            root.append(f"{f'sqrt({value})' if i == j else f'({value}) / l{j}_{j}'} as l{i}_{j}")
+        for j in n:
+            for i in range(j, 5):
+                told = " + ".join(f"l{i}_{k} * w{k}_{j}" for k in range(j, i)) or "0"
+                inverse.append(f"({int(i == j)} - ({told})) / l{i}_{i} as w{i}_{j}")
+        out += [
+            f"sums_{step} as (select pool, start, any_value(pool_rows) as pool_rows,"
+            f" {', '.join(averages)} from near_{step} join reach_{step} using (pool, start)"
+            " where floor(log2(d + 1e-9::double) * 64) <= last group by all)",
+            f"fit_{step} as materialized (select *, {', '.join(root + inverse)},"
+            f" {' * '.join(f'l{i}_{i}' for i in n)} as det from sums_{step})",
+            f"near_{step + 1} as (select sound.*, start, {distance} as d from sound"
+            f" join fit_{step} using (pool))",
+        ]
+    last = limits.steps
+    out += [
+        f"best as materialized (select * from fit_{last} qualify row_number() over"
+        " (partition by pool order by det, start) = 1)",
+        f"final as (select sound.*, start, {distance} as d from sound join best using (pool))",
+        *reach("reach_final", "final"),
+        "scaled as (select best.*, greatest(1, pow(2::double, (last + 1)::double / 64) /"
+        f" {limits.chi_coverage}::double) as factor from best join reach_final using (pool, start)"
+        f" where best.pool_rows >= {limits.least_pool})",
+        f"judged as (select vectors.*, not base_failed and coalesce(({distance}) / factor <="
+        f" {limits.cutoff}::double, true) as kept from vectors left join pools using (l, s)"
+        " left join scaled using (pool))",
+    ]
+    return ",\n".join(out)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op7_captures": CAPTURES,
+        "op9_quality_outliers": f"with {outliers('documents')}\nselect doc_id, n_words, word_chars,"
+        " n_symbols, n_dup_lines, n_repeat_words, base_failed, kept from judged",
         "op8_mixing": f"with {mixing('documents')}\nselect doc_id, _tokens as n_tokens,"
         " _topic as topic, probability, kept from mixed",
     }
