@@ -335,7 +335,8 @@ def lookup(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
 
     def find(asked: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
         if not len(asked) or not len(stored):
-            return pd.DataFrame({"doc_id": [], "shard": [], "offset": [], "n_tokens": []})
+            kinds = {"doc_id": "int64", "shard": "object", "offset": "int64", "n_tokens": "int64"}
+            return pd.DataFrame({name: pd.Series(dtype=kind) for name, kind in kinds.items()})
         row = stored.iloc[0]
         function = PerfectHash.unpacked(row["sizes"], row["levels"])
         ids = asked["doc_id"].to_numpy(np.int64)
