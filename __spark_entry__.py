@@ -19,7 +19,7 @@ from pitchside.schemas import POST_RESPONSE  # noqa: E402
 from pitchside.session import scratch_path, stored  # noqa: E402
 from pitchside.sinks.landing import batch_file, land_batch, with_audit  # noqa: E402
 from pitchside.sources import documents, posts as post_source  # noqa: E402
-from pitchside.sources.tables import parquet_tables, spread_scan, unseen_files  # noqa: E402
+from pitchside.sources.tables import parquet_tables, unseen_files  # noqa: E402
 from pitchside.streaming import posts as stream  # noqa: E402
 
 try:
@@ -96,9 +96,9 @@ def dim_players(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def surrogate_key_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The many-keys path of the surrogate key, with few keys per task."""
+    """Dense ids for as many keys as there are matches."""
     ids = views.raw_matches(spark, sf_dir).select("match_id")
-    return entities.surrogate_key(ids, "match_id", "match_number", keys_per_task=1_000)
+    return entities.surrogate_key(ids, "match_id", "match_number")
 
 
 def fct_match_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,12 +299,12 @@ def _lexicon(spark: SparkSession) -> DataFrame:
 
 
 def text_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread_scan(parquet_tables(spark, sf_dir, "documents")["documents"])
+    docs = views.spread(spark, sf_dir, "documents")
     return score_text(docs, "doc_id", "text", _lexicon(spark))
 
 
 def text_sentiment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread_scan(parquet_tables(spark, sf_dir, "documents")["documents"])
+    docs = views.spread(spark, sf_dir, "documents")
     rules = Rules(
         intensifiers=oracle.INTENSIFIERS,
         dampeners=oracle.DAMPENERS,
@@ -315,7 +315,7 @@ def text_sentiment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def post_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread_scan(parquet_tables(spark, sf_dir, "pages")["pages"])
+    pages = views.spread(spark, sf_dir, "pages")
     posts = pages.select("page_id", c("url").alias("post_title"), c("html").alias("post_body"))
     return score_posts(posts, _lexicon(spark)).drop("post_title", "post_body")
 

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pitchside.session import stored
 
-KEYS_PER_TASK = 2_000_000
-
 
 def entity_union(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
     """Distinct non-null values found in any of ``cols``, read in a single scan."""
@@ -21,37 +18,33 @@ def entity_union(df: DataFrame, cols: Sequence[str], name: str) -> DataFrame:
     )
 
 
-def surrogate_key(
-    df: DataFrame, order_col: str, id_name: str, keys_per_task: int = KEYS_PER_TASK
-) -> DataFrame:
+def surrogate_key(df: DataFrame, order_col: str, id_name: str) -> DataFrame:
     """Dense ids 1..n in the order of ``order_col``, whose values are unique.
 
-    The rows are written to scratch once and counted there. Up to ``keys_per_task`` rows are
-    numbered by one window. Beyond that they are range-partitioned, each range is numbered by its
-    own task, and the row counts of the ranges before it are added. The ranges are written to
-    scratch with their number, so a recomputed task cannot see another split.
+    The rows are partitioned by ranges of the order and sorted; each task numbers its own range as it
+    writes it to scratch, so a recomputed task cannot see another split. Then the row counts of the
+    ranges before it are added to a row's number. The rows are shuffled once.
     """
-    keys = stored(df, "keys")
-    ranges = math.ceil(keys.count() / keys_per_task)
-    if ranges <= 1:
-        number = F.row_number().over(Window.orderBy(order_col)).cast("long")
-        return keys.select(number.alias(id_name), *df.columns)
-
-    part = "_range"
+    at, part = "_at", "_range"
     split = stored(
-        keys.repartitionByRange(ranges, order_col).withColumn(part, F.spark_partition_id()),
+        stored(df, "keys")
+        .repartitionByRange(order_col)
+        .sortWithinPartitions(order_col)
+        .withColumn(at, F.monotonically_increasing_id()),
         "ranges",
     )
+    # The number holds the partition above its low 33 bits and the place in it below.
+    split = split.withColumn(part, F.shiftright(at, 33))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range, so both this window and the broadcast hold at most `ranges` rows.
+    # One row per range, so both this window and the broadcast hold at most as many rows.
     offsets = (
         split.groupBy(part)
         .count()
         .select(part, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
     )
-    number = F.row_number().over(Window.partitionBy(part).orderBy(order_col))
+    place = F.col(at).bitwiseAND(F.lit((1 << 33) - 1)) + 1
     return split.join(F.broadcast(offsets), part).select(
-        (number + F.col("_offset")).cast("long").alias(id_name), *df.columns
+        (place + F.col("_offset")).cast("long").alias(id_name), *df.columns
     )
 
 

@@ -55,19 +55,22 @@ def incremental_append(target: DataFrame | None, source: DataFrame, key: str) ->
 def upsert_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Table content after updating the matched rows and inserting the others.
 
-    ``source`` holds one row per key. Columns it lacks keep their value in updated rows and are
-    NULL in inserted rows.
+    ``source`` holds one row per key; a repeated key raises an error when the rows are read. Columns
+    it lacks keep their value in updated rows and are NULL in inserted rows.
     """
     changed = [c for c in source.columns if c not in keys]
-    update = source.select(
-        *keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in changed]
+    repeated = F.raise_error(
+        F.concat_ws(" ", F.lit("repeated key:"), *[F.col(k).cast("string") for k in keys])
     )
-    updated = target.join(update, list(keys), "left").select(
+    update = (
+        source.groupBy(*keys)
+        .agg(F.count("*").alias("_times"), *[F.first(c).alias(f"_new_{c}") for c in changed])
+        .withColumn("_hit", F.when(F.col("_times") > 1, repeated.cast("boolean")).otherwise(True))
+    )
+    new = {c: F.col(f"_new_{c}") for c in changed}
+    return target.join(update, list(keys), "full").select(
         *[
-            F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-            if c in changed
-            else F.col(c)
+            F.when(F.col("_hit"), new[c]).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
             for c in target.columns
         ]
     )
-    return updated.unionByName(insert_new_keys(target, source, keys), allowMissingColumns=True)

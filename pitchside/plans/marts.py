@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pitchside.functions.columns import count_when, ordered_listagg, ratio, rounded
 from pitchside.operators.entities import unpivot_roles
-from pitchside.operators.picks import best_row, best_value
+from pitchside.operators.picks import best_pair, best_value
 
 
 def _with_season(per_match: DataFrame, matches: DataFrame) -> DataFrame:
@@ -67,11 +67,9 @@ def bowling_per_match(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
 
 def best_figures(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
     """Best match figures ``wickets/runs`` per bowler and season."""
-    figures = F.concat_ws("/", F.col("wickets").cast("string"), F.col("runs").cast("string"))
-    return best_row(
+    return best_pair(
         bowling_per_match(deliveries, matches),
         ["bowler", "season"],
-        figures,
         "best_bowling_figures",
         desc="wickets",
         asc="runs",

@@ -27,16 +27,6 @@ def parquet_tables(spark: SparkSession, folder: str, *names: str) -> dict[str, D
     return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Rows of a scan over all cores, for work that is heavy per row.
-
-    Only where the scan has fewer tasks than the session has cores, as for a small file of one row
-    group. A scan with enough tasks is left as it is and costs no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     """Lexicon ``(token, valence)`` from tab-separated text; columns after these are left out."""
     return spark.read.schema("token STRING, valence DOUBLE").csv(path, sep="\t", quote="")

@@ -14,6 +14,12 @@ from pitchside.sources.tables import parquet_tables
 c = F.col
 
 
+def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table dealt evenly: its one small file would be read by one task."""
+    table = parquet_tables(spark, sf_dir, name)[name]
+    return table.repartition(spark.sparkContext.defaultParallelism)
+
+
 def _text(value: Column) -> Column:
     return value.cast("string")
 
