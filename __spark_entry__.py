@@ -15,7 +15,6 @@ from pitchside import testviews as views  # noqa: E402
 from pitchside.functions.sentiment import Rules, score_posts, score_text  # noqa: E402
 from pitchside.operators import entities, keyed, quality  # noqa: E402
 from pitchside.plans import batch, contracts, dimensions, facts, marts, staging  # noqa: E402
-from pitchside.schemas import POST_RESPONSE  # noqa: E402
 from pitchside.session import scratch_path, stored  # noqa: E402
 from pitchside.sinks.landing import batch_file, land_batch, with_audit  # noqa: E402
 from pitchside.sources import documents, posts as post_source  # noqa: E402
@@ -230,8 +229,7 @@ def rejected_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def post_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = views.post_response_texts(spark, sf_dir)
-    parsed = texts.select(F.inline(F.array(F.from_json("response", POST_RESPONSE))))
-    return _as_text(post_source.post_records(parsed))
+    return _as_text(post_source.post_records(post_source.parse_responses(texts, "response")))
 
 
 # --- landing and streaming --------------------------------------------------------------------

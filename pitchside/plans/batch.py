@@ -10,7 +10,7 @@ from pitchside.functions.columns import utc_now
 from pitchside.operators.quality import run_checks
 from pitchside.plans import dimensions, facts, marts, staging
 from pitchside.plans.contracts import RULES
-from pitchside.schemas import RAW_DELIVERIES, RAW_MATCHES, RUN_LOG
+from pitchside.schemas import RAW_DELIVERIES, RAW_MATCHES, REJECTED_DOCUMENTS, RUN_LOG
 from pitchside.session import stored
 from pitchside.sinks import tables as sink
 from pitchside.sources import documents
@@ -34,23 +34,29 @@ def ordered_report(df: DataFrame, model: str) -> DataFrame:
 def _create_raw_tables(spark: SparkSession) -> None:
     sink.create_if_absent(spark, "raw", "raw_matches", RAW_MATCHES)
     sink.create_if_absent(spark, "raw", "raw_deliveries", RAW_DELIVERIES, bucketed=True)
+    sink.create_if_absent(spark, "raw", "rejected_documents", REJECTED_DOCUMENTS)
 
 
-def _load(docs: DataFrame, buckets: int) -> None:
-    docs = stored(docs, "documents")  # the text is parsed once, both row sets read the columns
+def _load(parsed: DataFrame, buckets: int) -> DataFrame:
+    """Load the sound documents and append the others to the rejects, which are returned."""
+    parsed = stored(parsed, "documents")  # the text is parsed once, all row sets read the columns
+    docs, rejects = documents.split_docs(parsed)
     loaded_at = utc_now()
+    sink.load_new_keys(
+        rejects.withColumn("loaded_at", loaded_at), "raw", "rejected_documents",
+        ["match_id"],
+    )
     headers = documents.match_headers(docs).withColumn("loaded_at", loaded_at)
     balls = documents.deliveries(docs).withColumn("loaded_at", loaded_at)
     sink.load_new_keys(headers, "raw", "raw_matches", ["match_id"])
     sink.load_replacing(balls, "raw", "raw_deliveries", ["match_id"], buckets)
+    return rejects
 
 
 def load_documents(spark: SparkSession, path: str, buckets: int = KEY_BUCKETS) -> DataFrame:
     """Parse a whole folder of match documents into the raw tables; returns the rejected files."""
     _create_raw_tables(spark)
-    docs, rejects = documents.read_match_docs(spark, path)
-    _load(docs, buckets)
-    return rejects
+    return _load(documents.scan_match_docs(spark, path), buckets)
 
 
 def load_new_documents(
@@ -62,20 +68,22 @@ def load_new_documents(
 ) -> None:
     """The same for the files that came since the last call with this checkpoint folder.
 
+    Rejected files are found in the table ``rejected_documents``: no later call is offered them again.
+
     Files do not change once they are there, so the raw tables end up as after a full read. A batch
     that runs again after a failure replaces its own rows.
     """
     _create_raw_tables(spark)
     query = (
         documents.stream_match_docs(spark, path, files_per_batch)
-        .writeStream.foreachBatch(lambda docs, _: _load(docs, buckets))
+        .writeStream.foreachBatch(lambda docs, _: (_load(docs, buckets), None)[1])
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
     # The batches ran in a session of the query; this one may know the tables' files of before.
-    for name in ("raw_matches", "raw_deliveries"):
+    for name in ("raw_matches", "raw_deliveries", "rejected_documents"):
         spark.catalog.refreshTable(table_name("raw", name))
 
 

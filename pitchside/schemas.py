@@ -78,10 +78,24 @@ RAW_POSTS = _struct(
     raw_json=_TEXT,
 )
 
+REJECTED_DOCUMENTS = _struct(match_id=_TEXT, document=_TEXT, loaded_at=_TIME)
+
 RUN_LOG = _struct(
     pipeline_name=_TEXT, run_type=_TEXT, last_run_at=T.TimestampType(), status=_TEXT
 )
 
+
+def as_text(kind: T.DataType) -> T.DataType:
+    """The type with all its values read as text, however the JSON writes them."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, as_text(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(as_text(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(_TEXT, as_text(kind.valueType))
+    return _TEXT
+
+
 _WICKET = _struct(kind=_TEXT, player_out=_TEXT, fielders=T.ArrayType(_struct(name=_TEXT)))
 _BALL = _struct(
     batter=_TEXT,

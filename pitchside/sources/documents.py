@@ -8,14 +8,21 @@ from pyspark.sql import (
 from pyspark.sql.streaming import DataStreamReader
 
 from pitchside.functions.columns import first_key, first_of, not_empty
-from pitchside.schemas import MATCH_DOCUMENT
+from pitchside.schemas import MATCH_DOCUMENT, as_text
 
 CORRUPT = "_corrupt"
-_READ_SCHEMA = T.StructType([*MATCH_DOCUMENT.fields, T.StructField(CORRUPT, T.StringType())])
+_READ_SCHEMA = T.StructType(
+    [*as_text(MATCH_DOCUMENT).fields, T.StructField(CORRUPT, T.StringType())]
+)
+
 
+def split_docs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sound documents, and the rejected: malformed ones and those without their header.
 
-def _split(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    bad = F.col(CORRUPT).isNotNull() | F.col("info").isNull()
+    Values are read as text and cast where they are used, so a value of another type is NULL and the
+    document stays.
+    """
+    bad = F.col("info").isNull()
     good = docs.where(~bad).select("match_id", "info", "innings")
     return good, docs.where(bad).select("match_id", F.col(CORRUPT).alias("document"))
 
@@ -32,22 +39,27 @@ def _scan(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
     )
 
 
+def scan_match_docs(spark: SparkSession, path: str) -> DataFrame:
+    """All documents of a folder as they were read, for ``split_docs``."""
+    return _scan(spark.read, path)
+
+
 def read_match_docs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Documents ``(match_id, info, innings)`` of a folder, and the rejected files.
 
     Malformed files and files without ``info`` are rejected; the others are read all the same.
     """
-    return _split(_scan(spark.read, path))
+    return split_docs(_scan(spark.read, path))
 
 
 def stream_match_docs(
     spark: SparkSession, path: str, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Documents of a folder as a stream that reads each file once."""
+    """Documents of a folder as a stream that reads each file once; a batch is for ``split_docs``."""
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _split(_scan(reader, path))[0]
+    return _scan(reader, path)
 
 
 def parse_match_docs(df: DataFrame, id_col: str, json_col: str) -> tuple[DataFrame, DataFrame]:
@@ -55,7 +67,12 @@ def parse_match_docs(df: DataFrame, id_col: str, json_col: str) -> tuple[DataFra
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     doc = F.from_json(json_col, _READ_SCHEMA, options)
     # As a generator the parse runs once per row, and not again for every field and filter.
-    return _split(df.select(F.col(id_col).alias("match_id"), F.inline(F.array(doc))))
+    return split_docs(df.select(F.col(id_col).alias("match_id"), F.inline(F.array(doc))))
+
+
+def whole(value: Column) -> Column:
+    """A whole number; NULL for anything else."""
+    return value.try_cast("int")
 
 
 def match_headers(docs: DataFrame) -> DataFrame:
@@ -72,12 +89,12 @@ def match_headers(docs: DataFrame) -> DataFrame:
         "toss_winner": info["toss"]["winner"],
         "toss_decision": info["toss"]["decision"],
         "match_winner": info["outcome"]["winner"],
-        "win_by_runs": info["outcome"]["by"]["runs"],
-        "win_by_wickets": info["outcome"]["by"]["wickets"],
+        "win_by_runs": whole(info["outcome"]["by"]["runs"]),
+        "win_by_wickets": whole(info["outcome"]["by"]["wickets"]),
         "player_of_match": first_of(info["player_of_match"]),
         "event_name": info["event"]["name"],
         "event_stage": info["event"]["stage"],
-        "event_match_number": info["event"]["match_number"],
+        "event_match_number": whole(info["event"]["match_number"]),
     }
     return docs.select(*[value.alias(name) for name, value in fields.items()])
 
@@ -95,7 +112,7 @@ def deliveries(docs: DataFrame) -> DataFrame:
         "match_id",
         "inning_number",
         "batting_team",
-        F.col("over.over").alias("over_number"),
+        whole(F.col("over.over")).alias("over_number"),
         F.posexplode("over.deliveries").alias("ball_number", "ball"),
     )
     ball, runs = F.col("ball"), F.col("ball.runs")
@@ -109,9 +126,9 @@ def deliveries(docs: DataFrame) -> DataFrame:
         ball["batter"].alias("batter"),
         ball["bowler"].alias("bowler"),
         ball["non_striker"].alias("non_striker"),
-        F.coalesce(runs["batter"], F.lit(0)).alias("runs_batter"),
-        F.coalesce(runs["extras"], F.lit(0)).alias("runs_extras"),
-        F.coalesce(runs["total"], F.lit(0)).alias("runs_total"),
+        F.coalesce(whole(runs["batter"]), F.lit(0)).alias("runs_batter"),
+        F.coalesce(whole(runs["extras"]), F.lit(0)).alias("runs_extras"),
+        F.coalesce(whole(runs["total"]), F.lit(0)).alias("runs_total"),
         first_key("ball.extras").alias("extras_type"),
         not_empty("ball.wickets").alias("is_wicket"),
         wicket["kind"].alias("wicket_kind"),

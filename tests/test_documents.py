@@ -99,3 +99,22 @@ def test_unseen_files(spark, folder):
     seen = spark.createDataFrame([("1001.json",), ("1001.json",), ("gone.json",)], ["file_name"])
     names = {r.file_name for r in unseen_files(listing, seen).collect()}
     assert names == {f"{n}.json" for n in (1002, 1003, 1004, 1005, 1006, 1007)}
+
+
+def test_wrong_types_spoil_one_value_only(spark):
+    texts = [
+        ('1', '{"info": {"venue": "V", "event": {"match_number": "12"}, "toss": "x",'
+              ' "outcome": {"by": {"runs": "many"}}}, "innings": [{"team": "T", "overs":'
+              ' [{"over": 1.5, "deliveries": [{"batter": 7, "runs": {"batter": "4"},'
+              ' "extras": {"wides": 1.5}}]}]}]}'),
+        ('2', '{"info": {"venue": '),
+    ]
+    df = spark.createDataFrame(texts, "id STRING, doc STRING")
+    docs, rejects = documents.parse_match_docs(df, "id", "doc")
+    header = documents.match_headers(docs).first()
+    assert (header.match_id, header.venue, header.event_match_number) == ("1", "V", 12)
+    assert (header.win_by_runs, header.toss_winner) == (None, None)
+    ball = documents.deliveries(docs).first()
+    assert (ball.batter, ball.runs_batter, ball.extras_type) == ("7", 4, "wides")
+    assert ball.over_number is None
+    assert [r.match_id for r in rejects.collect()] == ["2"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pitchside.functions.columns import joined_text, utc_from_epoch, utc_from_iso
 from pitchside.sinks.landing import batch_file, land_batch, with_audit
 from pitchside.schemas import RAW_POSTS
-from pitchside.sources.posts import read_posts
+from pitchside.sources.posts import post_records, read_posts, read_responses, rejected_posts
 
 
 @pytest.fixture(scope="module")
@@ -43,8 +43,24 @@ def test_read_posts(spark, responses):
     assert len(first) == 11
 
 
-def test_fetch_limit(spark, responses):
-    assert read_posts(spark, responses, limit=2).count() == 2
+def test_odd_responses_lose_nothing(spark, tmp_path):
+    posts = [
+        {"id": "a", "score": "7", "num_comments": "x", "created_utc": "1717689600"},
+        {"id": "b", "created_utc": "yesterday"},
+        {"id": "c", "created_utc": None, "title": 5},
+    ]
+    body = json.dumps({"data": posts, "fetched_at": "2024-06-06T18:00:00Z"})
+    (tmp_path / "1.json").write_text(body)
+    (tmp_path / "2.json").write_text(body[:40])
+    responses = read_responses(spark, str(tmp_path)).cache()
+    rows = {r.post_id: r for r in post_records(responses).collect()}
+    assert set(rows) == {"a", "c"}
+    assert (rows["a"].score, rows["a"].num_comments) == (7, None)
+    assert rows["a"].created_utc == dt.datetime(2024, 6, 6, 16, 0)
+    assert (rows["c"].created_utc, rows["c"].post_title) == (dt.datetime(1970, 1, 1), "5")
+    rejects = {r.reason: r.text for r in rejected_posts(responses).collect()}
+    assert rejects["malformed response"] == body[:40]
+    assert json.loads(rejects["unreadable date"])["id"] == "b"
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
