@@ -21,31 +21,35 @@ ROUNDS = 8
 
 # --- patterns ---------------------------------------------------------------------------------
 
-#: No digit, and no digit behind a point or comma, stands before a number.
-BEFORE = r"(?<![0-9])(?<![0-9][.,])"
+#: No digit, and no digit behind a point or comma, stands before a number. Where none can begin, the
+#: first class says so before anything else is tried.
+BEFORE = r"(?=[0-9+(])(?<![0-9])(?<![0-9][.,])"
 AFTER = r"(?![0-9])(?![.,][0-9])"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
-#: By kind, in the order in which they are tried at a place.
-PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]+\.)+\p{L}{2,}",
-    "ip": rf"{BEFORE}{OCTET}(?:\.{OCTET}){{3}}{AFTER}",
-    "date": rf"{BEFORE}[0-9]{{4}}([-/.])[0-9]{{1,2}}\1[0-9]{{1,2}}{AFTER}",
-    "day_first": rf"{BEFORE}[0-9]{{1,2}}([-/.])[0-9]{{1,2}}\2[0-9]{{4}}{AFTER}",
-    "social": rf"{BEFORE}(?<![-+])[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?!-){AFTER}",
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]+\.)+\p{L}{2,}"
+
+#: Numbers by kind, in the order in which they are tried at a place.
+NUMBERS = {
+    "ip": rf"{OCTET}(?:\.{OCTET}){{3}}{AFTER}",
+    "date": rf"[0-9]{{4}}([-/.])[0-9]{{1,2}}\1[0-9]{{1,2}}{AFTER}",
+    "day_first": rf"[0-9]{{1,2}}([-/.])[0-9]{{1,2}}\2[0-9]{{4}}{AFTER}",
+    "social": rf"(?<![-+])[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?!-){AFTER}",
     "phone": (
-        rf"{BEFORE}(?:\+[0-9]{{1,3}}[ .-]?)(?:\([0-9]{{2,4}}\)|[0-9]{{2,4}})"
+        rf"(?:\+[0-9]{{1,3}}[ .-]?)(?:\([0-9]{{2,4}}\)|[0-9]{{2,4}})"
         rf"(?:[ .-]?[0-9]{{2,4}}){{2,3}}{AFTER}"
-        rf"|{BEFORE}\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}{AFTER}"
-        rf"|{BEFORE}(?<!-)[0-9]{{3}}([-.])[0-9]{{3}}\3[0-9]{{4}}(?!-){AFTER}"
+        rf"|\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}{AFTER}"
+        rf"|(?<!-)[0-9]{{3}}([-.])[0-9]{{3}}\3[0-9]{{4}}(?!-){AFTER}"
     ),
     "card": (
-        rf"{BEFORE}[0-9]{{4}}([ -])[0-9]{{4}}\4[0-9]{{4}}\4[0-9]{{4}}{AFTER}"
-        rf"|{BEFORE}[0-9]{{4}}([ -])[0-9]{{6}}\5[0-9]{{5}}{AFTER}"
-        rf"|{BEFORE}[0-9]{{13,19}}{AFTER}"
+        rf"[0-9]{{4}}([ -])[0-9]{{4}}\4[0-9]{{4}}\4[0-9]{{4}}{AFTER}"
+        rf"|[0-9]{{4}}([ -])[0-9]{{6}}\5[0-9]{{5}}{AFTER}"
+        rf"|[0-9]{{13,19}}{AFTER}"
     ),
 }
-FIND = "|".join(PATTERNS.values())
+FIND = BEFORE + "(?:" + "|".join(NUMBERS.values()) + ")|" + EMAIL
+#: Without one of these a text holds nothing to find.
+SIGNS = "[0-9@]"
 
 
 def quoted(text: str) -> str:
@@ -240,8 +244,17 @@ def with_pseudonyms(docs: DataFrame, key: str, *, text: str = "text") -> DataFra
     """
     out = (
         docs.withColumn("_text", text_or_empty(text))
-        .withColumn("_found", F.expr(f"regexp_extract_all(_text, {quoted(FIND)}, 0)"))
-        .withColumn("_between", F.split("_text", FIND, -1))
+        .withColumn(
+            "_found",
+            F.expr(
+                f"if(_text rlike {quoted(SIGNS)}, regexp_extract_all(_text, {quoted(FIND)}, 0),"
+                " cast(array() as array<string>))"
+            ),
+        )
+        .withColumn(
+            "_between",
+            F.when(F.size("_found") > 0, F.split("_text", FIND, -1)).otherwise(F.array("_text")),
+        )
         .withColumn("_put", F.expr(f"transform(_found, m -> {pseudonym('m', key)})"))
     )
     joined = (
