@@ -153,7 +153,8 @@ class Languages:
             bases.append(base)
             lengths.append(len(joined))
             base += table.size
-        self.table = np.concatenate(tables).astype(np.int32 if base < 1 << 28 else np.int64)
+        narrow = np.int32 if base < 1 << 28 else np.int64
+        self.table = np.concatenate([*tables, np.zeros(0, np.int64)]).astype(narrow)
         self.bases = np.array(bases, np.int64)
         self.bits = np.log2(np.maximum(2, lengths))
 
