@@ -8,11 +8,12 @@ partner at all; so the frequent postings are skipped when candidates are sought,
 the agreeing coordinates of a candidate pair are counted. Pairs that agree often enough are
 confirmed on the full sets.
 
-Groups of copies would make a pair of any two members, so candidates are sought in rounds. In a
-round every document meets at most one other, the first of a posting (its hub); what the confirmed
-links join is one component. Only postings whose documents are still in several components go
-on, and after the last round all their remaining pairs between components are tried. Pairs within
-a component need no test, so no link that would change a component is lost.
+Groups of copies would make a pair of any two members. So at first every document meets at most one
+other, the most agreeable of the first documents of its postings (its hub); what the confirmed links
+join is one component. Only postings whose documents are still in several components go on: their
+documents are dealt to small blocks, and a task holds two blocks that share a posting against each
+other. It counts, confirms, and gives out only links that join two components, so no pairs are
+written or shuffled, and no link that would change a component is lost.
 """
 
 from __future__ import annotations
@@ -47,10 +48,12 @@ class Likeness:
     #: Agreeing coordinates of a candidate. At 85 of 100 equal shingles, fewer agree once in a
     #: million pairs (binomial).
     matches: int = 40
-    #: Rounds of hubs before all remaining pairs are tried.
-    rounds: int = 3
 
 
+#: Documents of a block, and shingles, on average at most.
+BLOCK, BLOCK_SHINGLES = 128, 500_000
+#: Shingles of two blocks that are compared at once.
+COLUMNS = 2_048
 #: The ids of candidate documents are broadcast to the scan of their texts up to so many.
 BROADCAST_IDS = 1_000_000
 
@@ -245,29 +248,146 @@ def _hub_pairs(posted: DataFrame) -> DataFrame:
     )
 
 
-#: Documents of one posting that a task holds against as many others.
-BLOCK = 512
+def _blocks(posted: DataFrame, classes: DataFrame) -> DataFrame:
+    """``node, block``: the documents of one large posting share a block, or a few.
+
+    A document's home is the largest posting of those that the documents of its own postings are in,
+    so that a group that many postings tie together has one home.
+    """
+    sizes = posted.groupBy("post").agg(F.count("*").alias("n"))
+    largest = F.max("at").alias("at")
+    by_node = posted.join(sizes, "post").select("node", F.struct("n", "post").alias("at"))
+    by_post = posted.join(by_node.groupBy("node").agg(largest), "node")
+    most = posted.join(by_post.groupBy("post").agg(largest), "post").groupBy("node").agg(largest)
+    homed = most.select("node", c("at.post").alias("home")).join(
+        classes.select("node", "n_shingles"), "node"
+    )
+    counts = homed.groupBy("home").agg(
+        F.greatest(
+            F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
+        ).alias("blocks")
+    )
+    nth = F.pmod(F.xxhash64("node"), c("blocks"))
+    return homed.join(counts, "home").select("node", F.xxhash64("home", nth).alias("block"))
 
 
-def _rest_pairs(posted: DataFrame, like: Likeness) -> DataFrame:
-    """All pairs of each posting across components, in blocks of documents."""
-    sizes = posted.groupBy("post").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = posted.join(sizes, "post").withColumn(
-        "block", F.pmod(F.xxhash64("node"), c("blocks")).cast("int")
+def linked(
+    one: list[tuple[int, int, np.ndarray]], two: list[tuple[int, int, np.ndarray]], like: Likeness
+) -> list[tuple[int, int]]:
+    """Links between two blocks (or within one, given twice) that join components.
+
+    A block is a list of node, component and set of shingles. Signatures that agree often enough make
+    candidates; their full sets are compared as rows of 0 and 1, shared shingles only.
+    """
+    scales, salts = _scales(like.coordinates)
+    sizes = [np.array([len(x[2]) for x in block]) for block in (one, two)]
+    signs = [np.array([signature(x[2], scales, salts) for x in block]) for block in (one, two)]
+    parts = [np.array([x[1] for x in block]) for block in (one, two)]
+    agree = np.zeros((len(one), len(two)), np.int16)
+    for k in range(like.coordinates):
+        agree += signs[0][:, k][:, None] == signs[1][:, k][None, :]
+    large = np.maximum(sizes[0][:, None], sizes[1][None, :])
+    small = np.minimum(sizes[0][:, None], sizes[1][None, :])
+    open_pairs = (
+        (agree >= like.matches)
+        & (100 * small >= like.percent * large)
+        & (parts[0][:, None] != parts[1][None, :])
+    )
+    rows = [np.flatnonzero(open_pairs.any(axis=1)), np.flatnonzero(open_pairs.any(axis=0))]
+    if not len(rows[0]):
+        return []
+    flat, owner = [], []
+    for block, some in zip((one, two), rows):
+        flat.append(np.concatenate([block[i][2] for i in some]))
+        owner.append(np.repeat(np.arange(len(some)), [len(block[i][2]) for i in some]))
+    shared = np.intersect1d(flat[0], flat[1])
+    both = np.zeros((len(rows[0]), len(rows[1])), np.float32)
+    for at in range(0, len(shared), COLUMNS):
+        known = shared[at : at + COLUMNS]
+        sides = []
+        for hashes, owners, some in zip(flat, owner, rows):
+            place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            there = known[place] == hashes
+            side = np.zeros((len(some), len(known)), np.float32)
+            side[owners[there], place[there]] = 1
+            sides.append(side)
+        both += sides[0] @ sides[1].T
+    both = both.astype(np.int64)
+    union = sizes[0][rows[0]][:, None] + sizes[1][rows[1]][None, :] - both
+    alike = open_pairs[np.ix_(*rows)] & (100 * both >= like.percent * union)
+    # Of these, a link for each join of two components is enough.
+    above: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while x in above:
+            x = above[x]
+        return x
+
+    out = []
+    for i, j in np.argwhere(alike).tolist():
+        a, b = one[rows[0][i]], two[rows[1][j]]
+        x, y = root(a[1]), root(b[1])
+        if x != y:
+            above[max(x, y)] = min(x, y)
+            out.append((a[0], b[0]))
+    return out
+
+
+def _rest_links(
+    posted: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scratch, like: Likeness
+) -> DataFrame:
+    """Links across components between all documents that still share a posting."""
+    blocks = scratch.store(_blocks(posted, classes), "blocks")
+    held = posted.join(blocks, "node").select("post", "block").distinct()
+    held = scratch.store(held, "held")
+    pairs = (
+        held.join(held.select("post", c("block").alias("other")), "post")
+        .where(c("block") <= c("other"))
+        .select("block", "other")
+        .distinct()
+        .withColumn("pair", F.xxhash64("block", "other"))
     )
-    other = dealt.select(
-        "post", c("block").alias("other_block"), c("node").alias("b"),
-        c("component").alias("component_b"),
+    components_of = posted.select("node", "component").distinct()
+    members = blocks.join(components_of, "node").join(sets, "node")
+    members = scratch.store(members.select("block", "node", "component", "hashes"), "members")
+    pairs = scratch.store(pairs, "block-pairs")
+    first = pairs.select("pair", "block", "other", F.lit(0).alias("side"))
+    second = pairs.where("block <> other").select(
+        "pair", c("other").alias("block"), c("block").alias("other"), F.lit(1).alias("side")
     )
-    one = dealt.select(
-        "post", c("node").alias("a"), "component",
-        F.explode(F.sequence(F.lit(0), c("blocks") - 1)).alias("other_block"),
+    dealt = first.unionByName(second).join(members, "block").select(
+        "pair", "side", (c("block") == c("other")).alias("alone"), "node", "component", "hashes"
     )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(sides: tuple[list, list], alone: bool) -> pa.RecordBatch:
+            found = linked(sides[0], sides[0] if alone else sides[1], like)
+            return pa.RecordBatch.from_pydict(
+                {
+                    "a": pa.array([x[0] for x in found], pa.int64()),
+                    "b": pa.array([x[1] for x in found], pa.int64()),
+                }
+            )
+
+        now, sides, single = None, ([], []), False
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for pair, side, alone, node, component, hashes in zip(
+                    *(column.to_pylist() for column in batch.columns)
+                ):
+                    if pair != now:
+                        if now is not None:
+                            yield links(sides, single)
+                        now, sides, single = pair, ([], []), alone
+                    sides[side].append((node, component, np.frombuffer(hashes, np.uint64)))
+            if now is not None:
+                yield links(sides, single)
+
+    parts = int(posted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        one.join(other, ["post", "other_block"])
-        .where((c("a") < c("b")) & (c("component") != c("component_b")))
-        .select("a", "b")
-        .distinct()
+        dealt.repartition(parts, "pair")
+        .sortWithinPartitions("pair", "side")
+        .mapInArrow(compare, "a long, b long")
     )
 
 
@@ -309,27 +429,17 @@ def near_duplicates(
     texts = named.select("node", text).join(ids, "node", "left_semi")
     sets = scratch.store(_sets(texts, text, like).dropDuplicates(["node"]), "sets")
 
-    links = spark.createDataFrame([], "a long, b long")
-    labels = spark.createDataFrame([], "node long, component long")
-    tried = []
-    for turn in range(like.rounds + 1):
-        posted = scratch.store(_mixed_postings(prefixes, labels), "posted")
-        if posted.isEmpty():
-            break
-        pairs = _hub_pairs(posted) if turn < like.rounds else _rest_pairs(posted, like)
-        for before in tried:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
-        alike = _alike(pairs, signs, like)
-        if turn < like.rounds:
-            # The most agreeable hub of each document is enough for a round.
-            alike = alike.groupBy("a").agg(
-                F.max(F.struct("agree", (-c("b")).alias("less"))).alias("best")
-            ).select("a", (-c("best.less")).alias("b"))
-        alike = scratch.store(alike.select("a", "b"), "alike")
-        tried.append(alike)
-        found = scratch.store(_confirmed(alike, sets, like), "found")
-        links = links.unionByName(found)
-        labels = components(links, scratch)
+    nothing = spark.createDataFrame([], "node long, component long")
+    posted = scratch.store(_mixed_postings(prefixes, nothing), "posted")
+    alike = _alike(_hub_pairs(posted), signs, like)
+    # The most agreeable hub of each document is enough.
+    best = alike.groupBy("a").agg(F.max(F.struct("agree", (-c("b")).alias("less"))).alias("best"))
+    hubs = scratch.store(best.select("a", (-c("best.less")).alias("b")), "hubs")
+    links = scratch.store(_confirmed(hubs, sets, like), "links")
+    labels = components(links, scratch)
+    posted = scratch.store(_mixed_postings(prefixes, labels), "posted")
+    more = scratch.store(_rest_links(posted, classes, sets, scratch, like), "more-links")
+    labels = components(links.unionByName(more), scratch)
     grouped = classes.select("set_key", "node").join(labels, "node", "left").select(
         "set_key", F.coalesce("component", "node").alias("component")
     )
