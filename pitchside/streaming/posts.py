@@ -13,6 +13,7 @@ from pitchside.operators.picks import latest_per_key
 from pitchside.plans.marts import daily_sentiment
 from pitchside.plans.staging import POST_ORDER, post_versions
 from pitchside.schemas import RAW_POSTS
+from pitchside.session import stored
 from pitchside.sinks.landing import land_batch, with_audit
 from pitchside.sinks.redo import Redo
 
@@ -80,9 +81,10 @@ def read_raw_posts(spark: SparkSession, paths: PostPaths) -> DataFrame:
 
 
 def read_latest(spark: SparkSession, paths: PostPaths) -> DataFrame:
-    """The latest version of each post."""
+    """The latest version of each post; posts without an id count as one, as in a batch build."""
     posts = _scan(spark, paths.latest, _posts_schema(spark))
-    return posts.where(F.col("post_id").isNotNull())
+    # Every version has a time of fetch. What has none marks a day.
+    return posts.where(F.col("fetched_at").isNotNull())
 
 
 def read_daily(spark: SparkSession, paths: PostPaths) -> DataFrame:
@@ -137,9 +139,12 @@ def refresh_posts(spark: SparkSession, paths: PostPaths, versions: DataFrame) ->
 
     redo = Redo(spark, paths.redo)
     redo.finish(apply)
-    fresh = latest_per_key(versions, ["post_id"], POST_ORDER)
+    fresh = stored(latest_per_key(versions, ["post_id"], POST_ORDER), "fresh")  # read three times
     held = read_latest(spark, paths)
-    moved = held.join(fresh.select("post_id"), "post_id", "left_semi").select("post_date")
+    ids = fresh.select(F.col("post_id").alias("_id"))
+    moved = held.join(ids, F.col("post_id").eqNullSafe(F.col("_id")), "left_semi").select(
+        "post_date"
+    )
     days = _days(fresh.select("post_date").union(moved))
     content = latest_per_key(
         _in_days(held, days).unionByName(fresh), ["post_id"], POST_ORDER
@@ -181,6 +186,7 @@ def run_sentiment_stream(
     create_post_tables(spark, paths)
 
     def process(batch: DataFrame, batch_id: int) -> None:
+        batch = stored(batch, "batch")  # so that the responses are read and parsed once
         if batch.isEmpty():
             return
         scored = score_posts(batch, lexicon, rules) if lexicon is not None else batch
@@ -188,7 +194,7 @@ def run_sentiment_stream(
         landed = f"{paths.landing}/batch={batch_id}"
         raw = with_audit(scored, load_id, landed).withColumn("batch_id", F.lit(batch_id))
         _overwrite_partitions(raw, paths.raw, "batch_id")
-        # From here on the batch is read back from its partition: source and scoring run once.
+        # From here on the batch is read back from its partition, so scoring runs once.
         stored_batch = _scan(spark, f"{paths.raw}/batch_id={batch_id}", RAW_POSTS)
         land_batch(stored_batch.select(*scored.columns), "fetched_at", paths.landing, batch_id)
         refresh_posts(spark, paths, post_versions(stored_batch))
