@@ -31,8 +31,8 @@ CLASSES = 1 << 6 if PAD < 1 << 6 else 1 << 7
 #: Symbols of a segment. Texts are parsed segment by segment; a phrase ends where a segment does.
 SEGMENT = 1_024
 #: Segments that move together, and bytes of text that a worker takes at once.
-LANES = 4_096
-SLICE = 4 << 20
+LANES = 2_048
+SLICE = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -40,10 +40,10 @@ class Sample:
     """What the automata are made of: a bounded sample of labelled rows."""
 
     #: Rows of a language, chosen by a hash of their ids.
-    rows: int = 300
+    rows: int = 100
     #: Code points of a row that are learned from, and symbols of a language.
-    row_chars: int = 2_000
-    symbols: int = 50_000
+    row_chars: int = 1_000
+    symbols: int = 25_000
 
 
 # --- symbols ----------------------------------------------------------------------------------
@@ -124,13 +124,13 @@ def _table(symbols: np.ndarray) -> np.ndarray:
     doesn't have at all is a phrase of its own.
     """
     moves = suffix_automaton(symbols.tolist())
-    table = np.full((len(moves), CLASSES), -1, np.int64)
+    table = np.full((len(moves), CLASSES), -1, np.int32)
     for state, found in enumerate(moves):
         for symbol, target in found.items():
             table[state, symbol] = target * CLASSES * 4
     start = table[0].copy()
-    fresh = np.where(start >= 0, start + 1, 2)
-    table = np.where(table >= 0, table, fresh[None, :])
+    fresh = np.where(start >= 0, start + 1, 2).astype(np.int32)
+    np.copyto(table, fresh[None, :], where=table < 0)
     table[0] = np.where(start >= 0, start, 1)
     table[:, PAD] = np.arange(len(moves)) * CLASSES * 4
     return table
@@ -149,12 +149,13 @@ class Languages:
             joined = np.concatenate([x for part in parts for x in (part, [GAP])])
             joined = joined[: sample.symbols]
             table = _table(joined)
-            tables.append((table + base * 4).ravel())
+            # The states of all languages are numbered through.
+            wide = np.int32 if base + table.size < 1 << 28 else np.int64
+            tables.append((table.astype(wide, copy=False) + wide(base * 4)).ravel())
             bases.append(base)
             lengths.append(len(joined))
             base += table.size
-        narrow = np.int32 if base < 1 << 28 else np.int64
-        self.table = np.concatenate([*tables, np.zeros(0, np.int64)]).astype(narrow)
+        self.table = np.concatenate([*tables, np.zeros(0, np.int32)])
         self.bases = np.array(bases, np.int64)
         self.bits = np.log2(np.maximum(2, lengths))
 
@@ -172,7 +173,8 @@ class Languages:
             lanes = order[at : at + LANES]
             steps = np.arange(int(size[lanes[0]]))[:, None]
             place = np.minimum(begin[lanes][None, :] + steps, len(symbols) - 1)
-            codes = np.where(steps < size[lanes][None, :], symbols[place], PAD).astype(np.int64)
+            codes = np.where(steps < size[lanes][None, :], symbols[place], np.uint8(PAD))
+            del place
             state = np.repeat(self.bases[:, None], len(lanes), axis=1)
             count = np.zeros(state.shape, np.int64)
             for code in codes:
@@ -203,9 +205,15 @@ class Languages:
         ]
 
 
-@lru_cache(maxsize=1)
+_held: dict[tuple, Languages] = {}
+
+
 def languages(samples: tuple, sample: Sample) -> Languages:
-    return Languages(samples, sample)
+    """The automata of these samples, made once by a worker; others are let go before."""
+    if (samples, sample) not in _held:
+        _held.clear()
+        _held[samples, sample] = Languages(samples, sample)
+    return _held[samples, sample]
 
 
 # --- operator ---------------------------------------------------------------------------------
