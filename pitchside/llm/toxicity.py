@@ -35,6 +35,8 @@ BEGINNINGS = range(4, 9)
 #: has forgotten where it came from.
 SEGMENT, CONTEXT = 256, 16
 SLICE = 4 << 20
+#: Hashes of ids for the sample.
+HASHES = 1 << 40
 WORDS_KEPT = 500_000
 
 
@@ -319,11 +321,22 @@ def learned(docs: DataFrame, labels: DataFrame, learning: Learning = Learning())
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
         F.max(F.when(c("toxic") == 1, 1).otherwise(0)).alias("toxic")
     )
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    most = F.when(c("toxic") == 1, learning.toxic_rows).otherwise(learning.other_rows)
-    chosen = known.withColumn("nth", F.row_number().over(order)).where(
-        c("nth") <= max(learning.toxic_rows, learning.other_rows)
-    ).where(c("nth") <= most)
+    # The rows with the least hashes. A share of hashes that holds four times as many is cut out first,
+    # so that the order is made of few rows, however many are labelled.
+    wanted = {1: learning.toxic_rows, 0: learning.other_rows}
+    known = known.withColumn("hash", F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)))
+    counts = dict(known.groupBy("toxic").count().collect())
+    reach, most = F.lit(HASHES), F.lit(0)
+    for label, n in counts.items():
+        share = min(HASHES, HASHES * 4 * wanted[label] // n)
+        reach = F.when(c("toxic") == label, F.lit(share)).otherwise(reach)
+        most = F.when(c("toxic") == label, F.lit(wanted[label])).otherwise(most)
+    order = Window.partitionBy("toxic").orderBy("hash", "doc_id")
+    chosen = (
+        known.where(c("hash") <= reach)
+        .withColumn("nth", F.row_number().over(order))
+        .where(c("nth") <= most)
+    )
     # At most toxic_rows + other_rows ids.
     rows = (
         docs.select("doc_id", F.substring("text", 1, learning.row_chars).alias("text"))
