@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -38,11 +39,46 @@ def create_if_absent(
 
 
 def rebuild_table(df: DataFrame, layer: str, name: str) -> DataFrame:
-    """Write the whole table anew and return a scan of it."""
-    target = table_name(layer, name)
-    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {target.split('.')[0]}")
-    df.write.mode("overwrite").format("parquet").saveAsTable(target)
-    return df.sparkSession.table(target)
+    """Write the whole table anew and return a scan of it.
+
+    The rows are written as a version of their own beside the one that is read; then the table is
+    pointed there. A run that ends before leaves the table as it was. The version replaced stays for
+    those who still read it, and goes when the next one has been written.
+    """
+    spark, target = df.sparkSession, table_name(layer, name)
+    database = target.split(".")[0]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    versions = f"{spark.catalog.getDatabase(database).locationUri}/{name}_versions"
+    path = f"{versions}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    replaced = None
+    if spark.catalog.tableExists(target):
+        before = spark.table(target)
+        replaced = _location(spark, target)
+        if before.dtypes == df.dtypes:
+            spark.sql(f"ALTER TABLE {target} SET LOCATION '{path}'")
+        else:
+            spark.sql(f"DROP TABLE {target}")
+    if not spark.catalog.tableExists(target):
+        spark.catalog.createTable(target, path=path, source="parquet")
+    spark.catalog.refreshTable(target)
+    _drop_versions(spark, versions, {path, replaced})
+    return spark.table(target)
+
+
+def _location(spark: SparkSession, target: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {target}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def _drop_versions(spark: SparkSession, versions: str, kept: set[str | None]) -> None:
+    """Delete all versions of a table but those in ``kept``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(versions)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = {path.rstrip("/").rsplit("/", 1)[-1] for path in kept if path}
+    for status in store.listStatus(folder):
+        if status.getPath().getName() not in names:
+            store.delete(status.getPath(), True)
 
 
 def append_rows(df: DataFrame, layer: str, name: str) -> DataFrame:

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import copy
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from pitchside.plans import batch
+from pitchside.sinks.tables import rebuild_table
 from pitchside.sources.tables import read_table
 from tests.documents import DOCUMENTS, write_folder
 
@@ -171,3 +174,19 @@ def test_empty_replacement_changes_nothing(spark):
     nothing = spark.createDataFrame([], RAW_DELIVERIES)
     load_replacing(nothing, "raw", "other_deliveries", ["match_id"], 4)
     assert spark.table("raw.other_deliveries").count() == 0
+
+
+def test_a_rebuild_that_fails_leaves_the_table(spark):
+    rows = spark.range(3).withColumn("v", F.lit("old"))
+    assert rebuild_table(rows, "marts", "versioned").count() == 3
+    broken = spark.range(5).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        rebuild_table(broken, "marts", "versioned")
+    assert spark.table("marts.versioned").select("v").distinct().collect()[0].v == "old"
+    for n in (4, 5):
+        assert rebuild_table(spark.range(n).withColumn("v", F.lit("new")), "marts", "versioned").count() == n
+    assert spark.table("marts.versioned").count() == 5
+    wider = spark.range(2).withColumns({"v": F.lit("new"), "w": F.lit(1)})
+    assert rebuild_table(wider, "marts", "versioned").columns == ["id", "v", "w"]
+    folder = spark.catalog.getDatabase("marts").locationUri + "/versioned_versions"
+    assert len(os.listdir(folder.removeprefix("file:"))) <= 2
