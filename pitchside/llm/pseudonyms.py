@@ -70,7 +70,8 @@ def _stream(key: str, kind: str, step: str, other: str) -> str:
 
 
 def _pair_half(own: str, other: str, size: str, key: str, kind: str, step: str) -> str:
-    drawn = f"cast(conv(substr({_stream(key, kind, step, f'cast({other} as string)')}, 1, 12), 16, 10) as bigint)"
+    digits = _stream(key, kind, step, f"cast({other} as string)")
+    drawn = f"cast(conv(substr({digits}, 1, 12), 16, 10) as bigint)"
     return f"({own} + {drawn}) % {size}"
 
 
@@ -179,7 +180,8 @@ FIRST_DAY, DAYS = "1900-01-01", (17, 4_297)
 def _date(m: str, key: str, places: tuple[int, int, int]) -> str:
     """Places of year, month and day. A date of no calendar or beyond the range stays."""
     year, month, day = (f"o[{i}]" for i in places)
-    read = f"try_to_date(concat_ws('-', {year}, lpad({month}, 2, '0'), lpad({day}, 2, '0')), 'yyyy-MM-dd')"
+    iso = f"concat_ws('-', {year}, lpad({month}, 2, '0'), lpad({day}, 2, '0'))"
+    read = f"try_to_date({iso}, 'yyyy-MM-dd')"
     number = f"datediff(t, date'{FIRST_DAY}')"
     count = DAYS[0] * DAYS[1]
     drawn = pair(f"{number} div {DAYS[1]}", f"{number} % {DAYS[1]}", *DAYS, key, "date")
@@ -191,7 +193,8 @@ def _date(m: str, key: str, places: tuple[int, int, int]) -> str:
         places[1]: f"if({padded}, date_format(u, 'MM'), cast(month(u) as string))",
         places[2]: f"if({padded}, date_format(u, 'dd'), cast(day(u) as string))",
     }
-    written = f"concat_ws(regexp_extract({m}, '[-/.]', 0), {', '.join(fields[i] for i in range(3))})"
+    ordered = ", ".join(fields[i] for i in range(3))
+    written = f"concat_ws(regexp_extract({m}, '[-/.]', 0), {ordered})"
     valid = f"t is not null and {number} between 0 and {count - 1}"
     inner = let(read, "t", f"if({valid}, {let(moved, 'u', written)}, {m})")
     return let(f"split({m}, '[-/.]')", "o", inner)

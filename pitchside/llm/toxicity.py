@@ -196,7 +196,7 @@ class Chain:
         windows: list[tuple[list[str], list[int]]] = []
         draw = np.random.default_rng(1)
         for words, label in zip(texts, toxic):
-            tags = [int(label and any(x in marking for x in features(w))) if w else 0 for w in words]
+            tags = [int(label and any(x in marking for x in features(w))) for w in words]
             spots = [i for i, tag in enumerate(tags) if tag][:4]
             spots += draw.integers(0, len(words), 2).tolist() if words else []
             for at in spots:
@@ -206,7 +206,11 @@ class Chain:
         used: dict[str, int] = {}
         prepared = []
         for words, tags in windows:
-            found = [(t, used.setdefault(x, len(used))) for t, w in enumerate(words) for x in features(w)]
+            found = [
+                (t, used.setdefault(x, len(used)))
+                for t, word in enumerate(words)
+                for x in features(word)
+            ]
             pairs = np.array(list(zip(tags, tags[1:])), int).reshape(-1, 2)
             prepared.append((np.array(found, int).reshape(-1, 2), np.array(tags), pairs))
         weights, squares = np.zeros(len(used)), np.full(len(used), 1e-2)
@@ -285,10 +289,12 @@ class Chain:
         if not len(found):
             return -6.0, 0.0
         most = min(max(float(found.max()), 1e-6), 1 - 1e-6)
-        return max(-6.0, min(6.0, np.log(most / (1 - most)))), np.log1p(float(found[found > 0.2].sum()))
+        odds = max(-6.0, min(6.0, np.log(most / (1 - most))))
+        return odds, np.log1p(float(found[found > 0.2].sum()))
 
     def score(self, found: np.ndarray) -> float:
-        return float(1 / (1 + np.exp(-np.clip(np.dot(self.logistic, [*self.signs(found), 1.0]), -30, 30))))
+        sign = np.dot(self.logistic, [*self.signs(found), 1.0])
+        return float(1 / (1 + np.exp(-np.clip(sign, -30, 30))))
 
 
 class Words(dict):
@@ -410,7 +416,9 @@ def with_toxicity(docs: DataFrame, chain: Chain, *, text: str = "text") -> DataF
     return docs.mapInArrow(predict, typed.schema)
 
 
-def toxicity_report(docs: DataFrame, labels: DataFrame, learning: Learning = Learning()) -> DataFrame:
+def toxicity_report(
+    docs: DataFrame, labels: DataFrame, learning: Learning = Learning()
+) -> DataFrame:
     """doc_id, held_out, score, predicted and n_spans; learns from labels that aren't held out."""
     chain = learned(docs, labels.where(~held_out()), learning)
     told = with_toxicity(docs.select("doc_id", "text"), chain)
