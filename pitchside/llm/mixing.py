@@ -5,6 +5,10 @@ weights to one marginal after the other: a factor per source, then per language,
 such that the weighted cells add up to that marginal's targets. A document is then sampled with the
 probability that its cell's fitted tokens bear to the tokens there are.
 
+A probability ends at 1, and the fit can know of that (``bounded``): a cell that a factor would take
+beyond 1 gives all its tokens, and the factor of its marginal is raised until the other cells make up
+for it. Unbounded, what a cell lacks is lost, and the mix falls short.
+
 Only cells and factors are read in the rounds, never documents; every sum is reduced in the reading
 tasks before the shuffle, so a source with a third of all documents is one row like the others.
 """
@@ -13,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pitchside.llm.common import SPACE, Scratch, stored, text_or_empty
 from pitchside.llm.outliers import BLANKS, SYMBOLS
@@ -67,8 +71,31 @@ def with_features(docs: DataFrame, mix: Mix, text: str = "text") -> DataFrame:
     )
 
 
-def _targets(cells: DataFrame, total: float, mix: Mix) -> dict[str, DataFrame]:
-    """Per dimension, the tokens that each value is to have."""
+def _levels(rows: DataFrame, name: str) -> DataFrame:
+    """Per value of ``name``, the factor ``level`` by which ``rest`` brings ``base`` to ``target``.
+
+    At the level, ``base * least(1, level * rest)`` adds up to the target, or to all that there is.
+    This sum is the least of straight lines, in each of which so many of the first rows by ``rest``
+    give all they have; so the level is the greatest of those that the lines need.
+    """
+    order = Window.partitionBy(name).orderBy(c("rest").desc())
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    onward = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    supply = F.sum("base").over(Window.partitionBy(name))
+    given = F.coalesce(F.sum("base").over(before), F.lit(0.0))
+    open_ = F.sum(c("base") * c("rest")).over(onward)
+    lines = rows.where("base > 0 and rest > 0").select(
+        name, ((F.least("target", supply) - given) / open_).alias("line")
+    )
+    return lines.groupBy(name).agg(F.greatest(F.max("line"), F.lit(0.0)).alias("level"))
+
+
+def _targets(cells: DataFrame, total: float, mix: Mix, bounded: bool) -> dict[str, DataFrame]:
+    """Per dimension, the tokens that each value is to have: ``wanted`` by weight, and ``target``.
+
+    Bounded, no value is to have more than its ``base``: one that weighs more is to have all of it,
+    and what it lacks goes to the others by their weights, until none has too few.
+    """
     out = {}
     for name in DIMENSIONS:
         sums = cells.groupBy(name).agg(F.sum("base").cast("double").alias("base"))
@@ -79,36 +106,52 @@ def _targets(cells: DataFrame, total: float, mix: Mix) -> dict[str, DataFrame]:
             weight = F.when(c("base") > 0, weight).otherwise(F.lit(0.0))
         else:
             weight = F.pow("base", F.lit(getattr(mix, f"{name}_power")))
-        weighed = sums.select(name, weight.alias("weight"))
+        weighed = sums.select(name, "base", weight.alias("weight"))
         whole = weighed.agg(F.sum("weight")).first()[0] or 1.0
-        out[name] = weighed.select(
-            name, (c("weight") / F.lit(whole) * mix.share * total).alias("target")
-        )
+        wanted = c("weight") / F.lit(whole) * mix.share * total
+        if bounded:
+            rows = weighed.select(
+                F.lit(0).alias("all"), "base", (c("weight") / c("base")).alias("rest"),
+                F.lit(mix.share * total).alias("target"),
+            )
+            level = (_levels(rows, "all").first() or {"level": 0.0})["level"]
+            target = F.least("base", c("weight") * level)
+        else:
+            target = wanted
+        out[name] = weighed.select(name, "base", wanted.alias("wanted"), target.alias("target"))
     return out
 
 
-def _fitted(cells: DataFrame, scratch: Scratch, mix: Mix) -> DataFrame:
+def _fitted(cells: DataFrame, scratch: Scratch, mix: Mix, bounded: bool) -> DataFrame:
     """``cells`` with ``probability``."""
     total = cells.agg(F.sum("base")).first()[0] or 0
     targets = {
-        name: scratch.store(df, f"targets-{name}")
-        for name, df in _targets(cells, float(total), mix).items()
+        name: scratch.store(df.select(name, "target"), f"targets-{name}")
+        for name, df in _targets(cells, float(total), mix, bounded).items()
     }
     factors = {
         name: targets[name].select(name, F.lit(1.0).alias(f"{name}_factor")) for name in DIMENSIONS
     }
     for _ in range(mix.rounds):
         for name in DIMENSIONS:
-            weighed, weight = cells, c("base").cast("double")
+            weighed, rest = cells, F.lit(1.0)
             for other in DIMENSIONS:
                 if other != name:
                     weighed = weighed.join(factors[other], other)
-                    weight = weight * c(f"{other}_factor")
-            sums = weighed.groupBy(name).agg(F.sum(weight).alias("sum"))
-            factor = F.when(c("sum") > 0, c("target") / c("sum")).otherwise(F.lit(0.0))
+                    rest = rest * c(f"{other}_factor")
+            if bounded:
+                rows = weighed.join(targets[name], name).select(
+                    name, c("base").cast("double").alias("base"), rest.alias("rest"), "target"
+                )
+                found = targets[name].join(_levels(rows, name), name, "left")
+                factor = F.coalesce("level", F.lit(0.0))
+            else:
+                weight = c("base").cast("double") * rest
+                sums = weighed.groupBy(name).agg(F.sum(weight).alias("sum"))
+                found = targets[name].join(sums, name)
+                factor = F.when(c("sum") > 0, c("target") / c("sum")).otherwise(F.lit(0.0))
             factors[name] = scratch.store(
-                targets[name].join(sums, name).select(name, factor.alias(f"{name}_factor")),
-                f"factors-{name}",
+                found.select(name, factor.alias(f"{name}_factor")), f"factors-{name}"
             )
     out = cells
     for name in DIMENSIONS:
@@ -116,7 +159,46 @@ def _fitted(cells: DataFrame, scratch: Scratch, mix: Mix) -> DataFrame:
     product = c("source_factor") * c("lang_factor") * c("topic_factor")
     # Cells without a token have no weight to fit: their documents stay at the mix's share.
     probability = F.when(c("base") > 0, F.least(F.lit(1.0), product)).otherwise(F.lit(mix.share))
-    return out.select(*DIMENSIONS, F.round(probability, 9).alias("probability"))
+    return out.select(*DIMENSIONS, "base", F.round(probability, 9).alias("probability"))
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(
+        c("_source").alias("source"), c("_lang").alias("lang"), c("_topic").alias("topic")
+    ).agg(F.sum("_tokens").alias("base"))
+
+
+def _featured(docs: DataFrame, carry: list[str], text: str, mix: Mix) -> DataFrame:
+    # Apart from the rest, columns of any name can be carried.
+    own = docs.select(
+        F.struct(*carry).alias("_carried"),
+        c("doc_id").cast("string").alias("_key"),
+        F.coalesce("source", F.lit("")).alias("_source"),
+        F.coalesce("lang", F.lit("")).alias("_lang"),
+        c(text).alias("_raw"),
+    )
+    return with_features(own, mix, "_raw").drop("_raw")
+
+
+def marginals(
+    docs: DataFrame, *, text: str = "text", mix: Mix = Mix(), bounded: bool = True
+) -> DataFrame:
+    """Per ``dimension`` and ``value``, tokens: ``base`` there are, ``wanted`` by weight, the
+    ``target`` of the fit, and ``reached``, those expected to be kept."""
+    scratch = Scratch(docs.sparkSession)
+    cells = stored(_cells(_featured(docs, ["doc_id"], text, mix)), "cells")
+    fitted = stored(_fitted(cells, scratch, mix, bounded), "fitted")
+    scratch.clear()
+    total = float(cells.agg(F.sum("base")).first()[0] or 0)
+    out = None
+    for name, targets in _targets(cells, total, mix, bounded).items():
+        reached = fitted.groupBy(name).agg(F.sum(c("base") * c("probability")).alias("reached"))
+        told = targets.join(reached, name).select(
+            F.lit(name).alias("dimension"), c(name).alias("value"), "base", "wanted", "target",
+            "reached",
+        )
+        out = told if out is None else out.unionByName(told)
+    return out
 
 
 def uniform(key: Column, seed: str) -> Column:
@@ -126,7 +208,7 @@ def uniform(key: Column, seed: str) -> Column:
 
 
 def with_sample(
-    docs: DataFrame, *, carry: list[str], text: str = "text", mix: Mix = Mix()
+    docs: DataFrame, *, carry: list[str], text: str = "text", mix: Mix = Mix(), bounded: bool = True
 ) -> DataFrame:
     """The columns in ``carry``, ``n_tokens``, ``topic``, ``probability`` and ``kept``.
 
@@ -134,23 +216,13 @@ def with_sample(
     counts as an empty one, a null text as an empty one, without tokens and brief. The draw depends
     on ``doc_id`` and the seed alone, so repeated rows stay or go together and a repeated run draws
     the same; all rows without a ``doc_id`` share one draw. Where the targets ask for more tokens than
-    a cell has, all its documents stay, and the mix falls short there. An empty table gives an empty
-    one. A carried column with one of these names is replaced.
+    a cell has, all its documents stay; if ``bounded``, other cells make up for it, else the mix falls
+    short there. An empty table gives an empty one. A carried column with one of these names is
+    replaced.
     """
     scratch = Scratch(docs.sparkSession)
-    # Apart from the rest, columns of any name can be carried.
-    own = docs.select(
-        F.struct(*carry).alias("_carried"),
-        c("doc_id").cast("string").alias("_key"),
-        F.coalesce("source", F.lit("")).alias("_source"),
-        F.coalesce("lang", F.lit("")).alias("_lang"),
-        c(text).alias("_raw"),
-    )
-    rows = stored(with_features(own, mix, "_raw").drop("_raw"), "features")
-    cells = rows.groupBy(
-        c("_source").alias("source"), c("_lang").alias("lang"), c("_topic").alias("topic")
-    ).agg(F.sum("_tokens").alias("base"))
-    fitted = _fitted(scratch.store(cells, "cells"), scratch, mix)
+    rows = stored(_featured(docs, carry, text, mix), "features")
+    fitted = _fitted(scratch.store(_cells(rows), "cells"), scratch, mix, bounded).drop("base")
     fitted = stored(fitted.toDF("_source", "_lang", "_topic", "probability"), "probabilities")
     scratch.clear()
     drawn = uniform(F.coalesce("_key", F.lit("")), mix.seed)

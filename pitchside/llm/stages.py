@@ -39,7 +39,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample by the probabilities that bring sources, languages and topics to their targets."""
     rows = docs.withColumn("_row", F.struct("*"))
-    return mixing.with_sample(rows, carry=["_row"]).where("kept").select("_row.*")
+    # Unbounded like the SQL that the pipeline's rows are held to.
+    return mixing.with_sample(rows, carry=["_row"], bounded=False).where("kept").select("_row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -296,6 +296,24 @@ def test_mixing_meets_its_marginals(spark):
     assert abs(told.n_tokens[told.kept].sum() / weight.sum() - 1) < 0.25
 
 
+def test_bounded_mixing_meets_its_marginals_where_cells_are_short(spark):
+    docs = queries.table(spark, "/root/testdata/sf0.01", "documents")
+    told = mixing.with_sample(docs, carry=["doc_id"]).toPandas()
+    weight = told.n_tokens * told.probability
+    assert told.probability.max() == 1
+    assert abs(weight.sum() / told.n_tokens.sum() - 0.8) < 0.001
+    found = mixing.marginals(docs).toPandas()
+    assert (found.wanted > found.base).any() and (found.target <= found.base + 1e-6).all()
+    np.testing.assert_allclose(found.reached, found.target, rtol=0.05)
+    for _, one in found.groupby("dimension"):
+        assert abs(one.reached.sum() / one.target.sum() - 1) < 0.001
+        # What short values lack goes to the others by their weights.
+        free = one[one.target < one.base * (1 - 1e-9)]
+        np.testing.assert_allclose(free.target / free.wanted, (free.target / free.wanted).iloc[0])
+    short = mixing.marginals(docs, bounded=False).toPandas()
+    assert short.reached.sum() < 0.95 * short.target.sum()
+
+
 def test_base_statistics(spark):
     texts = [t for _, t in documents()] + odd_texts(200)
     texts += ["a a a a", "a b", "x\nx\n \nx", " \x0b\x0c", "a b c a b c a b", None, "f f\tf\rf f"]
