@@ -9,9 +9,9 @@ logistic function, fitted on the same sample, of the greatest probability and of
 
 from __future__ import annotations
 
+import heapq
 import re
 import string
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,6 +38,8 @@ SLICE = 4 << 20
 #: Hashes of ids for the sample.
 HASHES = 1 << 40
 WORDS_KEPT = 500_000
+#: Of two texts with this Jaccard of their sets of words or more, one is a copy.
+COPY_PERCENT = 80
 
 
 @dataclass(frozen=True)
@@ -78,54 +80,80 @@ def features(word: str) -> list[str]:
     return [word, *found, f"-{word[-3:]}"] if word else []
 
 
-def _marking(texts: list[list[str]], toxic: list[bool], learning: Learning) -> set[str]:
-    """The features that mark toxic tokens.
+def _unlike(kinds: list[set[str]], toxic: list[bool]) -> list[int]:
+    """The places of the texts that aren't copies of an earlier one with their label.
 
-    Copies would lend weight to their every word, so of texts with the same least word hash (as most
-    near copies have) only the first counts. Features are taken by how many toxic texts they explain
-    that the taken ones don't, until each is explained often enough; so words that merely keep
-    company with toxic ones aren't taken.
+    A copy's set of words has a Jaccard of ``COPY_PERCENT`` or more with that of a text that counts.
+    Such sets share one of the rarest words of each (prefix), so only texts that do are compared.
     """
-    seen: set[tuple[bool, int]] = set()
-    held: list[tuple[bool, set[str]]] = []
-    for words, label in zip(texts, toxic):
-        kinds = {word for word in words if word}
-        least = min((zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in kinds), default=0)
-        if (label, least) not in seen:
-            seen.add((label, least))
-            held.append((label, {x for w in kinds for x in features(w)[:-1]}))
-    others = Counter(x for label, found in held if not label for x in found)
-    own = Counter(x for label, found in held if label for x in found)
-    n_others = max(1, sum(not label for label, _ in held))
-    n_own = max(1, sum(label for label, _ in held))
+    often = Counter(word for words in kinds for word in words)
+    posted: dict[tuple[bool, str], list[int]] = {}
+    out = []
+    for i, (words, label) in enumerate(zip(kinds, toxic)):
+        size = len(words)
+        rare = sorted(words, key=lambda x: (often[x], x))
+        prefix = rare[: size - -(-COPY_PERCENT * size // 100) + 1] or [""]
+        near = {j for word in prefix for j in posted.get((label, word), ())}
+        if not any(_copies(words, kinds[j]) for j in near):
+            out.append(i)
+            for word in prefix:
+                posted.setdefault((label, word), []).append(i)
+    return out
+
+
+def _copies(one: set[str], two: set[str]) -> bool:
+    small, large = sorted((len(one), len(two)))
+    if 100 * small < COPY_PERCENT * large:
+        return False
+    both = len(one & two)
+    return 100 * both >= COPY_PERCENT * (small + large - both)
+
+
+def _marking(kinds: list[set[str]], toxic: list[bool], learning: Learning) -> set[str]:
+    """The features that mark toxic tokens, from the set of words of each text.
+
+    Copies would lend weight to their every word, so of texts with nearly the same words only the
+    first counts. Features are taken by how many toxic texts they explain that the taken ones don't,
+    until each is explained often enough; so words that merely keep company with toxic ones aren't
+    taken.
+    """
+    held = _unlike(kinds, toxic)
+
+    def found(i: int) -> set[str]:
+        return {x for word in kinds[i] for x in features(word)[:-1]}
+
+    others = Counter(x for i in held if not toxic[i] for x in found(i))
+    own = Counter(x for i in held if toxic[i] for x in found(i))
+    n_others = max(1, sum(not toxic[i] for i in held))
+    n_own = max(1, sum(toxic[i] for i in held))
     good = {
         x for x, n in own.items()
         if n >= learning.least_texts and others[x] / n_others < learning.most_others * n / n_own
     }
     places: dict[str, list[int]] = {x: [] for x in good}
     open_texts = {}
-    for i, (label, found) in enumerate(held):
-        if label:
+    for i in held:
+        if toxic[i]:
             open_texts[i] = learning.explained
-            for x in found & good:
+            for x in found(i) & good:
                 places[x].append(i)
-    gains = {x: len(found) for x, found in places.items()}
+    # A shorter beginning explains no less than the word; equal ones go to the longer name.
+    ranked = sorted(good, key=lambda x: (len(x), x), reverse=True)
+    gains = [(-len(places[x]), rank) for rank, x in enumerate(ranked)]
+    heapq.heapify(gains)
     taken: set[str] = set()
     while gains:
-        # A shorter beginning explains no less than the word; equal ones go to the longer name.
-        best = max(gains, key=lambda x: (gains[x], len(x), x))
-        gain = sum(open_texts.get(i, 0) > 0 for i in places[best])
-        if gain < gains[best]:
-            gains[best] = gain
-            if gain < learning.least_texts:
-                del gains[best]
-            continue
+        told, rank = heapq.heappop(gains)
+        best = ranked[rank]
+        gain = sum(open_texts[i] > 0 for i in places[best])
         if gain < learning.least_texts:
-            break
+            continue
+        if gain < -told:
+            heapq.heappush(gains, (-gain, rank))
+            continue
         taken.add(best)
-        del gains[best]
         for i in places[best]:
-            if open_texts.get(i, 0) > 0:
+            if open_texts[i] > 0:
                 open_texts[i] -= 1
     return taken
 
@@ -192,7 +220,7 @@ class Chain:
         self.logistic = np.array([0.0, 0.0, -10.0])
 
     def fit(self, texts: list[list[str]], toxic: list[bool], learning: Learning) -> None:
-        marking = _marking(texts, toxic, learning)
+        marking = _marking([{word for word in words if word} for words in texts], toxic, learning)
         windows: list[tuple[list[str], list[int]]] = []
         draw = np.random.default_rng(1)
         for words, label in zip(texts, toxic):

@@ -202,6 +202,30 @@ def test_toxicity_on_held_out_documents(spark):
     assert right > 0.9 and caught > 0.6
 
 
+def test_only_copies_are_left_out_of_learning():
+    draw = random.Random(6)
+    # All texts share the words of the least hashes; every tenth is a copy with a word changed.
+    common = sorted((f"common{i}" for i in range(50)), key=lambda x: zlib.crc32(x.encode()))[:5]
+    kinds, copies = [], 0
+    for i in range(300):
+        if i % 10 == 9:
+            kinds.append({*sorted(kinds[-1])[1:], f"new{i}"})
+            copies += 1
+        else:
+            kinds.append({*common, *(f"word{draw.randrange(900)}" for _ in range(40))})
+    toxic = [i // 10 % 3 == 0 for i in range(300)]
+    held = []
+    for i, words in enumerate(kinds):
+        if not any(toxic[i] == toxic[j] and len(words & kinds[j]) >= 0.8 * len(words | kinds[j])
+                   for j in held):
+            held.append(i)
+    assert toxicity._unlike(kinds, toxic) == held and len(held) == 300 - copies
+    # A toxic word that occurs in six unlike texts marks, though all share the least hash.
+    kinds = [{*common, f"a{i}", f"b{i}", *(["vile"] if i < 6 else [])} for i in range(60)]
+    taken = toxicity._marking(kinds, [i < 6 for i in range(60)], toxicity.Learning())
+    assert "vile" in taken
+
+
 # --- 5: pseudonyms ----------------------------------------------------------------------------
 
 
