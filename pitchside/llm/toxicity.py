@@ -10,18 +10,22 @@ logistic function, fitted on the same sample, of the greatest probability and of
 from __future__ import annotations
 
 import heapq
+import pickle
 import re
 import string
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pitchside.llm.common import bound_batches, held_out, slices
+from pitchside.llm.common import bound_batches, held_out, slices, stored
 
 c = F.col
 
@@ -46,18 +50,20 @@ COPY_PERCENT = 80
 class Learning:
     """The bounded sample and the fit."""
 
-    #: Rows of each label, chosen by a hash of their ids, and code points of a row learned from.
+    #: Rows of each label, chosen by a hash of their ids. Their whole texts teach.
     toxic_rows: int = 2_500
     other_rows: int = 5_000
-    row_chars: int = 4_000
     #: A feature marks tokens as toxic if so many toxic texts have it, and for each of those fewer
     #: than this share of others.
     least_texts: int = 5
     most_others: float = 0.12
     #: A toxic text needs so many marking features, if it has them.
     explained: int = 6
-    #: Words on either side of a marked token in a training window.
+    #: Words on either side of a marked token in a training window, and windows of a text: around
+    #: marked tokens spread over all of them, and around any.
     around: int = 6
+    marked_windows: int = 4
+    other_windows: int = 2
     epochs: int = 8
     batch: int = 128
     rate: float = 0.3
@@ -80,37 +86,41 @@ def features(word: str) -> list[str]:
     return [word, *found, f"-{word[-3:]}"] if word else []
 
 
-def _unlike(kinds: list[set[str]], toxic: list[bool]) -> list[int]:
+def _unlike(kinds: list[list[str]], toxic: list[bool]) -> list[int]:
     """The places of the texts that aren't copies of an earlier one with their label.
 
     A copy's set of words has a Jaccard of ``COPY_PERCENT`` or more with that of a text that counts.
     Such sets share one of the rarest words of each (prefix), so only texts that do are compared.
     """
     often = Counter(word for words in kinds for word in words)
-    posted: dict[tuple[bool, str], list[int]] = {}
+    ranks = {word: rank for rank, word in enumerate(sorted(often, key=lambda x: (often[x], x)))}
+    single = sum(n == 1 for n in often.values())
+    sets = [np.sort(np.fromiter(map(ranks.get, words), np.int32, len(words))) for words in kinds]
+    del often
+    inside = np.zeros(len(ranks), bool)
+    posted: dict[bool, dict[int, list[int]]] = {False: {}, True: {}}
     out = []
-    for i, (words, label) in enumerate(zip(kinds, toxic)):
+    for i, (words, label) in enumerate(zip(sets, toxic)):
         size = len(words)
-        rare = sorted(words, key=lambda x: (often[x], x))
-        prefix = rare[: size - -(-COPY_PERCENT * size // 100) + 1] or [""]
-        near = {j for word in prefix for j in posted.get((label, word), ())}
-        if not any(_copies(words, kinds[j]) for j in near):
+        prefix = words[: size - -(-COPY_PERCENT * size // 100) + 1]
+        # Words of a single text, which come first, are shared by none; empty texts share one place.
+        shared = prefix[prefix >= single].tolist() if size else [-1]
+        near = {j for word in shared for j in posted[label].get(word, ())}
+        inside[words] = True
+        copy = False
+        for j in near:
+            both = int(inside[sets[j]].sum())
+            copy = copy or 100 * both >= COPY_PERCENT * (size + len(sets[j]) - both)
+        inside[words] = False
+        if not copy:
             out.append(i)
-            for word in prefix:
-                posted.setdefault((label, word), []).append(i)
+            for word in shared:
+                posted[label].setdefault(word, []).append(i)
     return out
 
 
-def _copies(one: set[str], two: set[str]) -> bool:
-    small, large = sorted((len(one), len(two)))
-    if 100 * small < COPY_PERCENT * large:
-        return False
-    both = len(one & two)
-    return 100 * both >= COPY_PERCENT * (small + large - both)
-
-
-def _marking(kinds: list[set[str]], toxic: list[bool], learning: Learning) -> set[str]:
-    """The features that mark toxic tokens, from the set of words of each text.
+def _marking(kinds: list[list[str]], toxic: list[bool], learning: Learning) -> set[str]:
+    """The features that mark toxic tokens, from the distinct words of each text.
 
     Copies would lend weight to their every word, so of texts with nearly the same words only the
     first counts. Features are taken by how many toxic texts they explain that the taken ones don't,
@@ -122,13 +132,14 @@ def _marking(kinds: list[set[str]], toxic: list[bool], learning: Learning) -> se
     def found(i: int) -> set[str]:
         return {x for word in kinds[i] for x in features(word)[:-1]}
 
-    others = Counter(x for i in held if not toxic[i] for x in found(i))
     own = Counter(x for i in held if toxic[i] for x in found(i))
+    own = {x: n for x, n in own.items() if n >= learning.least_texts}
+    others = Counter(x for i in held if not toxic[i] for x in found(i) if x in own)
     n_others = max(1, sum(not toxic[i] for i in held))
     n_own = max(1, sum(toxic[i] for i in held))
     good = {
         x for x, n in own.items()
-        if n >= learning.least_texts and others[x] / n_others < learning.most_others * n / n_own
+        if others[x] / n_others < learning.most_others * n / n_own
     }
     places: dict[str, list[int]] = {x: [] for x in good}
     open_texts = {}
@@ -219,17 +230,9 @@ class Chain:
         self.bias, self.moves = -3.0, np.zeros((2, 2))
         self.logistic = np.array([0.0, 0.0, -10.0])
 
-    def fit(self, texts: list[list[str]], toxic: list[bool], learning: Learning) -> None:
-        marking = _marking([{word for word in words if word} for words in texts], toxic, learning)
-        windows: list[tuple[list[str], list[int]]] = []
+    def fit(self, windows: list[tuple[list[str], list[int]]], learning: Learning) -> None:
+        """Fit the weights and moves to the windows, words and their tags each."""
         draw = np.random.default_rng(1)
-        for words, label in zip(texts, toxic):
-            tags = [int(label and any(x in marking for x in features(w))) for w in words]
-            spots = [i for i, tag in enumerate(tags) if tag][:4]
-            spots += draw.integers(0, len(words), 2).tolist() if words else []
-            for at in spots:
-                part = slice(max(0, at - learning.around), at + learning.around + 1)
-                windows.append((words[part], tags[part]))
         steps = 2 * learning.around + 1
         used: dict[str, int] = {}
         prepared = []
@@ -270,12 +273,9 @@ class Chain:
                 bias += learning.rate * error.sum() / np.sqrt(bias_square)
         self.weights = {x: w for x, i in used.items() if abs(w := float(weights[i])) > 1e-3}
         self.bias, self.moves = bias, moves
-        self._fit_score(texts, toxic)
 
-    def _fit_score(self, texts: list[list[str]], toxic: list[bool]) -> None:
-        """Newton's steps for the logistic function, with a small pull to 0."""
-        words = Words(self)
-        told = [self.signs(found) for found in self.spread([words.scores(x) for x in texts])]
+    def fit_score(self, told: list[tuple[float, float]], toxic: list[bool]) -> None:
+        """Newton's steps for the logistic function of the signs, with a small pull to 0."""
         x = np.column_stack([np.array(told).reshape(-1, 2), np.ones(len(told))])
         y = np.array(toxic, float)
         w = np.zeros(3)
@@ -346,9 +346,59 @@ class Words(dict):
 # --- operator ---------------------------------------------------------------------------------
 
 
+def windows_of(
+    words: list[str], marking: set[str] | None, seed: int, learning: Learning
+) -> list[tuple[list[str], list[int]]]:
+    """Words and tags of a text's training windows; without ``marking``, no token is toxic."""
+    tags = [int(bool(marking) and any(x in marking for x in features(w))) for w in words]
+    spots = np.flatnonzero(tags)
+    if len(spots) > learning.marked_windows:
+        nth = np.linspace(0, len(spots) - 1, learning.marked_windows)
+        spots = spots[nth.astype(int)]
+    spots = spots.tolist()
+    if words:
+        draw = np.random.default_rng(seed)
+        spots += draw.integers(0, len(words), learning.other_windows).tolist()
+    out = []
+    for at in spots:
+        part = slice(max(0, at - learning.around), at + learning.around + 1)
+        out.append((words[part], tags[part]))
+    return out
+
+
+def _each(
+    rows: DataFrame, make: Callable[[bool, str, int], Any], kind: pa.DataType, told: str
+) -> Iterator[tuple[bool, Any]]:
+    """Each sampled row's label, and what ``make`` gives for its label, text and a seed, by ids.
+
+    Texts of any length are read in the tasks; only this comes to the driver.
+    """
+    names = ["doc_id", "toxic", "told"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, SLICE, "text"):
+            ids, toxic = batch.column("doc_id"), batch.column("toxic")
+            found = [
+                make(label == 1, text or "", zlib.crc32(str(key).encode()))
+                for key, label, text in zip(
+                    ids.to_pylist(), toxic.to_pylist(), batch.column("text").to_pylist()
+                )
+            ]
+            yield pa.RecordBatch.from_arrays([ids, toxic, pa.array(found, kind)], names=names)
+
+    typed = rows.select("doc_id", "toxic", F.lit(None).cast(told).alias("told"))
+    found = rows.mapInArrow(run, typed.schema).toArrow()
+    # As Arrow's columns; a row is made to objects only when its turn comes.
+    for at in pc.sort_indices(found, [("doc_id", "ascending")]).to_pylist():
+        yield found["toxic"][at].as_py() == 1, found["told"][at].as_py()
+
+
 def learned(docs: DataFrame, labels: DataFrame, learning: Learning = Learning()) -> Chain:
     """The chain, fitted on the driver on a sample of bounded size of the labelled rows given.
 
+    The bound is on rows. Tasks read their whole texts, and give the driver each one's set of words,
+    a few windows, and the signs that the document's score is fitted on.
+
     ``labels`` has ``doc_id`` and ``toxic``; rows with a null in either, and ids that aren't in
     ``docs``, teach nothing, and an id that is labelled twice counts as toxic if either label says so.
     """
@@ -372,25 +422,52 @@ def learned(docs: DataFrame, labels: DataFrame, learning: Learning = Learning())
         .where(c("nth") <= most)
     )
     # At most toxic_rows + other_rows ids.
-    rows = (
-        docs.select("doc_id", F.substring("text", 1, learning.row_chars).alias("text"))
+    rows = stored(
+        docs.select("doc_id", "text")
         .join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id")
-        .dropDuplicates(["doc_id"])
-        .orderBy("doc_id")
-        .collect()
+        .dropDuplicates(["doc_id"]),
+        "toxicity-sample",
     )
-    texts = [[core(x) for x in (row["text"] or "").split()] for row in rows]
-    toxic = [row["toxic"] == 1 for row in rows]
+    bound_batches(docs.sparkSession)
+
+    def kinds(label: bool, text: str, seed: int) -> list[str]:
+        return sorted({core(x) for x in text.split()} - {""})
+
+    # Words are held once each, however many texts have them.
+    held: dict[str, str] = {}
+    found, toxic = [], []
+    for label, words in _each(rows, kinds, pa.list_(pa.string()), "array<string>"):
+        found.append([held.setdefault(x, x) for x in words])
+        toxic.append(label)
     chain = Chain()
-    if any(toxic):
-        chain.fit(texts, toxic, learning)
+    if not any(toxic):
+        return chain
+    marking = _marking(found, toxic, learning)
+    del found, held
+
+    def windows(label: bool, text: str, seed: int) -> list[dict]:
+        words = [core(x) for x in text.split()]
+        some = windows_of(words, marking if label else None, seed, learning)
+        return [{"words": part, "tags": tags} for part, tags in some]
+
+    kind = pa.list_(pa.struct([("words", pa.list_(pa.string())), ("tags", pa.list_(pa.int32()))]))
+    told = "array<struct<words: array<string>, tags: array<int>>>"
+    parts = [(x["words"], x["tags"]) for _, some in _each(rows, windows, kind, told) for x in some]
+    chain.fit(parts, learning)
+    key = pickle.dumps(chain)
+
+    def signs(label: bool, text: str, seed: int) -> list[float]:
+        words = _words(key)
+        (found,) = words.chain.spread([words.scores(text.split())])
+        return [float(x) for x in words.chain.signs(found)]
+
+    told = _each(rows, signs, pa.list_(pa.float64()), "array<double>")
+    chain.fit_score([tuple(x) for _, x in told], toxic)
     return chain
 
 
 @lru_cache(maxsize=1)
 def _words(key: bytes) -> Words:
-    import pickle
-
     return Words(pickle.loads(key))
 
 
@@ -403,8 +480,6 @@ def with_toxicity(docs: DataFrame, chain: Chain, *, text: str = "text") -> DataF
     Only the text is read. A null or empty text scores as one without a token. Rows stand alone, so
     repeated rows get one answer. Columns of those names are replaced, others pass through.
     """
-    import pickle
-
     bound_batches(docs.sparkSession)
     key = pickle.dumps(chain)
     docs = docs.drop("score", "spans")

@@ -219,13 +219,37 @@ def test_only_copies_are_left_out_of_learning():
         if not any(toxic[i] == toxic[j] and len(words & kinds[j]) >= 0.8 * len(words | kinds[j])
                    for j in held):
             held.append(i)
-    assert toxicity._unlike(kinds, toxic) == held and len(held) == 300 - copies
+    assert toxicity._unlike([*map(list, kinds)], toxic) == held and len(held) == 300 - copies
     # A toxic word that occurs in six unlike texts marks, though all share the least hash.
     kinds = [{*common, f"a{i}", f"b{i}", *(["vile"] if i < 6 else [])} for i in range(60)]
-    taken = toxicity._marking(kinds, [i < 6 for i in range(60)], toxicity.Learning())
+    taken = toxicity._marking([*map(list, kinds)], [i < 6 for i in range(60)], toxicity.Learning())
     assert "vile" in taken
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    draw = random.Random(4)
+    docs, labels = [], []
+    for i in range(120):
+        words = [f"word{draw.randrange(3_000)}" for _ in range(1_200)]
+        if i % 3 == 0:
+            # Beyond the first 4,000 code points, each with one of eight words.
+            words[1_000:1_000] = [f"vile{(i // 3 + k) % 8}" for k in range(6)]
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 3 == 0)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    chain = toxicity.learned(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    told = toxicity.with_toxicity(docs, chain).toPandas()
+    found = told.score >= toxicity.Learning().threshold
+    assert (found == (told.doc_id % 3 == 0)).all()
+    # Windows lie around tokens from the first to the last that is marked.
+    words = [f"vile{i}" if i % 100 == 0 else f"x{i}" for i in range(1_000)]
+    marking = {word for word in words if word.startswith("vile")}
+    some = toxicity.windows_of(words, marking, 1, toxicity.Learning())
+    assert [w for part, tags in some[:4] for w, tag in zip(part, tags) if tag] == [
+        "vile0", "vile300", "vile600", "vile900",
+    ]
+
+
 # --- 5: pseudonyms ----------------------------------------------------------------------------
 
 
