@@ -52,12 +52,16 @@ class Limits:
     #: A pool with fewer rows joins those of its language, and then all of the others.
     least_pool: int = 100
     #: The deviation of each statistic that is never unusual by itself, as a standard deviation
-    #: added to the estimated one: single repeated lines, short texts with long words.
-    floors: tuple[float, ...] = (0.1, 0.04, 0.3, 0.2, 0.1)
+    #: added to the estimated one: single repeated lines, short texts with long words. A statistic adds
+    #: at most (range / floor)^2 to the squared distance, so the floor of a share is a seventh of its
+    #: root's range (1 for lines, and by the base rule the root of a half for words): the cutoff is
+    #: within reach of each alone.
+    floors: tuple[float, ...] = (0.1, 0.04, 1 / 7, 0.1, 0.1)
     #: chi-square quantile of ``coverage`` for the statistics, to bring distances to scale.
     chi_coverage: float = 6.6257
-    #: Squared distance beyond which a document is rejected.
-    cutoff: float = 30.0
+    #: Squared distance beyond which a document is rejected: chi-square's quantile of 0.99999 for the
+    #: five statistics.
+    cutoff: float = 30.8562
 
 
 #: Classes of distance for each doubling of the squared distance, and the least one told apart.

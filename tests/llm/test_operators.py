@@ -378,6 +378,27 @@ def test_outliers_by_quality_labels(spark):
     assert told.kept[told.quality == 0].mean() < 0.1
 
 
+def test_repetitive_texts_that_pass_the_base_rule_go(spark):
+    docs = queries.table(spark, "/root/testdata/sf0.1", "documents")
+    # 60 words of a document in one line, and 28 lines of two words, nearly half of all words.
+    words = F.slice(F.array_distinct(F.filter(F.split("text", r"\s+"), lambda x: x != "")), 1, 60)
+    planted = (
+        docs.where("pmod(xxhash64(doc_id), 40) = 0")
+        .withColumn("words", words)
+        .where("size(words) = 60")
+        .select((-1 - F.col("doc_id")).alias("doc_id"), "lang", "source", F.concat(
+            F.array_join("words", " "), F.lit("\nread more" * 28)).alias("text"))
+    )
+    both = docs.select(planted.columns).unionByName(planted)
+    told = outliers.with_verdicts(both, carry=["doc_id"]).where("doc_id < 0").toPandas()
+    assert len(told) > 100 and not told.base_failed.any()
+    assert told.kept.mean() < 0.05
+    # The range of either share can pass the cutoff alone, the other statistics at the centre.
+    limits = outliers.Limits()
+    for most, floor in ((1.0, limits.floors[2]), (0.5**0.5, limits.floors[3])):
+        assert (most / floor) ** 2 > limits.cutoff
+
+
 # --- 10: decontamination ----------------------------------------------------------------------
 
 
