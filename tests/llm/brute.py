@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -61,3 +63,52 @@ def fits(window: bytes, text: bytes, edits: int) -> bool:
             last, row[i] = row[i], min(row[i] + 1, row[i - 1] + 1, last + (x != letter))
         best = min(best, row[-1])
     return best <= edits
+
+
+def sha(*parts: str) -> str:
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row: tuple) -> str:
+    """``row`` is doc_id, source, lang, n_chars and text."""
+    return sha(*["-" if x is None else f"{len(str(x).encode())}:{x}" for x in row])
+
+
+def _tree(leaves: list[str]) -> list[list[str]]:
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        below = levels[-1]
+        levels.append([sha(*below[i : i + 8]) for i in range(0, len(below), 8)])
+    return levels
+
+
+def _sides(levels: list[list[str]], i: int) -> list[tuple[str, str]]:
+    out = []
+    for nodes in levels[:-1]:
+        begin = i // 8 * 8
+        out.append(("".join(nodes[begin:i]), "".join(nodes[i + 1 : begin + 8])))
+        i //= 8
+    return out
+
+
+def manifest(rows: list[tuple]) -> list[tuple]:
+    """doc_id, leaf, subroot, root, proof, folded root and verdict of each row."""
+    trees: dict = {}
+    for row in rows:
+        trees.setdefault(row[2], []).append((row[0] is not None, row[0] or 0, leaf(row), row))
+    names = sorted(trees, key=lambda x: (x is not None, (x or "").encode()))
+    built = {x: _tree([y[2] for y in sorted(trees[x], key=lambda y: y[:3])]) for x in names}
+    upper = _tree([built[x][-1][0] for x in names])
+    out = []
+    for nth, name in enumerate(names):
+        for i, (_, _, own, row) in enumerate(sorted(trees[name], key=lambda y: y[:3])):
+            path = _sides(built[name], i) + _sides(upper, nth)
+            end = own
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0:
+                end = leaf((*row[:4], row[4] and row[4].translate(LOWER)))
+            for before, after in path:
+                end = sha(before, end, after)
+            root = upper[-1][0]
+            shown = sha(*[before + after for before, after in path])
+            out.append((row[0], own, built[name][-1][0], root, shown, end, end == root))
+    return out
