@@ -20,6 +20,7 @@ from pitchside.llm import (
     token_counts,
     token_store,
     toxicity,
+    whitening,
 )
 from pitchside.llm.common import scratch_path
 
@@ -96,6 +97,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest_report(table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.with_components(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_store": op1_token_store,
@@ -109,6 +114,7 @@ def queries() -> dict[str, Query]:
         "op9_quality_outliers": op9_quality_outliers,
         "op10_benchmark_leaks": op10_benchmark_leaks,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_whitening": op13_whitening,
     }
 
 

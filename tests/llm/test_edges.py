@@ -24,7 +24,8 @@ DOCS = [
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHING = [
     "kept", "items", "score", "topic", "n_tokens", "n_words", "pool", "node", "post", "spans",
-    "probability", "lang_pred", "d", "v1", "n_found",
+    "probability", "lang_pred", "d", "v1", "n_found", "digest", "key", "tree", "path", "root", "n",
+    "margin", "held_out", "label",
 ]
 
 
@@ -47,13 +48,24 @@ def folder(request, spark, tmp_path_factory):
     if request.param == "clashing":
         pages = pages.withColumn("digest", F.lit(1)).withColumn("newest", F.lit(1))
     pages.write.parquet(f"{path}/pages.parquet")
+    vectors = [(1, [0.5, 1.0, 2.0]), (1, [0.5, 1.0, 2.0]), (2, [1.0, -1.0, 0.0]), (None, [3.0, 0.0, 1.0]),
+               (3, None), (4, [1.0, None, 0.0]), (5, [float("nan"), 0.0, 0.0]), (6, []), (7, [1.0])]
+    vectors = spark.createDataFrame(vectors if request.param != "none" else [],
+                                    "vec_id long, embedding array<float>")
+    if request.param == "clashing":
+        vectors = vectors.withColumn("x", F.lit(1)).withColumn("component", F.lit(1))
+    vectors.write.parquet(f"{path}/embeddings.parquet")
     return request.param, path
 
 
+#: Rows of the queries that don't read ``documents``.
+OTHER_ROWS = {"op7_captures": 5, "op13_whitening": 4 * 3}
+
+
 @pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_a_row_for_each_row(spark, folder, name):
     kind, path = folder
-    n = 0 if kind == "none" else 5 if name.startswith("op7") else len(DOCS)
+    n = 0 if kind == "none" else OTHER_ROWS.get(name, len(DOCS))
     assert len(queries.queries()[name](spark, path).collect()) == n
 
 
