@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pitchside.llm import (
     captures,
+    classifier,
     decontaminate,
     language,
     manifest,
@@ -93,6 +94,12 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.quality_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest_report(table(spark, sf_dir, "documents"))
 
@@ -113,6 +120,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_quality_outliers": op9_quality_outliers,
         "op10_benchmark_leaks": op10_benchmark_leaks,
+        "op11_quality_classifier": op11_quality_classifier,
         "op12_merkle_manifest": op12_merkle_manifest,
         "op13_whitening": op13_whitening,
     }
