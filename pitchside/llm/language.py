@@ -2,8 +2,9 @@
 
 For each language, a suffix automaton holds every substring of a sample of its labelled text. A text is
 parsed into phrases, each the longest match from where the last one ended; a language that the text
-is written in needs few. The phrases times the logarithm of the sample's length, per symbol, estimate
-the cross entropy; the language with the least wins.
+is written in needs few. Phrases cost the same in every language, the logarithm of the longest sample's
+length, so a short sample gains nothing by its shortness: what it lacks takes phrases of one symbol. The
+cost per symbol estimates the cross entropy; the language with the least wins.
 
 A worker parses many texts at once: each step moves a segment of every text, in every language, by
 one symbol through the automata's tables.
@@ -41,9 +42,17 @@ class Sample:
 
     #: Rows of a language, chosen by a hash of their ids.
     rows: int = 100
-    #: Code points of a row that are learned from, and symbols of a language.
-    row_chars: int = 1_000
-    symbols: int = 25_000
+    #: Code points of a row that are learned from: a window anywhere in its text, by a hash of its id.
+    window: int = 250
+    #: Code points of all languages, which bounds the tables; with many languages each has fewer rows,
+    #: and with more than ``total / window`` of them shorter windows.
+    total: int = 400_000
+
+    def shared(self, languages: int) -> tuple[int, int]:
+        """Rows of a language, and their windows, where there are so many languages."""
+        each = self.total // max(1, languages)
+        window = max(1, min(self.window, each))
+        return max(1, min(self.rows, each // window)), window
 
 
 # --- symbols ----------------------------------------------------------------------------------
@@ -139,7 +148,7 @@ def _table(symbols: np.ndarray) -> np.ndarray:
 class Languages:
     """The automata of all languages in one table, and the parsing of texts by them."""
 
-    def __init__(self, samples: tuple[tuple[str, tuple[str, ...]], ...], sample: Sample):
+    def __init__(self, samples: tuple[tuple[str, tuple[str, ...]], ...]):
         self.names = [name for name, _ in samples]
         self.alphabet = Alphabet([text for _, texts in samples for text in texts])
         tables, bases, lengths, base = [], [], [], 0
@@ -147,7 +156,6 @@ class Languages:
             symbols, upto = self.alphabet.symbols(list(texts))
             parts = [symbols[a:b] for a, b in zip(upto[:-1], upto[1:])]
             joined = np.concatenate([x for part in parts for x in (part, [GAP])])
-            joined = joined[: sample.symbols]
             table = _table(joined)
             # The states of all languages are numbered through.
             wide = np.int32 if base + table.size < 1 << 28 else np.int64
@@ -157,7 +165,7 @@ class Languages:
             base += table.size
         self.table = np.concatenate([*tables, np.zeros(0, np.int32)])
         self.bases = np.array(bases, np.int64)
-        self.bits = np.log2(np.maximum(2, lengths))
+        self.bits = float(np.log2(max([2, *lengths])))
 
     def phrases(self, symbols: np.ndarray, upto: np.ndarray) -> np.ndarray:
         """Phrases of each text in each language."""
@@ -192,7 +200,7 @@ class Languages:
         if not self.names or not len(symbols):
             return [("und", 0.0)] * len(texts)
         sizes = np.maximum(1, np.diff(upto))
-        entropy = self.phrases(symbols, upto) * self.bits[:, None] / sizes
+        entropy = self.phrases(symbols, upto) * self.bits / sizes
         best = entropy.argmin(axis=0)
         least = np.sort(entropy, axis=0)
         # How far the next language lies behind: 0 for none, 1 for infinitely far.
@@ -208,12 +216,12 @@ class Languages:
 _held: dict[tuple, Languages] = {}
 
 
-def languages(samples: tuple, sample: Sample) -> Languages:
+def languages(samples: tuple) -> Languages:
     """The automata of these samples, made once by a worker; others are let go before."""
-    if (samples, sample) not in _held:
+    if samples not in _held:
         _held.clear()
-        _held[samples, sample] = Languages(samples, sample)
-    return _held[samples, sample]
+        _held[samples] = Languages(samples)
+    return _held[samples]
 
 
 # --- operator ---------------------------------------------------------------------------------
@@ -223,30 +231,33 @@ def learned_sample(
     labelled: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang",
     sample: Sample = Sample(),
 ) -> tuple[tuple[str, tuple[str, ...]], ...]:
-    """The sample's texts by language, on the driver: its size is bounded per language.
+    """The sample's texts by language, on the driver: its size is bounded for all languages together.
 
-    Rows without a language or a text are left out. Rows of one id are ordered by their text.
+    Rows without a language, and those whose window holds no letter, teach nothing. Rows of one id are
+    ordered by their text.
     """
+    known = labelled.select(c(key).alias("key"), c(lang).alias("lang"), c(text).alias("text"))
+    known = known.where("lang is not null and text is not null")
+    rows, window = sample.shared(known.select("lang").distinct().count())
+    room = F.greatest(F.length("text") - window, F.lit(0)) + 1
+    begin = F.pmod(F.xxhash64("key", F.lit("window")), room.cast("long")).cast("int") + 1
     chosen = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key", "text")
-    rows = (
-        labelled.select(
-            c(key).alias("key"), c(lang).alias("lang"),
-            F.substring(c(text), 1, sample.row_chars).alias("text"),
-        )
-        .where("lang is not null and text is not null")
+    found = (
+        known.withColumn("text", F.substr("text", begin, F.lit(window)))
+        .where(F.regexp_like("text", F.lit(r"\p{L}")))
         .withColumn("nth", F.row_number().over(chosen))
-        .where(c("nth") <= sample.rows)
+        .where(c("nth") <= rows)
         .orderBy("lang", "nth")
         .collect()
     )
     texts: dict[str, list[str]] = {}
-    for row in rows:
+    for row in found:
         texts.setdefault(row["lang"], []).append(row["text"])
     return tuple((name, tuple(found)) for name, found in sorted(texts.items()))
 
 
 def with_language(
-    docs: DataFrame, samples: tuple, *, text: str = "text", sample: Sample = Sample()
+    docs: DataFrame, samples: tuple, *, text: str = "text"
 ) -> DataFrame:
     """Adds ``lang_pred`` and ``score`` (0 to 1: how far the next language lies behind).
 
@@ -259,7 +270,7 @@ def with_language(
     names = [name for name in docs.columns if name != text]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = languages(samples, sample)
+        model = languages(samples)
         for batch in slices(batches, SLICE, text):
             told = model.told(batch.column(text).to_pylist())
             yield pa.RecordBatch.from_arrays(
