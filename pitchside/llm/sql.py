@@ -38,13 +38,28 @@ def mixing(docs: str, mix: Mix = Mix()) -> str:
         "cells as materialized (select _source as source, _lang as lang, _topic as topic,"
         " sum(_tokens)::double as base from featured group by all)",
     ]
+    total = f"{mix.share}::double * (select sum(base) from cells)"
+
+    def levels(name: str, rows: str) -> str:
+        """The factor by which ``rest`` brings ``base`` to ``target``, no row above its base."""
+        before = "rows between unbounded preceding and 1 preceding"
+        onward = "rows between current row and unbounded following"
+        given = f"coalesce(sum(base) over (partition by {name} order by rest desc {before}), 0)"
+        still = f"sum(base * rest) over (partition by {name} order by rest desc {onward})"
+        supply = f"sum(base) over (partition by {name})"
+        lines = (
+            f"select {name}, (least(target, supply) - {given}) / {still} as line from (select *,"
+            f" {supply} as supply from ({rows})) where base > 0 and rest > 0"
+        )
+        return f"select {name}, greatest(max(line), 0) as level from ({lines}) group by all"
+
     for name in DIMENSIONS:
+        weighed = f"select 0 as every, base, weight / base as rest, {total} as target from weighed_{name}"
         out += [
             f"sums_{name} as (select {name}, sum(base) as base from cells group by all)",
-            f"weighed_{name} as (select {name}, {weights[name]} as weight from sums_{name})",
-            f"targets_{name} as materialized (select {name}, weight / (select sum(weight) from"
-            f" weighed_{name}) * {mix.share}::double * (select sum(base) from cells) as target"
-            f" from weighed_{name})",
+            f"weighed_{name} as (select {name}, base, {weights[name]} as weight from sums_{name})",
+            f"targets_{name} as materialized (select {name}, least(base, weight * coalesce((select"
+            f" level from ({levels('every', weighed)})), 0)) as target from weighed_{name})",
             f"{name}_0 as (select {name}, 1::double as {name}_factor from targets_{name})",
         ]
     step = dict.fromkeys(DIMENSIONS, 0)
@@ -53,10 +68,13 @@ def mixing(docs: str, mix: Mix = Mix()) -> str:
             others = [x for x in DIMENSIONS if x != name]
             joined = " ".join(f"join {x}_{step[x]} using ({x})" for x in others)
             product = " * ".join(f"{x}_factor" for x in others)
+            rows = (
+                f"select {name}, base, {product} as rest, target from cells {joined}"
+                f" join targets_{name} using ({name})"
+            )
             out.append(
-                f"{name}_{turn} as materialized (select {name}, case when s > 0 then target / s"
-                f" else 0 end as {name}_factor from targets_{name} join (select {name},"
-                f" sum(base * {product}) as s from cells {joined} group by all) using ({name}))"
+                f"{name}_{turn} as materialized (select {name}, coalesce(level, 0) as {name}_factor"
+                f" from targets_{name} left join ({levels(name, rows)}) using ({name}))"
             )
             step[name] = turn
     joined = " ".join(f"join {x}_{step[x]} using ({x})" for x in DIMENSIONS)

@@ -11,8 +11,8 @@ from pitchside.llm import decontaminate, mixing, near_dups, outliers
 from pitchside.llm.common import stored
 from pitchside.llm.queries import table, token_ids
 
-#: Ids that go are broadcast to the scan of the texts up to so many; more are joined by shuffle.
-BROADCAST_IDS = 1_000_000
+#: Five words and a similarity of 0.8. So many of 64 coordinates agree in all but one of 830,000 such pairs.
+ALIKE = near_dups.Likeness(percent=80, matches=35)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,10 +23,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, the document with the least id stays."""
-    verdicts = near_dups.near_duplicates(docs.select("doc_id", "text"))
+    verdicts = near_dups.near_duplicates(docs.select("doc_id", "text"), like=ALIKE)
+    # Stored, so Spark knows the size of the ids and broadcasts them only below its threshold.
     gone = stored(verdicts.where(~F.col("kept")).select("doc_id").distinct(), "gone")
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
@@ -39,8 +38,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample by the probabilities that bring sources, languages and topics to their targets."""
     rows = docs.withColumn("_row", F.struct("*"))
-    # Unbounded like the SQL that the pipeline's rows are held to.
-    return mixing.with_sample(rows, carry=["_row"], bounded=False).where("kept").select("_row.*")
+    return mixing.with_sample(rows, carry=["_row"]).where("kept").select("_row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
