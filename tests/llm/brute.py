@@ -18,7 +18,9 @@ def shingles(text: str | None) -> frozenset:
     return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
 
 
-def near_duplicates(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int, bool]]:
+def near_duplicates(
+    docs: list[tuple[int, str | None]], percent: int = 85
+) -> dict[int, tuple[int, int, bool]]:
     sets = {i: shingles(text) for i, text in docs}
     above = {i: i for i in sets}
 
@@ -29,7 +31,7 @@ def near_duplicates(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int,
 
     for i, one in sets.items():
         for j, two in sets.items():
-            if i < j and one and two and 100 * len(one & two) >= 85 * len(one | two):
+            if i < j and one and two and 100 * len(one & two) >= percent * len(one | two):
                 x, y = root(i), root(j)
                 above[max(x, y)] = min(x, y)
     return {i: (len(s), root(i), root(i) == i) for i, s in sets.items()}

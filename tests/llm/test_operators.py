@@ -160,9 +160,58 @@ def test_language_on_held_out_documents(spark):
     assert right.first()[0] > 0.98
 
 
+def plain_cost(text: str, learned: str) -> float:
+    """Phrases of ``text``, each the longest part of ``learned`` from where the last one ended."""
+    count = 0
+    while text:
+        size = max((n for n in range(1, len(text) + 1) if text[:n] in learned), default=1)
+        text, count = text[size:], count + 1
+    return count
+
+
+def test_language_choice_equals_brute_force():
+    """The least cost per symbol wins, whatever the samples' lengths."""
+    samples = (
+        ("a", ("the cat sat on the mat and the hat",)), ("b", ("die katze sitzt auf der matte",)),
+        ("c", ("ok",)), ("d", ("le chat",)),
+    )
+    texts = ["the mat on the hat", "der katze", "ok ok", "le chat le chat", "xyz", "sat auf"]
+    model = language.Languages(samples)
+    for text, (name, score) in zip(texts, model.told(texts)):
+        costs = [plain_cost(text, x[0] + " ") for _, x in samples]
+        assert name == samples[costs.index(min(costs))][0], text
+        least = sorted(costs)[:2]
+        assert score == pytest.approx(1 - least[0] / least[1])
+
+
+@pytest.mark.parametrize("extra", [
+    [("xx", "ok")], [("xx", "")], [("xx", "1 2 3 !")], [(f"x{i}", f"q{i} word") for i in range(50)],
+])
+def test_small_languages_take_over_no_documents(spark, extra):
+    """Rows with a wrong label, empty or tiny, leave the other languages' documents alone."""
+    folder = "/root/testdata/sf0.01"
+    docs = queries.table(spark, folder, "documents").select("doc_id", "text", "lang")
+    added = spark.createDataFrame([(-4 * i - 1, t, x) for i, (x, t) in enumerate(extra)], docs.schema)
+    samples = language.learned_sample(docs.where("doc_id % 4 <> 2").unionByName(added))
+    assert {"de", "en", "es", "fr"} <= {name for name, _ in samples}
+    held = docs.where("doc_id % 4 = 2 and lang is not null and length(text) > 40")
+    found = language.with_language(held, samples)
+    right = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert right > 0.98
+
+
+def test_language_sample_is_bounded(spark):
+    docs = [(i, "abc " * 500, f"l{i % 7}") for i in range(70)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    told = dict(language.learned_sample(df, sample=language.Sample(rows=8, window=30, total=1_000)))
+    assert len(told) == 7 and {len(x) for x in told.values()} == {4}
+    assert {len(x) for texts in told.values() for x in texts} == {30}
+    assert language.Sample(total=100).shared(1_000) == (1, 1)
+
+
 def test_phrases_equal_a_plain_parse():
     samples = (("a", ("abcabcabd abc",)), ("b", ("xyzxyz xxy",)))
-    model = language.Languages(samples, language.Sample())
+    model = language.Languages(samples)
     texts = ["abcabd zxy", "zzz abcab", "", "q", "abc" * 1_000]
     symbols, upto = model.alphabet.symbols(texts)
     found = model.phrases(symbols, upto)

@@ -25,7 +25,7 @@ def test_pipeline_rows(spark):
     con.sql(f"create table sound as with {sql.outliers('documents')}"
             " select doc_id, text, lang, source from judged where kept")
     held = con.sql("select doc_id, text from sound").fetchall()
-    near = brute.near_duplicates(held)
+    near = brute.near_duplicates(held, 80)
     passages = [brute.normal(t)[20:100] for _, t in benchmark]
     # Passages lie in the documents as they are, so a part of one is enough to find them.
     clean = [
