@@ -20,7 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pitchside.llm.common import Scratch, bound_batches, held_out, slices
+from pitchside.llm.common import (
+    PartFile, Scratch, bound_batches, drop_path, file_system, held_out, slices,
+)
 
 c = F.col
 
@@ -138,6 +140,11 @@ class Model:
     def __post_init__(self):
         self.scaled, self.squares = self.weights * self.ratios, self.ratios**2
 
+    def __reduce__(self):
+        # What follows from the rest is not sent to tasks.
+        told = (self.bias, self.slope, self.offset, self.gap, self.rounds)
+        return Model, (self.ratios, self.weights, *told)
+
     def margin(self, at: np.ndarray) -> float:
         norm = float(np.sqrt(self.squares[at].sum()))
         return float(self.scaled[at].sum()) / norm + self.bias if norm else self.bias
@@ -316,8 +323,29 @@ def _counts(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def _descended(rows: DataFrame, ratios: np.ndarray, learning: Learning) -> Model:
-    """Rounds of descent in tasks. The driver holds weights, one number for each row, and changes."""
+def _written(arrays: np.ndarray, folder: str, label: str) -> str:
+    """The path of a file with ``arrays`` in a folder that tasks reach."""
+    file = PartFile(folder, label)
+    file.append(arrays.tobytes())
+    file.close()
+    return f"{folder}/{file.name}"
+
+
+def _read(path: str) -> np.ndarray:
+    store, at = file_system(path)
+    with store.open_input_file(at) as file:
+        return np.frombuffer(file.read(), float).reshape(2, SIZE)
+
+
+def _descended(
+    rows: DataFrame, ratios: np.ndarray, learning: Learning, scratch: Scratch
+) -> Model:
+    """Rounds of descent in tasks. The driver holds weights, one number for each row, and changes.
+
+    Tasks read a round's weights from a file: as a part of the job they would stay, round by round, in
+    every executor's store.
+    """
+    folder = scratch.path("classifier-weights")
     tasks = max(1, rows.rdd.getNumPartitions())
     weights, bias, gap = np.zeros(SIZE), 0.0, 1.0
     rids, alphas = np.empty(0, np.int64), np.empty(0)
@@ -325,18 +353,21 @@ def _descended(rows: DataFrame, ratios: np.ndarray, learning: Learning) -> Model
               " bias double, loss double")
     done = 0
     for done in range(1, learning.rounds + 1):
+        path = _written(np.stack([weights, ratios]), folder, f"round-{done}")
+        start_bias = bias
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = list(_held(batches))
             if not held:
                 return
+            now, scale = _read(path)
             own = np.array([x[0] for x in held])
             signs = np.array([1.0 if x[1] else -1.0 for x in held])
             start = np.zeros(len(own))
             if len(rids):
                 start = alphas[np.searchsorted(rids, own)]
             after, change, moved, loss = descend(
-                [x[2] for x in held], signs, start, weights, bias, ratios, learning, tasks,
+                [x[2] for x in held], signs, start, now, start_bias, scale, learning, tasks,
                 done * 1_000 + int(own[0]) % 997,
             )
             at = np.flatnonzero(change)
@@ -346,6 +377,7 @@ def _descended(rows: DataFrame, ratios: np.ndarray, learning: Learning) -> Model
             )
 
         told = sorted(rows.mapInArrow(run, schema).collect(), key=lambda r: r["rids"][0])
+        drop_path(rows.sparkSession, path)
         loss = sum(r["loss"] for r in told)
         primal = (weights @ weights + bias**2) / 2 + learning.cost * loss
         dual = alphas.sum() - (weights @ weights + bias**2) / 2
@@ -385,7 +417,8 @@ def learned(
     parted = len(there) == 4
     teach, tell = (rows.where("not held"), rows.where("held")) if parted else (rows, rows)
     low, high = _counts(teach)
-    model = _descended(teach, log_count_ratios(low, high, learning.smoothing), learning)
+    ratios = log_count_ratios(low, high, learning.smoothing)
+    model = _descended(teach, ratios, learning, scratch)
     # The fitted weights are drawn towards their mean size, at which the ratios alone speak.
     mean = np.abs(model.weights).sum() / max(1, np.count_nonzero(low + high))
     weights = (1 - learning.fitted) * mean + learning.fitted * model.weights
