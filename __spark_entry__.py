@@ -181,6 +181,22 @@ def incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(facts.fct_deliveries(balls, players, matches, target=held))
 
 
+def not_in_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winners (some matches have none) against a list with a NULL, one without, and an empty one."""
+    matches = _matches(spark, sf_dir).select("match_id", "match_winner", "event_stage")
+    finals = matches.where(c("event_stage") == "Final").select("match_winner")
+    lists = {
+        "with null": matches.where(c("event_stage") == "Qualifier").select("match_winner"),
+        "without null": finals.where(c("match_winner").isNotNull() & (c("match_winner") < "I")),
+        "empty": finals.where(F.lit(False)),
+    }
+    found = [
+        keyed.not_in(matches, "match_winner", listed).select(F.lit(name).alias("list"), "match_id")
+        for name, listed in lists.items()
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run log from the first half of the events meets the runs of the second half."""
     events = parquet_tables(spark, sf_dir, "events")["events"]
@@ -415,6 +431,7 @@ def queries() -> dict[str, Query]:
         "insert_new_keys": insert_new_keys,
         "replace_by_key": replace_by_key,
         "incremental_append": incremental_append,
+        "not_in_with_nulls": not_in_with_nulls,
         "upsert_by_key": upsert_by_key,
         "unseen_files": unseen,
         "match_headers": match_headers,

@@ -604,6 +604,16 @@ SQL: dict[str, str] = {
     "incremental_append": _match(
         f"SELECT {DATE_AS_TEXT} FROM fct_deliveries WHERE match_date >= DATE '1999-01-01'"
     ),
+    "not_in_with_nulls": _match(
+        """SELECT 'with null' AS list, match_id FROM stg_matches WHERE match_winner NOT IN
+               (SELECT match_winner FROM stg_matches WHERE event_stage = 'Qualifier')
+           UNION ALL
+           SELECT 'without null', match_id FROM stg_matches WHERE match_winner NOT IN
+               (SELECT match_winner FROM stg_matches WHERE event_stage = 'Final' AND match_winner < 'I')
+           UNION ALL
+           SELECT 'empty', match_id FROM stg_matches WHERE match_winner NOT IN
+               (SELECT match_winner FROM stg_matches WHERE FALSE)"""
+    ),
     "upsert_by_key": """
         WITH log AS (
             SELECT event_type AS pipeline_name, 'user ' || user_id AS run_type,
