@@ -287,7 +287,7 @@ def _streamed(spark: SparkSession, sf_dir: str) -> stream.PostPaths:
     source = (
         spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landed)
     )
-    paths = stream.PostPaths(scratch_path(spark, "stream"))
+    paths = stream.PostPaths(scratch_path(spark, "stream"), buckets=8)
     query = stream.run_sentiment_stream(
         views.scored_posts(source), paths, trigger={"availableNow": True}
     )

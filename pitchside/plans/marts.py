@@ -8,7 +8,7 @@ and the join moves far fewer rows. Balls without a match drop out in that inner
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pitchside.functions.columns import count_when, ordered_listagg, ratio, rounded
 from pitchside.operators.entities import unpivot_roles
@@ -211,12 +211,26 @@ def player_career(batting: DataFrame, bowling: DataFrame) -> DataFrame:
     )
 
 
+def _daily_columns(sums: DataFrame) -> DataFrame:
+    return sums.select(
+        "post_date",
+        "total_posts",
+        "avg_sentiment_score",
+        "positive_posts",
+        "negative_posts",
+        "neutral_posts",
+        ratio(F.col("positive_posts"), F.col("total_posts"), 2, 100).alias("positive_pct"),
+        ratio(F.col("negative_posts"), F.col("total_posts"), 2, 100).alias("negative_pct"),
+        "max_sentiment_score",
+        "min_sentiment_score",
+    )
+
+
 def daily_sentiment(latest_post: DataFrame) -> DataFrame:
     """Posts and sentiment per calendar day of the post."""
     label, score = F.col("sentiment_label"), F.col("sentiment_score")
-    return (
-        latest_post.groupBy("post_date")
-        .agg(
+    return _daily_columns(
+        latest_post.groupBy("post_date").agg(
             F.count(F.lit(1)).alias("total_posts"),
             rounded(F.avg(score), 4).alias("avg_sentiment_score"),
             count_when(label == "POSITIVE").alias("positive_posts"),
@@ -225,16 +239,31 @@ def daily_sentiment(latest_post: DataFrame) -> DataFrame:
             F.max(score).alias("max_sentiment_score"),
             F.min(score).alias("min_sentiment_score"),
         )
-        .select(
-            "post_date",
-            "total_posts",
-            "avg_sentiment_score",
-            "positive_posts",
-            "negative_posts",
-            "neutral_posts",
-            ratio(F.col("positive_posts"), F.col("total_posts"), 2, 100).alias("positive_pct"),
-            ratio(F.col("negative_posts"), F.col("total_posts"), 2, 100).alias("negative_pct"),
-            "max_sentiment_score",
-            "min_sentiment_score",
+    )
+
+
+def value_counts(posts: DataFrame, weight: Column | None = None) -> DataFrame:
+    """Posts of each day by label and score. Counts of parts add up, and may be taken off again."""
+    total = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return posts.groupBy("post_date", "sentiment_label", "sentiment_score").agg(
+        total.cast("long").alias("posts")
+    )
+
+
+def daily_from_counts(counts: DataFrame) -> DataFrame:
+    """``daily_sentiment`` from value counts; days without a post are left out."""
+    label, score, posts = F.col("sentiment_label"), F.col("sentiment_score"), F.col("posts")
+
+    def posts_of(name: str) -> Column:
+        return F.sum(F.when(label == name, posts).otherwise(0)).alias(f"{name.lower()}_posts")
+
+    scored = F.sum(F.when(score.isNotNull(), posts))
+    return _daily_columns(
+        counts.where("posts <> 0").groupBy("post_date").agg(
+            F.sum(posts).alias("total_posts"),
+            rounded(F.sum(score * posts) / scored, 4).alias("avg_sentiment_score"),
+            posts_of("POSITIVE"), posts_of("NEGATIVE"), posts_of("NEUTRAL"),
+            F.max(score).alias("max_sentiment_score"),
+            F.min(score).alias("min_sentiment_score"),
         )
     )

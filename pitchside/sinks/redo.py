@@ -8,22 +8,23 @@ the table. Applying twice gives the same table.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-Apply = Callable[[DataFrame], None]
+#: Applies staged contents, given by name.
+Apply = Callable[[dict[str, DataFrame]], None]
 
 _MARK = T.StructType([T.StructField("open", T.BooleanType())])
 
 
 class Redo:
-    """Staged content of one table, kept in its own folder on shared storage."""
+    """Staged contents that are applied together, kept in their own folder on shared storage."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, names: Sequence[str] = ("content",)):
         self.spark = spark
-        self.content = f"{path}/content"
+        self.contents = {name: f"{path}/{name}" for name in names}
         self.mark = f"{path}/mark"
 
     def is_open(self) -> bool:
@@ -38,14 +39,18 @@ class Redo:
         row.coalesce(1).write.mode("overwrite").parquet(self.mark)
 
     def finish(self, apply: Apply) -> None:
-        """Apply content that an earlier run left open."""
+        """Apply contents that an earlier run left open."""
         if self.is_open():
-            apply(self.spark.read.parquet(self.content))
+            apply({name: self.spark.read.parquet(path) for name, path in self.contents.items()})
             self._set(False)
 
-    def run(self, content: DataFrame, apply: Apply) -> None:
-        """Write the content, then apply it."""
-        content.write.mode("overwrite").parquet(self.content)
+    def run(self, contents: Mapping[str, DataFrame], apply: Apply) -> None:
+        """Write all contents, then apply them."""
+        for name, content in contents.items():
+            content.write.mode("overwrite").parquet(self.contents[name])
         self._set(True)
-        apply(self.spark.read.schema(content.schema).parquet(self.content))
+        apply({
+            name: self.spark.read.schema(content.schema).parquet(self.contents[name])
+            for name, content in contents.items()
+        })
         self._set(False)

@@ -130,9 +130,9 @@ def load_replacing(
     target = table_name(layer, name)
     redo = _redo(spark, layer, name)
 
-    def apply(content: DataFrame) -> None:
+    def apply(contents: dict[str, DataFrame]) -> None:
         with _dynamic_overwrite(spark):
-            content.write.mode("overwrite").insertInto(target)
+            contents["content"].write.mode("overwrite").insertInto(target)
 
     redo.finish(apply)
     incoming = stored(incoming.withColumn(BUCKET, key_bucket(keys, buckets)), "incoming")
@@ -148,7 +148,7 @@ def load_replacing(
         known = incoming.join(held, bucketed_keys, "left_semi")
         existing = table.where(F.col(BUCKET).isin(rewritten))
         content = replace_by_key(existing, known, keys).select(*table.columns)
-        redo.run(content.hint("rebalance", BUCKET), apply)
+        redo.run({"content": content.hint("rebalance", BUCKET)}, apply)
     unknown = incoming.join(held, bucketed_keys, "left_anti").select(*table.columns)
     unknown.hint("rebalance", BUCKET).write.mode("append").insertInto(target)
 
@@ -169,8 +169,8 @@ def upsert_rows(source: DataFrame, layer: str, name: str, keys: Sequence[str]) -
     spark = source.sparkSession
     redo = _redo(spark, layer, name)
 
-    def apply(content: DataFrame) -> None:
-        content.write.mode("overwrite").format("parquet").saveAsTable(table_name(layer, name))
+    def apply(contents: dict[str, DataFrame]) -> None:
+        contents["content"].write.mode("overwrite").format("parquet").saveAsTable(table_name(layer, name))
 
     redo.finish(apply)
-    redo.run(upsert_by_key(read_table(spark, layer, name), source, keys), apply)
+    redo.run({"content": upsert_by_key(read_table(spark, layer, name), source, keys)}, apply)
