@@ -14,6 +14,7 @@ import oracle_queries as oracle  # noqa: E402
 from pitchside import testviews as views  # noqa: E402
 from pitchside.functions.sentiment import Rules, score_posts, score_text  # noqa: E402
 from pitchside.operators import entities, keyed, quality  # noqa: E402
+from pitchside.operators.distinct import distinct_counts  # noqa: E402
 from pitchside.plans import batch, contracts, dimensions, facts, marts, staging  # noqa: E402
 from pitchside.session import scratch_path, stored  # noqa: E402
 from pitchside.sinks.landing import batch_file, land_batch, with_audit  # noqa: E402
@@ -372,32 +373,57 @@ def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All declared checks over all models, each model stored once as in a batch run."""
-    raw_posts = views.raw_posts(spark, sf_dir)
-    tables = {
-        "stg_matches": stored(_matches(spark, sf_dir), "stg_matches"),
-        "stg_deliveries": stored(_balls(spark, sf_dir), "stg_deliveries"),
-        "raw_posts": raw_posts,
-        "latest_post": stored(staging.latest_post(raw_posts), "latest_post"),
-    }
-    matches, balls = tables["stg_matches"], tables["stg_deliveries"]
-    for name, dim in {
-        "dim_teams": dimensions.dim_teams(matches),
-        "dim_venues": dimensions.dim_venues(matches),
-        "dim_players": dimensions.dim_players(balls),
-    }.items():
-        tables[name] = stored(dim, name)
-    results = facts.fct_match_results(matches, tables["dim_teams"], tables["dim_venues"])
-    tables["fct_match_results"] = results = stored(results, "fct_match_results")
-    ball_facts = facts.fct_deliveries(balls, tables["dim_players"], results)
-    tables["fct_deliveries"] = stored(ball_facts, "fct_deliveries")
-    for name, mart in batch.stat_marts(tables["fct_deliveries"], results).items():
-        tables[name] = stored(mart, name)
-    tables["player_career"] = marts.player_career(
-        tables["batting_stats"], tables["bowling_stats"]
+    """All declared checks over all models. Row checks are counted while the models are written."""
+    measured = quality.Measured(contracts.RULES)
+
+    def keep(layer: str, name: str, df: DataFrame) -> DataFrame:
+        return stored(measured.watch(df, name), name)
+
+    matches = keep("staging", "stg_matches", _matches(spark, sf_dir))
+    balls = keep("staging", "stg_deliveries", _balls(spark, sf_dir))
+    tables = batch.match_models(matches, balls, keep)
+    tables["raw_posts"] = views.raw_posts(spark, sf_dir)
+    tables["latest_post"] = keep("staging", "latest_post", staging.latest_post(tables["raw_posts"]))
+    tables["daily_sentiment"] = keep(
+        "marts", "daily_sentiment", marts.daily_sentiment(tables["latest_post"])
+    )
+    return measured.report(spark, tables)
+
+
+def merged_sums(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The sums per match of two loads, matches before 1998 and since, appended one after the other."""
+    balls, matches = _balls(spark, sf_dir), _matches(spark, sf_dir)
+    early = matches.where(c("match_date") < "1998-01-01").select("match_id")
+    loads = [
+        balls.join(early, "match_id", "left_semi"), balls.join(early, "match_id", "left_anti"),
+    ]
+    found = {}
+    for name, part in marts.PARTS.items():
+        path = scratch_path(spark, name)
+        for load in loads:
+            part(load).write.mode("append").parquet(path)
+        found[name] = spark.read.parquet(path)
+    return found
+
+
+def merged_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Season marts of players, merged from the stored sums of two loads."""
+    matches, sums = _matches(spark, sf_dir), merged_sums(spark, sf_dir)
+    batting = marts.batting_of(sums["batting_innings"], matches)
+    bowling = marts.bowling_of(sums["bowling_matches"], matches)
+    return batting.select(
+        "player_name", "season", "total_runs", "strike_rate", "average", "highest_score"
+    ).join(
+        bowling.select("player_name", "season", "economy_rate", "best_bowling_figures"),
+        ["player_name", "season"], "full",
     )
-    tables["daily_sentiment"] = marts.daily_sentiment(tables["latest_post"])
-    return batch.check_models(tables)
+
+
+def seasons_played(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seasons of each batter, from rows that repeat a player's season for every innings."""
+    innings = marts.batting_innings(_balls(spark, sf_dir))
+    rows = innings.join(_matches(spark, sf_dir).select("match_id", "season"), "match_id")
+    return distinct_counts(rows, ["batter"], "season", "seasons")
 
 
 # --- contract ---------------------------------------------------------------------------------
@@ -444,6 +470,8 @@ def queries() -> dict[str, Query]:
         "dq_unique": dq_unique,
         "dq_accepted_values": dq_accepted_values,
         "dq_report": dq_report,
+        "merged_marts": merged_marts,
+        "seasons_played": seasons_played,
         "text_sentiment": text_sentiment,
         "text_sentiment_rules": text_sentiment_rules,
         "post_sentiment": post_sentiment,

@@ -677,6 +677,15 @@ SQL: dict[str, str] = {
     "text_sentiment": TEXT_SENTIMENT,
     "text_sentiment_rules": TEXT_SENTIMENT_RULES,
     "post_sentiment": POST_SENTIMENT,
+    "merged_marts": _match(
+        """SELECT player_name, season, b.total_runs, b.strike_rate, b.average, b.highest_score,
+                  w.economy_rate, w.best_bowling_figures
+           FROM batting_stats b FULL JOIN bowling_stats w USING (player_name, season)"""
+    ),
+    "seasons_played": _match(
+        """SELECT batter, count(DISTINCT season) AS seasons
+           FROM stg_deliveries JOIN stg_matches USING (match_id) GROUP BY batter"""
+    ),
     "stream_latest_post": _post(
         """SELECT * EXCLUDE (loaded_at)
                   REPLACE (CAST(post_created_at AS VARCHAR) AS post_created_at,

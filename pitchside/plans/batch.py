@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pitchside.functions.columns import utc_now
-from pitchside.operators.quality import run_checks
+from pitchside.operators.quality import Measured, Rules, run_checks
 from pitchside.plans import dimensions, facts, marts, staging
 from pitchside.plans.contracts import RULES
 from pitchside.schemas import RAW_DELIVERIES, RAW_MATCHES, REJECTED_DOCUMENTS, RUN_LOG
@@ -17,6 +18,8 @@ from pitchside.sources import documents
 from pitchside.sources.tables import read_table, table_name
 
 KEY_BUCKETS = 256
+#: Partition of the ball fact and of the sums that marts keep of it: the run that brought the rows.
+LOAD = "load_id"
 
 # Stored report -> the column its rows are shown by, greatest first.
 REPORT_ORDER = {
@@ -87,53 +90,128 @@ def load_new_documents(
         spark.catalog.refreshTable(table_name("raw", name))
 
 
-def build_models(spark: SparkSession) -> dict[str, DataFrame]:
-    """Build all match models from the raw tables; the ball fact only grows by new matches."""
-    built: dict[str, DataFrame] = {
-        "stg_matches": staging.stg_matches(read_table(spark, "raw", "raw_matches")),
-        "stg_deliveries": staging.stg_deliveries(read_table(spark, "raw", "raw_deliveries")),
-    }
-    for name, view in built.items():
-        view.createOrReplaceTempView(name)
+#: Stores a model's frame (layer, name, frame) and gives a scan of it.
+Keep = Callable[[str, str, DataFrame], DataFrame]
+#: Stores the ball fact, made of players and results, and the sums per match that marts keep of it.
+Grow = Callable[[DataFrame, DataFrame], tuple[DataFrame, Mapping[str, DataFrame]]]
+
+
+def match_models(
+    matches: DataFrame, balls: DataFrame, keep: Keep, grow: Grow | None = None
+) -> dict[str, DataFrame]:
+    """All match models from the staging frames, each stored by ``keep`` before it is read.
+
+    Without ``grow`` the ball fact is built as a whole, and its sums with each mart.
+    """
+    built = {"stg_matches": matches, "stg_deliveries": balls}
 
     def table(layer: str, name: str, df: DataFrame) -> DataFrame:
-        built[name] = sink.rebuild_table(df, layer, name)
+        built[name] = keep(layer, name, df)
         return built[name]
 
-    matches, balls = built["stg_matches"], built["stg_deliveries"]
     teams = table("dimensions", "dim_teams", dimensions.dim_teams(matches))
     venues = table("dimensions", "dim_venues", dimensions.dim_venues(matches))
     players = table("dimensions", "dim_players", dimensions.dim_players(balls))
     results = table(
         "facts", "fct_match_results", facts.fct_match_results(matches, teams, venues)
     )
-    fact = table_name("facts", "fct_deliveries")
-    held = spark.table(fact) if spark.catalog.tableExists(fact) else None
-    new_balls = facts.fct_deliveries(balls, players, results, held)
-    built["fct_deliveries"] = sink.append_rows(new_balls, "facts", "fct_deliveries")
-    for name, mart in stat_marts(built["fct_deliveries"], results).items():
+    if grow:
+        built["fct_deliveries"], parts = grow(players, results)
+    else:
+        fact = table("facts", "fct_deliveries", facts.fct_deliveries(balls, players, results))
+        parts = {name: part(fact) for name, part in marts.PARTS.items()}
+    for name, mart in stat_marts(parts, results).items():
         table("marts", name, mart)
-    table(
-        "marts",
-        "player_career",
-        marts.player_career(built["batting_stats"], built["bowling_stats"]),
-    )
+    career = marts.player_career(built["batting_stats"], built["bowling_stats"])
+    table("marts", "player_career", career)
     return built
 
 
-def stat_marts(deliveries: DataFrame, matches: DataFrame) -> dict[str, DataFrame]:
-    """The marts that read the two facts."""
+def _loads(spark: SparkSession, layer: str, name: str) -> set[str]:
+    """The loads a table holds: one short name for each run, known without a scan."""
+    target = table_name(layer, name)
+    if not spark.catalog.tableExists(target):
+        return set()
+    rows = spark.sql(f"SHOW PARTITIONS {target}").collect()
+    return {row[0].split("=", 1)[1] for row in rows}
+
+
+def add_sums(spark: SparkSession, name: str) -> DataFrame:
+    """Bring the stored sums of ``marts.PARTS[name]`` up to the ball fact and return all of them.
+
+    Only the balls of loads that the sums lack are read, so a run costs what it has loaded. A run that
+    ended before its sums were there leaves them to the next one.
+    """
+    fact = read_table(spark, "facts", "fct_deliveries")
+    lacking = sorted(_loads(spark, "facts", "fct_deliveries") - _loads(spark, "marts", name))
+    new = fact.where(F.col(LOAD).isin(lacking))
+    sums = None
+    for load in lacking:
+        part = marts.PARTS[name](new.where(F.col(LOAD) == load)).withColumn(LOAD, F.lit(load))
+        sums = part if sums is None else sums.unionByName(part)
+    if sums is None:
+        if spark.catalog.tableExists(table_name("marts", name)):
+            return read_table(spark, "marts", name).drop(LOAD)
+        sums = marts.PARTS[name](fact.limit(0)).withColumn(LOAD, F.lit(""))
+    return sink.append_rows(sums, "marts", name, LOAD).drop(LOAD)
+
+
+def build_models(
+    spark: SparkSession,
+    loaded: DataFrame | None = None,
+    buckets: int = KEY_BUCKETS,
+    load_id: str | None = None,
+    measured: Measured | None = None,
+) -> dict[str, DataFrame]:
+    """Build all match models from the raw tables; the ball fact only grows by new matches.
+
+    ``loaded`` holds the ``match_id`` of all that was loaded since the models were last built, if the
+    caller knows: then only these are looked for in the raw balls, of whose ``buckets`` only theirs are
+    read. ``measured`` counts the row checks of the tables that are written as a whole.
+    """
+    load_id = load_id or f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
+    raw_balls = read_table(spark, "raw", "raw_deliveries")
+    matches = staging.stg_matches(read_table(spark, "raw", "raw_matches"))
+    balls = staging.stg_deliveries(raw_balls)
+    matches.createOrReplaceTempView("stg_matches")
+    balls.createOrReplaceTempView("stg_deliveries")
+
+    def keep(layer: str, name: str, df: DataFrame) -> DataFrame:
+        return sink.rebuild_table(measured.watch(df, name) if measured else df, layer, name)
+
+    def grow(players: DataFrame, results: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+        fact = table_name("facts", "fct_deliveries")
+        held = spark.table(fact).drop(LOAD) if spark.catalog.tableExists(fact) else None
+        source = balls
+        if held is not None and loaded is not None:
+            source = staging.stg_deliveries(sink.in_buckets_of(raw_balls, loaded, ["match_id"], buckets))
+        new_balls = facts.fct_deliveries(source, players, results, held, loaded)
+        whole = sink.append_rows(
+            new_balls.withColumn(LOAD, F.lit(load_id)), "facts", "fct_deliveries", LOAD
+        )
+        return whole.drop(LOAD), {name: add_sums(spark, name) for name in marts.PARTS}
+
+    return match_models(matches, balls, keep, grow)
+
+
+def stat_marts(parts: Mapping[str, DataFrame], matches: DataFrame) -> dict[str, DataFrame]:
+    """The marts that merge the sums per match, and the one of the matches alone."""
     return {
-        "batting_stats": marts.batting_stats(deliveries, matches),
-        "bowling_stats": marts.bowling_stats(deliveries, matches),
-        "team_performance": marts.team_performance(deliveries, matches),
+        "batting_stats": marts.batting_of(parts["batting_innings"], matches),
+        "bowling_stats": marts.bowling_of(parts["bowling_matches"], matches),
+        "team_performance": marts.team_performance_of(parts["team_runs"], matches),
         "titles_won": marts.titles_won(matches),
     }
 
 
+def declared_rules(tables: Iterable[str]) -> dict[str, Rules]:
+    """The declared checks of the given models."""
+    return {name: RULES[name] for name in RULES if name in set(tables)}
+
+
 def check_models(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The declared checks of the given models."""
-    return run_checks(tables, {name: RULES[name] for name in RULES if name in tables})
+    return run_checks(tables, declared_rules(tables))
 
 
 def log_run(spark: SparkSession, pipeline: str, run_type: str) -> None:
@@ -159,6 +237,8 @@ def run_batch(
         load_new_documents(spark, path, checkpoint, buckets)
     else:
         load_documents(spark, path, buckets)
-    report = stored(check_models(build_models(spark)), "checks")
+    measured = Measured(RULES)
+    models = build_models(spark, measured=measured)
+    report = stored(measured.report(spark, models), "checks")
     log_run(spark, "match_pipeline", "Batch")
     return report

@@ -34,12 +34,14 @@ def fct_deliveries(
     dim_players: DataFrame,
     fct_match_results: DataFrame,
     target: DataFrame | None = None,
+    loaded: DataFrame | None = None,
 ) -> DataFrame:
     """One row per ball with player ids and match context.
 
-    With ``target`` (the stored fact) only balls of matches it does not hold are built.
+    With ``target`` (the stored fact) only balls of matches it does not hold are built; with ``loaded``
+    (the ``match_id`` of this run's matches) only of these.
     """
-    balls = incremental_append(target, stg_deliveries, "match_id").drop("loaded_at")
+    balls = incremental_append(target, stg_deliveries, "match_id", loaded).drop("loaded_at")
     columns = balls.columns
     with_players = role_join(
         balls,

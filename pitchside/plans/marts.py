@@ -4,6 +4,9 @@
 the facts take over one-to-one from staging, so the staging frames serve as well. Balls are summed
 per match before they meet the match table: ``match_id`` is unique there, so the sums are the same
 and the join moves far fewer rows. Balls without a match drop out in that inner join.
+
+The sums per match (``PARTS``) can be stored: a match's balls come at once, so the sums of new matches are
+appended and the marts are merged from all of them, without the balls of earlier matches.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pitchside.functions.columns import count_when, ordered_listagg, ratio, rounded
+from pitchside.operators.distinct import distinct_of
 from pitchside.operators.entities import unpivot_roles
 from pitchside.operators.picks import best_pair, best_value
 
@@ -19,14 +23,45 @@ def _with_season(per_match: DataFrame, matches: DataFrame) -> DataFrame:
     return per_match.join(matches.select("match_id", "season"), "match_id")
 
 
-def batting_stats(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
-    """Batter by season. Every ball counts as faced; the average is per innings."""
-    innings = deliveries.groupBy("batter", "match_id", "inning_number").agg(
+def batting_innings(deliveries: DataFrame) -> DataFrame:
+    """Batter by match and innings: runs, balls, fours and sixes."""
+    return deliveries.groupBy("batter", "match_id", "inning_number").agg(
         F.sum("runs_batter").alias("runs"),
         F.count(F.lit(1)).alias("balls"),
         count_when(F.col("is_four")).alias("fours"),
         count_when(F.col("is_six")).alias("sixes"),
     )
+
+
+def bowling_matches(deliveries: DataFrame) -> DataFrame:
+    """Bowler by match: balls, runs conceded (extras included) and wicket balls."""
+    return deliveries.groupBy("bowler", "match_id").agg(
+        F.count(F.lit(1)).alias("balls"),
+        F.sum("runs_total").alias("runs"),
+        count_when(F.col("is_wicket")).alias("wickets"),
+    )
+
+
+def team_runs(deliveries: DataFrame) -> DataFrame:
+    """Batting team by match: all its runs."""
+    return deliveries.groupBy("match_id", "batting_team").agg(F.sum("runs_total").alias("match_runs"))
+
+
+#: What marts keep of the balls of a match.
+PARTS = {
+    "batting_innings": batting_innings,
+    "bowling_matches": bowling_matches,
+    "team_runs": team_runs,
+}
+
+
+def batting_stats(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
+    """Batter by season. Every ball counts as faced; the average is per innings."""
+    return batting_of(batting_innings(deliveries), matches)
+
+
+def batting_of(innings: DataFrame, matches: DataFrame) -> DataFrame:
+    """``batting_stats`` from the rows of ``batting_innings``."""
     return (
         _with_season(innings, matches)
         .groupBy("batter", "season")
@@ -56,13 +91,8 @@ def batting_stats(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
 
 
 def bowling_per_match(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
-    """Bowler by match: balls, runs conceded (extras included) and wicket balls."""
-    per_match = deliveries.groupBy("bowler", "match_id").agg(
-        F.count(F.lit(1)).alias("balls"),
-        F.sum("runs_total").alias("runs"),
-        count_when(F.col("is_wicket")).alias("wickets"),
-    )
-    return _with_season(per_match, matches)
+    """Bowler by match, with its season."""
+    return _with_season(bowling_matches(deliveries), matches)
 
 
 def best_figures(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
@@ -78,9 +108,14 @@ def best_figures(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
 
 def bowling_stats(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
     """Bowler by season. Economy divides by the overs after their rounding to one decimal."""
+    return bowling_of(bowling_matches(deliveries), matches)
+
+
+def bowling_of(per_match: DataFrame, matches: DataFrame) -> DataFrame:
+    """``bowling_stats`` from the rows of ``bowling_matches``."""
     overs = rounded(F.col("balls_bowled").cast("double") / F.lit(6.0), 1)
     return (
-        bowling_per_match(deliveries, matches)
+        _with_season(per_match, matches)
         .where(F.col("bowler").isNotNull() & F.col("season").isNotNull())
         .groupBy("bowler", "season")
         .agg(
@@ -117,9 +152,14 @@ def team_matches(matches: DataFrame) -> DataFrame:
 
 def team_performance(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
     """Team by season: wins, tosses and the average of all its runs in a match."""
-    runs = deliveries.groupBy(
-        F.col("match_id").alias("_match"), F.col("batting_team").alias("_team")
-    ).agg(F.sum("runs_total").alias("match_runs"))
+    return team_performance_of(team_runs(deliveries), matches)
+
+
+def team_performance_of(runs: DataFrame, matches: DataFrame) -> DataFrame:
+    """``team_performance`` from the rows of ``team_runs``."""
+    runs = runs.select(
+        F.col("match_id").alias("_match"), F.col("batting_team").alias("_team"), "match_runs"
+    )
     played = team_matches(matches)
     # Both sides take the season from the same match row; only a missing season never matches.
     same = (
@@ -168,13 +208,18 @@ def titles_won(matches: DataFrame) -> DataFrame:
     )
 
 
-def player_career(batting: DataFrame, bowling: DataFrame) -> DataFrame:
-    """Career totals from the two season marts, one row per player who batted."""
+def player_career(
+    batting: DataFrame, bowling: DataFrame, approximate: bool = False
+) -> DataFrame:
+    """Career totals from the two season marts, one row per player who batted.
+
+    Seasons are counted as distinct values, whatever the grain of the rows; ``approximate`` counts them
+    by sketches.
+    """
     bat = (
         batting.groupBy("player_name")
         .agg(
-            # The batting mart has one row per player and season.
-            F.count("season").alias("seasons_played"),
+            distinct_of("season", approximate).alias("seasons_played"),
             F.sum("innings_played").alias("total_innings"),
             F.sum("total_runs").alias("career_runs"),
             F.sum("balls_faced").alias("career_balls_faced"),

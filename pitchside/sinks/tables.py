@@ -81,14 +81,23 @@ def _drop_versions(spark: SparkSession, versions: str, kept: set[str | None]) ->
             store.delete(status.getPath(), True)
 
 
-def append_rows(df: DataFrame, layer: str, name: str) -> DataFrame:
-    """Append to a table, which is created by the first call."""
+def append_rows(df: DataFrame, layer: str, name: str, partition: str | None = None) -> DataFrame:
+    """Append to a table, which is created by the first call, partitioned if so asked."""
     target = table_name(layer, name)
     df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {target.split('.')[0]}")
-    df.write.mode("append").format("parquet").saveAsTable(target)
+    writer = df.write.mode("append").format("parquet")
+    (writer.partitionBy(partition) if partition else writer).saveAsTable(target)
     return df.sparkSession.table(target)
 
 
+def in_buckets_of(
+    table: DataFrame, rows: DataFrame, keys: Sequence[str], buckets: int
+) -> DataFrame:
+    """The part of a table of so many storage buckets that can hold the keys of ``rows``."""
+    wanted = _buckets(rows.select(key_bucket(keys, buckets).alias(BUCKET)))
+    return table.where(F.col(BUCKET).isin(wanted))
+
+
 def load_new_keys(
     incoming: DataFrame, layer: str, name: str, keys: Sequence[str]
 ) -> dict[str, int]:

@@ -190,3 +190,100 @@ def test_a_rebuild_that_fails_leaves_the_table(spark):
     assert rebuild_table(wider, "marts", "versioned").columns == ["id", "v", "w"]
     folder = spark.catalog.getDatabase("marts").locationUri + "/versioned_versions"
     assert len(os.listdir(folder.removeprefix("file:"))) <= 2
+
+
+def _tables(spark):
+    names = ["batting_stats", "bowling_stats", "team_performance"]
+    return {n: sorted(map(tuple, spark.table(f"marts.{n}").collect()), key=str) for n in names}
+
+
+def test_marts_are_merged_from_stored_sums(spark, tmp_path):
+    """A later run sums the balls of its new matches alone, and the marts are as from all balls."""
+    from pitchside.plans import marts
+
+    for table in ("raw_matches", "raw_deliveries"):
+        spark.sql(f"DROP TABLE IF EXISTS raw.{table}")
+    for table in ("fct_deliveries", *marts.PARTS):
+        spark.sql(f"DROP TABLE IF EXISTS marts.{table}")
+    first = {k: DOCUMENTS[k] for k in ("1001", "1005")}
+    batch.run_batch(spark, write_folder(tmp_path / "one", first, {}), buckets=8)
+    batch.load_documents(spark, write_folder(tmp_path / "two", DOCUMENTS, {}), buckets=8)
+    loaded = spark.createDataFrame([("1002",), ("1007",), ("1006",)], "match_id STRING")
+    built = batch.build_models(spark, loaded, buckets=8, load_id="second")
+    assert len(batch._loads(spark, "facts", "fct_deliveries")) == 2
+    fact = spark.table("marts.fct_deliveries")
+    second = {r.match_id for r in fact.where("load_id = 'second'").collect()}
+    assert "1002" in second and not second & {"1001", "1005"}
+    for name, part in marts.PARTS.items():
+        stored = spark.table(f"marts.{name}")
+        assert {r.match_id for r in stored.where("load_id = 'second'").collect()} == second
+        whole = sorted(map(tuple, part(fact).collect()), key=str)
+        assert sorted(map(tuple, stored.drop("load_id").collect()), key=str) == whole
+    results = built["fct_match_results"]
+    assert _tables(spark) == {
+        "batting_stats": sorted(map(tuple, marts.batting_stats(fact, results).collect()), key=str),
+        "bowling_stats": sorted(map(tuple, marts.bowling_stats(fact, results).collect()), key=str),
+        "team_performance": sorted(
+            map(tuple, marts.team_performance(fact, results).collect()), key=str
+        ),
+    }
+    # A run that ended before its sums were stored leaves them to the next one, which reads that load.
+    spark.sql("ALTER TABLE marts.team_runs DROP PARTITION (load_id = 'second')")
+    lacking = fact.where(F.col("load_id").isin(["second"]))
+    plan = marts.team_runs(lacking)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_id" in plan and "(load_id" in plan
+    batch.add_sums(spark, "team_runs")
+    assert spark.table("marts.team_runs").where("load_id = 'second'").count() > 0
+
+
+def test_checks_counted_while_writing(spark):
+    """Counts of a write, and the checks of a scan, are the same."""
+    from pitchside.operators import quality
+
+    rules = {
+        "a": quality.Rules(not_null=["k", "v"], unique=["k", "v"],
+                           accepted=[quality.Accepted("v", ["x", "y"])]),
+        "b": quality.Rules(not_null=["n"], unique=["n"]),
+        "c": quality.Rules(unique=["n"]),
+    }
+    tables = {
+        "a": spark.createDataFrame([(1, "x"), (1, "y"), (2, None), (None, "z"), (3, "z")], "k INT, v STRING"),
+        "b": spark.range(10).withColumnRenamed("id", "n"),
+        "c": spark.createDataFrame([], "n DOUBLE"),
+    }
+    measured = quality.Measured(rules)
+    for name in ("a", "c"):
+        measured.watch(tables[name], name).write.format("noop").mode("overwrite").save()
+    got = sorted(map(tuple, measured.report(spark, tables).collect()))
+    assert got == sorted(map(tuple, quality.run_checks(tables, rules).collect()))
+    failures = {r[:3]: r[3] for r in got}
+    assert failures["a", "k", "unique"] == 1 and failures["a", "v", "unique"] == 1
+    assert failures["a", "v", "accepted_values"] == 2 and failures["a", "k", "not_null"] == 1
+    assert failures["c", "n", "unique"] == 0 and len(got) == 8
+
+
+def test_unique_checks_share_one_shuffle_of_values(spark):
+    from pitchside.operators import quality
+
+    tables = {m: spark.range(50).selectExpr("id AS x", "id % 7 AS y", "id AS z") for m in "abc"}
+    df = quality.check_all_unique(tables, {m: ["x", "y", "z"] for m in tables})
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(model") == 2  # the values, then one row per check and task
+    assert {(r.column_name, r.failures) for r in df.collect()} == {("x", 0), ("y", 7), ("z", 0)}
+
+
+def test_distinct_counts_and_sketches(spark):
+    from pitchside.operators import distinct
+
+    # One key holds a third of the rows; most values come again.
+    rows = spark.range(60_000).selectExpr(
+        "IF(id % 3 = 0, 'hot', concat('k', id % 5)) AS k", "id % 7000 AS v", "id % 4 AS part"
+    )
+    exact = {r.k: r.n for r in distinct.distinct_counts(rows, ["k"], "v", "n").collect()}
+    wanted = {r.k: len(set(r.vs)) for r in rows.groupBy("k").agg(F.collect_list("v").alias("vs")).collect()}
+    assert exact == wanted
+    sketches = distinct.distinct_sketches(rows, ["k", "part"], "v", "sketch")
+    merged = distinct.merged_counts(sketches, ["k"], "sketch", "n").collect()
+    near = distinct.distinct_counts(rows, ["k"], "v", "n", approximate=True).collect()
+    for r in [*merged, *near]:
+        assert abs(r.n / exact[r.k] - 1) < 0.06
