@@ -376,8 +376,15 @@ def _descended(
                  "bias": [moved], "loss": [loss]}
             )
 
-        told = sorted(rows.mapInArrow(run, schema).collect(), key=lambda r: r["rids"][0])
+        # As Arrow's columns: lists of Python numbers would take many times their room.
+        found = rows.mapInArrow(run, schema).toArrow()
         drop_path(rows.sparkSession, path)
+        told = [
+            {name: value.values.to_numpy() if name in ("rids", "alphas", "i", "v") else value.as_py()
+             for name, value in ((x, found[x][k]) for x in found.column_names)}
+            for k in range(found.num_rows)
+        ]
+        told.sort(key=lambda r: r["rids"][0])
         loss = sum(r["loss"] for r in told)
         primal = (weights @ weights + bias**2) / 2 + learning.cost * loss
         dual = alphas.sum() - (weights @ weights + bias**2) / 2
