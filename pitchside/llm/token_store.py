@@ -35,8 +35,8 @@ SEGMENT_KEYS = 1_024
 #: Bits that a level of the hash function has for each key still to be placed.
 BITS_PER_KEY = 2.0
 MOST_LEVELS = 48
-#: Words whose identifiers a worker remembers before it forgets them all.
-WORDS_KEPT, VARIANTS_KEPT = 500_000, 200_000
+#: Words of a generation that a worker remembers; of those before, it remembers one generation.
+WORDS_KEPT = 300_000
 #: A word a worker remembers has at most so many code points; longer ones are encoded each time.
 WORD_KEPT_CHARS = 64
 
@@ -74,35 +74,46 @@ class _Words(dict):
 
     def __init__(self, library, kind: str):
         super().__init__()
-        self.library, self.model, self.kind = library, library.model, kind
+        self.library, self.model = library, library.model
+        self.packs = [struct.Struct(f"<{n}{kind}").pack for n in range(2 * WORD_KEPT_CHARS)]
+        self.kind = kind
         self.symbols = byte_symbols()
-        #: Words with capitals or closing punctuation, which come again less often.
-        self.variants: dict[str, bytes] = {}
+        #: The words of the generation before; those that come again pass to the present one.
+        self.before: dict[str, bytes] = {}
 
     def packed(self, ids: list[int]) -> bytes:
+        if len(ids) < len(self.packs):
+            return self.packs[len(ids)](*ids)
         return struct.pack(f"<{len(ids)}{self.kind}", *ids)
 
     def whole(self, text: str) -> bytes:
         return self.packed(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids)
 
-    def __missing__(self, word: str) -> bytes:
-        if (value := self.variants.get(word)) is not None:
-            return value
+    def merged(self, word: str) -> bytes:
+        """Of a lower-case word of Latin letters; those of ASCII stand for their own bytes."""
+        written = word
+        if not word.isascii():
+            written = "".join(map(self.symbols.__getitem__, word.encode("utf-8")))
+        return self.packed([token.id for token in self.model.tokenize(written)])
+
+    def new(self, word: str) -> bytes:
         letters = word.rstrip(CLOSING)
+        if not letters.isalpha():
+            return self.whole(word)
+        if not letters.isascii() and (max(letters) >= LATIN_END or DOTTED in letters):
+            return self.whole(word)
         lower = letters.lower()
-        if letters.isalpha() and max(letters) < LATIN_END and DOTTED not in letters:
-            if lower != word:
-                value = self[lower] + (self[word[len(letters) :]] if letters != word else b"")
-                if len(self.variants) >= VARIANTS_KEPT:
-                    self.variants.clear()
-                self.variants[word] = value
-                return value
-            written = "".join(map(self.symbols.__getitem__, word.encode("utf-8")))
-            value = self.packed([token.id for token in self.model.tokenize(written)])
-        else:
-            value = self.whole(word)
+        if lower == word:
+            return self.merged(word)
+        return self[lower] + (self[word[len(letters) :]] if len(letters) < len(word) else b"")
+
+    def __missing__(self, word: str) -> bytes:
+        value = self.before.get(word)
+        if value is None:
+            value = self.new(word)
         if len(word) <= WORD_KEPT_CHARS:
             if len(self) >= WORDS_KEPT:
+                self.before = dict(self)
                 self.clear()
             self[word] = value
         return value

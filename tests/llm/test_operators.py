@@ -73,6 +73,15 @@ def test_word_encoder_equals_library_on_whole_texts():
         assert np.frombuffer(encoder.encode(text), "<u2").tolist() == wanted, repr(text)
 
 
+def test_forgotten_words_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(token_store, "WORDS_KEPT", 5)
+    encoder, whole = token_store.Encoder(WORD_BPE, 2, True), library(WORD_BPE)
+    for text in ["a b c d e f g h", "a b Word. word WORD, x y", "Word. a b"] * 3:
+        wanted = [*whole.encode(text, add_special_tokens=False).ids, 2]
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == wanted
+        assert len(encoder.words) <= 5 and len(encoder.words.before) <= 5
+
+
 def test_token_counts_equal_library():
     counter, whole = token_counts.Counter(BYTE_BPE), library(BYTE_BPE)
     for text in odd_texts(3_000) + [t for _, t in documents()[:60]]:
