@@ -19,6 +19,8 @@ from pitchside.llm.common import bound_batches, text_or_empty
 
 #: Words and pieces whose counts a worker remembers before it forgets them all.
 WORDS_KEPT, PIECES_KEPT = 1_000_000, 500_000
+#: One that it remembers has at most so many code points; longer ones are counted each time.
+KEY_KEPT_CHARS = 64
 
 #: The pre-tokens of byte-level vocabularies, as the library splits them.
 PRE_TOKENS = (
@@ -91,16 +93,21 @@ class Merges:
 
 
 class _Remembered(dict):
-    """A dictionary that makes missing values and forgets all when it holds too many."""
+    """A dictionary that makes missing values and forgets all when it holds too many.
+
+    Long keys are not held, so that its size is bounded in bytes too.
+    """
 
     def __init__(self, make, most: int):
         super().__init__()
         self.make, self.most = make, most
 
     def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        self[key] = value = self.make(key)
+        value = self.make(key)
+        if len(key) <= KEY_KEPT_CHARS:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
         return value
 
 
