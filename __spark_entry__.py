@@ -17,7 +17,9 @@ from pitchside.operators import entities, keyed, quality  # noqa: E402
 from pitchside.operators.distinct import distinct_counts  # noqa: E402
 from pitchside.plans import batch, contracts, dimensions, facts, marts, staging  # noqa: E402
 from pitchside.session import scratch_path, stored  # noqa: E402
-from pitchside.sinks.landing import batch_file, land_batch, with_audit  # noqa: E402
+from pitchside.sinks.landing import (  # noqa: E402
+    batch_file, land_batch, land_files, read_landed, with_audit,
+)
 from pitchside.sources import documents, posts as post_source  # noqa: E402
 from pitchside.sources.tables import parquet_tables, unseen_files  # noqa: E402
 from pitchside.streaming import posts as stream  # noqa: E402
@@ -268,6 +270,32 @@ def land(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts appended with the file of their hour of fetch, and what lies in each of these files."""
+    posts = _scored_events(spark, sf_dir)
+    file = batch_file("posts/raw", "posts", F.date_trunc("hour", "fetched_at"))
+    raw = stored(with_audit(posts, "load", file), "audited")
+    root = scratch_path(spark, "landing")
+    land_files(raw, root, "pipeline_batch_file", posts.columns)
+    landed = read_landed(spark, root, "post_id STRING, sentiment_label STRING", "pipeline_batch_file")
+    found = landed.groupBy("pipeline_batch_file").agg(
+        F.count("*").alias("landed"), F.countDistinct("post_id").alias("landed_posts"),
+        F.count_if(c("sentiment_label") == "POSITIVE").alias("landed_positive"),
+    )
+    rows = raw.groupBy("pipeline_batch_file").agg(F.count("*").alias("appended"))
+    return rows.join(found, "pipeline_batch_file", "full")
+
+
+def winners_with_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winners' ids, with the teams and grounds that hold many matches dealt over copies."""
+    matches = _matches(spark, sf_dir)
+    hot = entities.hot_keys(matches, ["team1", "match_winner", "venue"], 0.1)
+    results = facts.fct_match_results(
+        matches, dimensions.dim_teams(matches), dimensions.dim_venues(matches), hot
+    )
+    return results.select("match_id", "team1_id", "team2_id", "winner_id", "venue_id")
+
+
 def audited_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts in the shape of the raw table, appended with batch id and batch file."""
     posts = _scored_events(spark, sf_dir)
@@ -465,6 +493,8 @@ def queries() -> dict[str, Query]:
         "rejected_documents": rejected_documents,
         "post_records": post_records,
         "land_batch": land,
+        "landed_files": landed_files,
+        "winners_with_hot_keys": winners_with_hot_keys,
         "audited_append": audited_append,
         "dq_not_null": dq_not_null,
         "dq_unique": dq_unique,

@@ -677,6 +677,16 @@ SQL: dict[str, str] = {
     "text_sentiment": TEXT_SENTIMENT,
     "text_sentiment_rules": TEXT_SENTIMENT_RULES,
     "post_sentiment": POST_SENTIMENT,
+    "landed_files": _post(
+        """SELECT strftime(date_trunc('hour', fetched_at),
+                           'posts/raw/%Y/%m/%d/%H/posts_%Y%m%d_%H%M%S.json') AS pipeline_batch_file,
+                  count(*) AS appended, count(*) AS landed, count(DISTINCT post_id) AS landed_posts,
+                  count(*) FILTER (WHERE sentiment_label = 'POSITIVE') AS landed_positive
+           FROM raw_posts GROUP BY ALL"""
+    ),
+    "winners_with_hot_keys": _match(
+        "SELECT match_id, team1_id, team2_id, winner_id, venue_id FROM fct_match_results"
+    ),
     "merged_marts": _match(
         """SELECT player_name, season, b.total_runs, b.strike_rate, b.average, b.highest_score,
                   w.economy_rate, w.best_bowling_figures

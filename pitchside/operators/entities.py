@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pitchside.session import stored
 
@@ -48,17 +48,60 @@ def surrogate_key(df: DataFrame, order_col: str, id_name: str) -> DataFrame:
     )
 
 
+def hot_keys(fact: DataFrame, roles: Sequence[str], share: float = 0.05) -> dict[str, list]:
+    """Per role column, the values that hold at least ``share`` of the rows.
+
+    One pass counts all roles, reduced where it reads; no more than ``1 / share`` values a role come
+    back.
+    """
+    cells = [F.struct(F.lit(r).alias("role"), F.col(r).cast("string").alias("value")) for r in roles]
+    counted = (
+        fact.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+        .groupBy("role", "value").agg(F.count(F.lit(1)).alias("rows"))
+    )
+    # Each role has as many cells as there are rows.
+    total = fact.count()
+    found: dict[str, list] = {role: [] for role in roles}
+    for row in counted.where(F.col("value").isNotNull() & (F.col("rows") >= share * total)).collect():
+        found[row["role"]].append(row["value"])
+    return found
+
+
 def role_join(
-    fact: DataFrame, dim: DataFrame, key: str, id_col: str, roles: Mapping[str, str]
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    id_col: str,
+    roles: Mapping[str, str],
+    hot: Mapping[str, Sequence] | None = None,
+    copies: int = 32,
 ) -> DataFrame:
     """Left join one dimension in several roles: ``{fact column: id alias}``.
 
     No broadcast hint: Spark broadcasts the dimension when its stored or measured size is below
     its threshold, and otherwise shuffles with the adaptive split of hot keys.
+
+    ``hot`` (from ``hot_keys``) spreads the roles it names ahead of that: rows of a hot value are dealt
+    over so many ``copies`` of its dimension row, and rows without a value, which find none, over as
+    many partitions, instead of meeting in one. The deal is by a hash of the whole row, so a task that
+    runs again deals alike.
     """
     for role, alias in roles.items():
         side = dim.select(F.col(key).alias(role), F.col(id_col).alias(alias))
-        fact = fact.join(side, role, "left")
+        if hot is None or role not in hot:
+            fact = fact.join(side, role, "left")
+            continue
+
+        def is_hot(value: Column) -> Column:
+            return F.coalesce(value.cast("string").isin(list(hot[role])), F.lit(False))
+
+        dealt = F.pmod(F.xxhash64(*fact.columns), F.lit(copies)).cast("int")
+        spread = F.when(F.col(role).isNull() | is_hot(F.col(role)), dealt).otherwise(0)
+        places = F.when(is_hot(F.col(role)), F.sequence(F.lit(0), F.lit(copies - 1))).otherwise(
+            F.array(F.lit(0))
+        )
+        side = side.where(F.col(role).isNotNull()).withColumn("_copy", F.explode(places))
+        fact = fact.withColumn("_copy", spread).join(side, [role, "_copy"], "left").drop("_copy")
     return fact
 
 

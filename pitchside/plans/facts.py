@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame
 
 from pitchside.operators.entities import role_join
 from pitchside.operators.keyed import incremental_append
 
 
 def fct_match_results(
-    stg_matches: DataFrame, dim_teams: DataFrame, dim_venues: DataFrame
+    stg_matches: DataFrame,
+    dim_teams: DataFrame,
+    dim_venues: DataFrame,
+    hot: Mapping[str, Sequence] | None = None,
 ) -> DataFrame:
-    """One row per match with the ids of both teams, the winner and the ground."""
+    """One row per match with the ids of both teams, the winner and the ground.
+
+    ``hot`` names values of the roles that hold many matches (``entities.hot_keys``).
+    """
     matches = stg_matches.select(
         "match_id", "match_date", "season", "team1", "team2", "venue", "city", "toss_winner",
         "toss_decision", "match_winner", "win_by_runs", "win_by_wickets", "result_type",
@@ -24,8 +32,9 @@ def fct_match_results(
         "team_name",
         "team_id",
         {"team1": "team1_id", "team2": "team2_id", "match_winner": "winner_id"},
+        hot,
     )
-    with_venue = role_join(with_teams, dim_venues, "venue", "venue_id", {"venue": "venue_id"})
+    with_venue = role_join(with_teams, dim_venues, "venue", "venue_id", {"venue": "venue_id"}, hot)
     return with_venue.select(*columns, "team1_id", "team2_id", "winner_id", "venue_id")
 
 
