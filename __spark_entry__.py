@@ -353,6 +353,15 @@ def text_sentiment_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         dampeners=oracle.DAMPENERS,
         negations=oracle.NEGATIONS,
         contrast=oracle.CONTRAST,
+        pair_dampeners=oracle.PAIR_DAMPENERS,
+        never=oracle.NEVER,
+        never_with=oracle.NEVER_WITH,
+        without=oracle.WITHOUT,
+        without_with=oracle.WITHOUT_WITH,
+        least=oracle.LEAST,
+        least_without=oracle.LEAST_WITHOUT,
+        no=oracle.NO,
+        no_with=oracle.NO_WITH,
     )
     return score_text(docs, "doc_id", "text", _lexicon(spark), rules=rules)
 

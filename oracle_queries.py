@@ -388,6 +388,11 @@ INTENSIFIERS = ["th", "in", "by", "au", "un"]
 DAMPENERS = ["for", "du", "ein"]
 NEGATIONS = ["it", "are", "des", "pas", "il"]
 CONTRAST = "or"
+PAIR_DAMPENERS = [("ha", "was"), ("be", "thth"), ("das", "den")]
+NEVER, NEVER_WITH = "it", ["as", "to", "le"]
+WITHOUT, WITHOUT_WITH = "are", "an"
+LEAST, LEAST_WITHOUT = "ed", ["that", "ou", "in"]
+NO, NO_WITH = "is", ["and", "that"]
 
 _LEXICON_ROWS = ", ".join(f"('{t}', CAST({v} AS DOUBLE))" for t, v in LEXICON.items())
 _PUNCT = "^[[:punct:]]+|[[:punct:]]+$"
@@ -446,19 +451,55 @@ def _upper(word: str) -> str:
     return f"coalesce({word} = upper({word}) AND {word} <> lower({word}), false)"
 
 
-def _degree(word: str, decay: float) -> str:
+def _amount(word: str, decay: float) -> str:
     return (
-        f"(CASE WHEN {_in(word, INTENSIFIERS)} THEN 0.293 WHEN {_in(word, DAMPENERS)} THEN -0.293 END"
-        f" + CASE WHEN mixed AND {_upper(word)} THEN 0.733 ELSE 0.0 END) * sign(valence) * {decay}"
+        f"coalesce((CASE WHEN {_in(word, INTENSIFIERS)} THEN 0.293::DOUBLE"
+        f" WHEN {_in(word, DAMPENERS)} THEN -0.293::DOUBLE END"
+        f" + CASE WHEN mixed AND {_upper(word)} THEN 0.733::DOUBLE ELSE 0.0::DOUBLE END)"
+        f" * {decay}::DOUBLE, 0.0::DOUBLE)"
     )
 
 
-def _negates(word: str) -> str:
+def _negated(word: str) -> str:
     return (
-        f"CAST({_in(word, NEGATIONS)} OR coalesce(contains(lower({word}), 'n''t'), false) AS INTEGER)"
+        f"CASE WHEN {_in(word, NEGATIONS)} OR coalesce(contains(lower({word}), 'n''t'), false)"
+        " THEN -0.74::DOUBLE ELSE 1.0::DOUBLE END"
     )
 
 
+def _factor(k: int) -> str:
+    """What the k-th word before does to the valence so far."""
+    if k == 1:
+        return _negated("b1")
+    praise = f"{_in(f'b{k}', [NEVER])} AND {_in(f'b{k - 1}', NEVER_WITH)}"
+    if k == 3:
+        praise = f"({praise}) OR {_in('b1', NEVER_WITH)}"
+    doubt = " OR ".join(_in(f"b{j}", [WITHOUT_WITH]) for j in range(1, k))
+    return (
+        f"CASE WHEN {praise} THEN 1.25::DOUBLE WHEN {_in(f'b{k}', [WITHOUT])} AND ({doubt})"
+        f" THEN 1.0::DOUBLE ELSE {_negated(f'b{k}')} END"
+    )
+
+
+def _pairs() -> str:
+    def dampens(far: str, near: str) -> str:
+        found = " OR ".join(f"({_in(far, [x])} AND {_in(near, [y])})" for x, y in PAIR_DAMPENERS)
+        return f"CASE WHEN {found} THEN -0.293::DOUBLE ELSE 0.0::DOUBLE END"
+
+    return f"({dampens('b3', 'b2')} + {dampens('b2', 'b1')})"
+
+
+def _known(word: str) -> str:
+    return f"coalesce(lower({word}) IN (SELECT token FROM lexicon), false)"
+
+
+def _step(k: int, decay: float) -> str:
+    value = f"(v{k - 1} + sign(v{k - 1}) * {_amount(f'b{k}', decay)}) * {_factor(k)}"
+    if k == 3:
+        value = f"{value} + {_pairs()}"
+    return f"CASE WHEN b{k} IS NOT NULL AND NOT {_known(f'b{k}')} THEN {value} ELSE v{k - 1} END AS v{k}"
+
+
 _MARKS = "CAST(length(t) - length(replace(t, '{}', '')) AS DOUBLE)"
 _ASKED = _MARKS.format("?")
 
@@ -476,18 +517,32 @@ context AS (
                       ELSE 0.96 END AS emphasis,
            lag(w, 1) OVER (PARTITION BY doc_id ORDER BY i) AS b1,
            lag(w, 2) OVER (PARTITION BY doc_id ORDER BY i) AS b2,
-           lag(w, 3) OVER (PARTITION BY doc_id ORDER BY i) AS b3
+           lag(w, 3) OVER (PARTITION BY doc_id ORDER BY i) AS b3,
+           lead(w, 1) OVER (PARTITION BY doc_id ORDER BY i) AS after
     FROM words),
+begun AS (
+    SELECT *, CASE
+        WHEN {_in('b1', [NO])} OR {_in('b2', [NO])} OR ({_in('b3', [NO])} AND {_in('b1', NO_WITH)})
+            THEN valence * -0.74::DOUBLE
+        WHEN {_in('w', [NO])} AND {_known('after')} THEN 0.0::DOUBLE ELSE valence END AS base
+    FROM context LEFT JOIN lexicon ON token = lower(w)),
+step0 AS (
+    SELECT *, base + CASE WHEN NOT (mixed AND {_upper('w')}) THEN 0.0::DOUBLE
+                          WHEN base > 0 THEN 0.733::DOUBLE ELSE -0.733::DOUBLE END AS v0 FROM begun),
+step1 AS (SELECT *, {_step(1, 1.0)} FROM step0),
+step2 AS (SELECT *, {_step(2, 0.95)} FROM step1),
+step3 AS (SELECT *, {_step(3, 0.9)} FROM step2),
 valued AS (
     SELECT doc_id, CAST(emphasis AS DOUBLE) AS emphasis,
-           coalesce(CASE WHEN {_in('w', INTENSIFIERS + DAMPENERS)} THEN 0.0 ELSE
-             (valence + CASE WHEN mixed AND {_upper('w')} THEN 0.733 * sign(valence) ELSE 0.0 END
-              + (coalesce({_degree('b1', 1.0)}, 0.0) + coalesce({_degree('b2', 0.95)}, 0.0)
-                 + coalesce({_degree('b3', 0.9)}, 0.0)))
-             * pow(-0.74, {_negates('b1')} + {_negates('b2')} + {_negates('b3')})
+           coalesce(CASE
+             WHEN {_in('w', INTENSIFIERS + DAMPENERS)}
+                  OR ({_in('w', [PAIR_DAMPENERS[0][0]])} AND {_in('after', [PAIR_DAMPENERS[0][1]])})
+             THEN 0.0 ELSE v3
+             * CASE WHEN {_in('b1', [LEAST])} AND NOT {_known('b1')} AND NOT {_in('b2', LEAST_WITHOUT)}
+                    THEN -0.74::DOUBLE ELSE 1.0::DOUBLE END
              * CASE WHEN turn < 0 THEN 1.0 WHEN i < turn THEN 0.5 WHEN i > turn THEN 1.5
                     ELSE 1.0 END END, CAST(0 AS DOUBLE)) AS v
-    FROM context LEFT JOIN lexicon ON token = lower(w)),
+    FROM step3),
 {SCORES}
 """
 

@@ -1,8 +1,10 @@
 """Lexicon sentiment as a join of words with a lexicon table.
 
 The lexicon is an input table ``(token, valence)``. Each text is split into words once, every word
-carries the three words before it, and all rules of Hutto and Gilbert (ICWSM 2014) work on that row
-alone. So the only shuffle is the final sum per text, which is reduced in each task first.
+carries its neighbours, and the rules of Hutto and Gilbert (ICWSM 2014) work on that row alone. They
+are a fold that walks outwards from the word: each neighbour that is no lexicon word itself first adds
+its degree, then its negation turns what has come together so far. So the only shuffle is the final sum
+per text, which is reduced in each task first.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import add
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -64,6 +66,22 @@ class Rules:
     dampeners: Sequence[str] = DAMPENERS
     negations: Sequence[str] = NEGATIONS
     contrast: str = "but"
+    #: Pairs that dampen, whatever the sign; the first word of the first pair says nothing in it.
+    pair_dampeners: Sequence[tuple[str, str]] = (("kind", "of"), ("sort", "of"), ("just", "enough"))
+    #: A negation that one of these words turns to praise ("never so"), and by how much.
+    never: str = "never"
+    never_with: Sequence[str] = ("so", "this")
+    never_factor: float = 1.25
+    #: A negation that this word undoes ("without doubt").
+    without: str = "without"
+    without_with: str = "doubt"
+    #: Negates the word behind it, but for one of these before it ("at least").
+    least: str = "least"
+    least_without: Sequence[str] = ("at", "very")
+    #: Negates what it stands before; a lexicon word behind it takes away its own valence. Over one word
+    #: between, it reaches only with one of these.
+    no: str = "no"
+    no_with: Sequence[str] = ("or", "nor")
 
 
 def sentiment_label(compound: Column, pos: float = 0.05, neg: float = -0.05) -> Column:
@@ -103,48 +121,118 @@ def _emphasis(text: Column, rules: Rules) -> Column:
     return marks + asks
 
 
-def _in_context(rules: Rules) -> Column:
-    """Valence of one word after the rules that look at its neighbours."""
-    sign = F.signum("valence")
-    mixed = F.col("mixed_case")
+#: Neighbours before a word that the rules look at.
+REACH = (1, 2, 3)
 
-    def degree(word: Column, decay: float) -> Column:
-        modifies = (
-            F.when(_one_of(word, rules.intensifiers), rules.degree)
-            .when(_one_of(word, rules.dampeners), -rules.degree)
-        )
-        louder = F.when(mixed & _is_upper(word), rules.capitals).otherwise(0.0)
-        return F.coalesce((modifies + louder) * sign * decay, F.lit(0.0))
 
-    def negates(word: Column) -> Column:
-        found = _one_of(word, rules.negations) | F.coalesce(
-            F.lower(word).contains("n't"), F.lit(False)
+def _loud(word: Column) -> Column:
+    return F.col("mixed_case") & F.coalesce(_is_upper(word), F.lit(False))
+
+
+def _negates(word: Column, rules: Rules) -> Column:
+    shortened = F.coalesce(F.lower(word).contains("n't"), F.lit(False))
+    return _one_of(word, rules.negations) | shortened
+
+
+def _steps(rules: Rules) -> list[Column]:
+    """What each neighbour does to a word's valence: ``(value + sign * amount) * factor + plus``.
+
+    A neighbour that is missing, or a lexicon word itself, does nothing.
+    """
+    near = {k: F.col(f"w.before{k}") for k in REACH}
+    out = []
+    for k, decay in zip(REACH, rules.degree_decay):
+        word = near[k]
+        degree = F.when(_one_of(word, rules.intensifiers), rules.degree).when(
+            _one_of(word, rules.dampeners), -rules.degree
+        )
+        louder = F.when(_loud(word), rules.capitals).otherwise(0.0)
+        amount = F.coalesce((degree + louder) * decay, F.lit(0.0))
+        negated = F.when(_negates(word, rules), rules.negation).otherwise(1.0)
+        never, without = _one_of(word, [rules.never]), _one_of(word, [rules.without])
+        if k == 1:
+            factor = negated
+        else:
+            praise = never & _one_of(near[k - 1], rules.never_with)
+            if k == 3:
+                praise = praise | _one_of(near[1], rules.never_with)
+            doubt = reduce(or_, [_one_of(near[j], [rules.without_with]) for j in range(1, k)])
+            factor = (
+                F.when(praise, rules.never_factor).when(without & doubt, 1.0).otherwise(negated)
+            )
+        plus = F.lit(0.0)
+        if k == 3:
+            for far, close in ((near[3], near[2]), (near[2], near[1])):
+                pairs = [_one_of(far, [x]) & _one_of(close, [y]) for x, y in rules.pair_dampeners]
+                plus = plus + F.when(reduce(or_, pairs), -rules.degree).otherwise(0.0)
+        counts = word.isNotNull() & ~F.col(f"known{k}")
+        out.append(
+            F.struct(
+                F.when(counts, amount).otherwise(0.0).alias("amount"),
+                F.when(counts, factor).otherwise(1.0).alias("factor"),
+                F.when(counts, plus).otherwise(0.0).alias("plus"),
+            )
         )
-        return found.cast("int")
+    return out
+
 
-    before = [F.col(f"w.before{k}") for k in (1, 2, 3)]
-    louder = F.when(mixed & _is_upper(F.col("w.word")), rules.capitals * sign).otherwise(0.0)
-    value = F.col("valence") + louder
-    value = value + reduce(add, [degree(b, d) for b, d in zip(before, rules.degree_decay)])
-    value = value * F.pow(F.lit(rules.negation), reduce(add, [negates(b) for b in before]))
+def _in_context(rules: Rules) -> Column:
+    """Valence of one word after the rules that look at its neighbours."""
+    word, after = F.col("w.word"), F.col("w.after")
+    before = {k: F.col(f"w.before{k}") for k in REACH}
+    no = {k: _one_of(before[k], [rules.no]) for k in REACH}
+    denied = no[1] | no[2] | (no[3] & _one_of(before[1], rules.no_with))
+    valence = (
+        F.when(denied, F.col("valence") * rules.negation)
+        .when(_one_of(word, [rules.no]) & F.col("known_after"), 0.0)
+        .otherwise(F.col("valence"))
+    )
+    louder = F.when(valence > 0, rules.capitals).otherwise(-rules.capitals)
+    start = valence + F.when(_loud(word), louder).otherwise(0.0)
+    value = F.aggregate(
+        F.array(*_steps(rules)),
+        start,
+        lambda so_far, step: (so_far + F.signum(so_far) * step["amount"]) * step["factor"] + step["plus"],
+    )
+    spared = before[2].isNotNull() & _one_of(before[2], rules.least_without)
+    least = _one_of(before[1], [rules.least]) & ~F.col("known1") & ~spared
+    value = value * F.when(least, rules.negation).otherwise(1.0)
     contrast = (
         F.when(F.col("contrast_at") < 0, 1.0)
         .when(F.col("w.at") < F.col("contrast_at"), rules.before_contrast)
         .when(F.col("w.at") > F.col("contrast_at"), rules.after_contrast)
         .otherwise(1.0)
     )
-    is_modifier = _one_of(F.col("w.word"), [*rules.intensifiers, *rules.dampeners])
-    return F.when(is_modifier, 0.0).otherwise(value * contrast)
+    first, second = rules.pair_dampeners[0] if rules.pair_dampeners else ("", "")
+    says_nothing = _one_of(word, [*rules.intensifiers, *rules.dampeners]) | (
+        _one_of(word, [first]) & _one_of(after, [second])
+    )
+    return F.when(says_nothing, 0.0).otherwise(value * contrast)
 
 
 def _with_neighbours(words: Column):
     def slot(word: Column, at: Column) -> Column:
-        before = [F.get(words, at - k).alias(f"before{k}") for k in (1, 2, 3)]
-        return F.struct(word.alias("word"), at.alias("at"), *before)
+        before = [F.get(words, at - k).alias(f"before{k}") for k in REACH]
+        return F.struct(
+            word.alias("word"), at.alias("at"), F.get(words, at + 1).alias("after"), *before
+        )
 
     return slot
 
 
+def _with_known_neighbours(valued: DataFrame, lookup: DataFrame, rules: Rules) -> DataFrame:
+    """Adds whether the neighbours are lexicon words; only those of lexicon words are looked up."""
+    is_no = _one_of(F.col("w.word"), [rules.no])
+    wanted = {f"known{k}": F.lower(f"w.before{k}") for k in REACH}
+    wanted["known_after"] = F.when(is_no, F.lower("w.after"))
+    for name, word in wanted.items():
+        side = lookup.select(F.col("_token").alias("_near"))
+        asked = F.when(F.col("valence").isNotNull(), word)
+        valued = valued.join(side, asked == F.col("_near"), "left")
+        valued = valued.withColumn(name, F.col("_near").isNotNull()).drop("_near")
+    return valued
+
+
 def score_text(
     df: DataFrame,
     id_col: str,
@@ -189,7 +277,10 @@ def score_text(
         )
 
     lookup = lexicon.select(F.col("token").alias("_token"), F.col("valence").cast("double"))
-    valued = worded.join(lookup, F.lower("w.word") == F.col("_token"), "left").select(
+    valued = worded.join(lookup, F.lower("w.word") == F.col("_token"), "left")
+    if rules:
+        valued = _with_known_neighbours(valued, lookup, rules)
+    valued = valued.select(
         "_id",
         "emphasis",
         (F.col("w.word") != "").alias("is_word"),

@@ -11,7 +11,10 @@ from pitchside.functions import sentiment
 from pitchside.functions.sentiment import PUNCTUATION, Rules, score_posts, score_text
 from pitchside.sources.tables import read_lexicon
 
-LEXICON = {"good": 2.0, "bad": -2.5, "great": 3.0, ":)": 1.5, "awful": -3.0}
+LEXICON = {
+    "good": 2.0, "bad": -2.5, "great": 3.0, ":)": 1.5, "awful": -3.0, "no": -1.2, "kind": 2.4,
+    "doubt": -1.5,
+}
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +42,44 @@ def _upper(word):
     return word == word.upper() and word != word.lower()
 
 
+def _walked(words, i, v, mixed, rules):
+    """One word's valence after its neighbours, from the nearest outwards."""
+    lower = [w.lower() for w in words]
+
+    def near(k):
+        return lower[i - k] if i >= k else None
+
+    if lower[i] in (*rules.intensifiers, *rules.dampeners) or lower[i : i + 2] == ["kind", "of"]:
+        return 0.0
+    if near(1) == "no" or near(2) == "no" or (near(3) == "no" and near(1) in ("or", "nor")):
+        v *= rules.negation
+    elif lower[i] == "no" and i + 1 < len(words) and lower[i + 1] in LEXICON:
+        v = 0.0
+    if mixed and _upper(words[i]):
+        v += rules.capitals if v > 0 else -rules.capitals
+    for k, decay in zip((1, 2, 3), rules.degree_decay):
+        if near(k) is None or near(k) in LEXICON:
+            continue
+        degree = {**dict.fromkeys(rules.intensifiers, 0.293), **dict.fromkeys(rules.dampeners, -0.293)}
+        if near(k) in degree:
+            amount = degree[near(k)] + (rules.capitals if mixed and _upper(words[i - k]) else 0.0)
+            v += math.copysign(1, v) * amount * decay if v else 0.0
+        between = [near(j) for j in range(1, k)]
+        praised = k > 1 and near(k) == "never" and near(k - 1) in ("so", "this")
+        if praised or (k == 3 and near(1) in ("so", "this")):
+            v *= 1.25
+        elif k > 1 and near(k) == "without" and "doubt" in between:
+            pass
+        elif near(k) in rules.negations or "n't" in near(k):
+            v *= rules.negation
+        if k == 3:
+            pairs = [(near(3), near(2)), (near(2), near(1))]
+            v -= 0.293 * sum(p in rules.pair_dampeners for p in pairs)
+    if near(1) == "least" and "least" not in LEXICON and near(2) not in ("at", "very"):
+        v *= rules.negation
+    return v
+
+
 def _by_hand(text, rules):
     """The same rules, word by word."""
     words = _words(text)
@@ -52,22 +93,7 @@ def _by_hand(text, rules):
     for i, word in enumerate(words):
         v = LEXICON.get(word.lower(), 0.0)
         if rules and v:
-            sign = math.copysign(1, v)
-            loud = rules.capitals * sign if mixed and _upper(word) else 0.0
-            extra, flips = 0.0, 0
-            for k, decay in zip((1, 2, 3), rules.degree_decay):
-                if i < k:
-                    continue
-                near = words[i - k]
-                step = (
-                    rules.degree if near.lower() in rules.intensifiers
-                    else -rules.degree if near.lower() in rules.dampeners else None
-                )
-                if step is not None:
-                    step += rules.capitals if mixed and _upper(near) else 0.0
-                    extra += step * sign * decay
-                flips += near.lower() in rules.negations or "n't" in near.lower()
-            v = (v + loud + extra) * rules.negation**flips
+            v = _walked(words, i, v, mixed, rules)
             if turn >= 0:
                 v *= 0.5 if i < turn else 1.5 if i > turn else 1.0
         values.append(v)
@@ -109,7 +135,8 @@ TEXTS = [
 @pytest.mark.parametrize("rules", [None, Rules()])
 def test_scores_against_word_by_word(spark, lexicon, rules):
     rng = random.Random(3)
-    vocabulary = [*LEXICON, "very", "hardly", "not", "don't", "but", "day", "Team", "GOOD", "so!"]
+    vocabulary = [*LEXICON, "very", "hardly", "not", "don't", "but", "day", "Team", "GOOD", "so!",
+                  "never", "so", "this", "without", "least", "at", "kind of", "sort of", "nor", "VERY"]
     texts = TEXTS + [
         " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(1, 40))) for _ in range(150)
     ]
@@ -117,6 +144,24 @@ def test_scores_against_word_by_word(spark, lexicon, rules):
         _close(got, _by_hand(text, rules))
 
 
+def test_labels_of_the_rules_worked_by_hand(spark, lexicon):
+    """value / sqrt(value^2 + 15), with the values as the rules give them one after the other."""
+    worked = {
+        "never so good": (2.0 + 0.293) * 1.25,  # so: more; never so: praise
+        "without doubt good": 2.0 * 1.0 - 1.5 * -0.74,  # doubt is negated, good is not
+        "least good": 2.0 * -0.74,
+        "at least good": 2.0,
+        "it was kind of good": 2.0 - 0.293,
+        "no good": 0.0 + 2.0 * -0.74,
+        "not very bad": (-2.5 - 0.293 * 1.0) * -0.74,
+        "very not bad": -2.5 * -0.74 + 0.293 * 0.95,  # the degree adds to what is turned already
+    }
+    for text, got in zip(worked, _score(spark, lexicon, list(worked), Rules())):
+        total = worked[text]
+        assert got[0] == pytest.approx(total / math.sqrt(total * total + 15), abs=1e-4), text
+        assert got[4] == ("POSITIVE" if total > 0.2 else "NEGATIVE")
+
+
 def test_empty_text_has_no_scores_and_is_neutral(spark, lexicon):
     got = _score(spark, lexicon, ["", None, " \t"])
     assert got == [(None, None, None, None, "NEUTRAL")] * 3
