@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -16,12 +17,15 @@ from pitchside.functions.sentiment import Rules, score_posts, score_text  # noqa
 from pitchside.operators import entities, keyed, quality  # noqa: E402
 from pitchside.operators.distinct import distinct_counts  # noqa: E402
 from pitchside.plans import batch, contracts, dimensions, facts, marts, staging  # noqa: E402
+from pitchside.schemas import RAW_POSTS  # noqa: E402
 from pitchside.session import scratch_path, stored  # noqa: E402
+from pitchside.sinks import tables as sink  # noqa: E402
 from pitchside.sinks.landing import (  # noqa: E402
     batch_file, land_batch, land_files, read_landed, with_audit,
 )
+from pitchside.sinks.tables import create_if_absent  # noqa: E402
 from pitchside.sources import documents, posts as post_source  # noqa: E402
-from pitchside.sources.tables import parquet_tables, unseen_files  # noqa: E402
+from pitchside.sources.tables import parquet_tables, read_table, unseen_files  # noqa: E402
 from pitchside.streaming import posts as stream  # noqa: E402
 
 try:
@@ -148,19 +152,24 @@ def daily_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- key-based loads --------------------------------------------------------------------------
 
 
-def insert_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A full re-read meets a table that holds the matches before 1998."""
+def _held_and_read_again(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The matches before 1998, and a full re-read of all."""
     matches = views.raw_matches(spark, sf_dir).select(
         "match_id", "match_date", "season", "team1", "team2", "city", "venue"
     )
     existing = matches.where(c("match_date") < "1998-01-01")
-    incoming = matches.withColumn("venue", F.concat("venue", F.lit(" (new)")))
+    return existing, matches.withColumn("venue", F.concat("venue", F.lit(" (new)")))
+
+
+def insert_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full re-read meets a table that holds the matches before 1998."""
+    existing, incoming = _held_and_read_again(spark, sf_dir)
     new = keyed.insert_new_keys(existing, incoming, ["match_id"])
     return _as_text(existing.unionByName(new))
 
 
-def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Matches since 1997 come again without their wicket balls."""
+def _loaded_and_reloaded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All balls, and those since 1997 again without their wicket balls."""
     dates = views.raw_matches(spark, sf_dir).select("match_id", "match_date")
     balls = views.raw_deliveries(spark, sf_dir)
     columns = ["match_id", "inning_number", "over_number", "ball_number", "batter", "bowler",
@@ -169,7 +178,12 @@ def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         (c("match_date") >= "1997-01-01") & ~c("is_wicket")
     )
     existing = balls.select(*columns, F.lit("first load").alias("load"))
-    incoming = again.select(*columns, F.lit("reloaded").alias("load"))
+    return existing, again.select(*columns, F.lit("reloaded").alias("load"))
+
+
+def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches since 1997 come again without their wicket balls."""
+    existing, incoming = _loaded_and_reloaded(spark, sf_dir)
     return keyed.replace_by_key(existing, incoming, ["match_id"])
 
 
@@ -200,8 +214,8 @@ def not_in_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
-def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run log from the first half of the events meets the runs of the second half."""
+def _run_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A run log from the first half of the events, and the runs of the second half."""
     events = parquet_tables(spark, sf_dir, "events")["events"]
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     keys = [
@@ -214,10 +228,51 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pipeline_name", "run_type", "last_run_at", F.lit("STALE").alias("status"), "runs"
     )
     source = events.where(c("ts") >= cut).groupBy(*keys).agg(last)
-    source = source.withColumn("status", F.lit("SUCCESS"))
+    return target, source.withColumn("status", F.lit("SUCCESS"))
+
+
+def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run log after the second half of its runs."""
+    target, source = _run_log(spark, sf_dir)
     return _as_text(keyed.upsert_by_key(target, source, ["pipeline_name", "run_type"]))
 
 
+def _new_table(spark: SparkSession, label: str, schema: T.StructType, bucketed: bool = False) -> str:
+    """The name of a fresh raw table; where there is no such database yet, it lies in scratch."""
+    place = scratch_path(spark, "raw")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS raw LOCATION '{place}'")
+    name = f"{label}_{uuid.uuid4().hex}"
+    create_if_absent(spark, "raw", name, schema, bucketed)
+    return name
+
+
+def load_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``insert_new_keys`` as a stored table, loaded twice and read back."""
+    existing, incoming = _held_and_read_again(spark, sf_dir)
+    name = _new_table(spark, "inserted", existing.schema)
+    for load in (existing, incoming, incoming):
+        sink.load_new_keys(load, "raw", name, ["match_id"])
+    return _as_text(read_table(spark, "raw", name))
+
+
+def load_replacing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``replace_by_key`` as a stored table, loaded in two steps and read back."""
+    existing, incoming = _loaded_and_reloaded(spark, sf_dir)
+    name = _new_table(spark, "replaced", existing.schema, bucketed=True)
+    for load in (existing, incoming):
+        sink.load_replacing(load, "raw", name, ["match_id"], 8)
+    return read_table(spark, "raw", name).drop(sink.BUCKET)
+
+
+def upsert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``upsert_by_key`` as a stored log table, read back."""
+    target, source = _run_log(spark, sf_dir)
+    name = _new_table(spark, "log", target.schema)
+    sink.append_rows(target, "raw", name)
+    sink.upsert_rows(source, "raw", name, ["pipeline_name", "run_type"])
+    return _as_text(read_table(spark, "raw", name))
+
+
 def unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages of one kind of host have been ingested before."""
     pages = parquet_tables(spark, sf_dir, "pages")["pages"]
@@ -333,6 +388,30 @@ def stream_daily_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(stream.read_daily(spark, _streamed(spark, sf_dir)))
 
 
+def stream_scored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as posts, in files of a micro-batch each: scored, landed, appended, and read back."""
+    pages = parquet_tables(spark, sf_dir, "pages")["pages"]
+    own = {
+        "post_id": c("page_id").cast("string"), "post_title": c("url"), "post_body": c("html"),
+        "created_utc": F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"),
+        "fetched_at": F.lit("2024-01-02 00:00:00").cast("timestamp_ntz"),
+    }
+    fields = [f for f in RAW_POSTS.fields if not f.name.startswith(("pipeline_", "sentiment_", "raw_"))]
+    posts = pages.select(
+        *[own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
+    )
+    folder = scratch_path(spark, "post-files")
+    posts.repartition(2, "post_id").write.parquet(folder)
+    source = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    paths = stream.PostPaths(scratch_path(spark, "stream"), buckets=8)
+    query = stream.run_sentiment_stream(
+        source, paths, _lexicon(spark), trigger={"availableNow": True}
+    )
+    query.awaitTermination()
+    scores = ["sentiment_score", "sentiment_label", "sentiment_pos", "sentiment_neg", "sentiment_neu"]
+    return stream.read_latest(spark, paths).select("post_id", *scores)
+
+
 # --- text scoring -----------------------------------------------------------------------------
 
 
@@ -516,6 +595,10 @@ def queries() -> dict[str, Query]:
         "post_sentiment": post_sentiment,
         "stream_latest_post": stream_latest_post,
         "stream_daily_sentiment": stream_daily_sentiment,
+        "stream_scored_posts": stream_scored_posts,
+        "load_new_keys": load_new_keys,
+        "load_replacing": load_replacing,
+        "upsert_rows": upsert_rows,
     }
     if text_queries:
         found |= text_queries.queries() | {"pipeline": corpus_pipeline.run}

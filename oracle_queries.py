@@ -760,3 +760,13 @@ SQL: dict[str, str] = {
     ),
     "stream_daily_sentiment": _post(f"SELECT {DAY_AS_TEXT} FROM daily_sentiment"),
 }
+
+# The same rows, written to tables or by the stream and read back.
+SQL["load_new_keys"] = SQL["insert_new_keys"]
+SQL["load_replacing"] = SQL["replace_by_key"]
+SQL["upsert_rows"] = SQL["upsert_by_key"]
+SQL["stream_scored_posts"] = f"""
+    SELECT CAST(page_id AS VARCHAR) AS post_id, sentiment_compound AS sentiment_score, sentiment_label,
+           sentiment_positive AS sentiment_pos, sentiment_negative AS sentiment_neg,
+           sentiment_neutral AS sentiment_neu
+    FROM ({POST_SENTIMENT})"""
