@@ -3,14 +3,17 @@
 What a pattern finds is validated (check digit, calendar, ranges) and then permuted by a keyed
 Feistel network within its own format: a card number becomes another card number of that length, a
 date another date. Under one key equal values get equal pseudonyms in all documents and different
-values different ones, and the key leads back.
+values different ones, and ``with_originals`` leads back with the key.
 
 All of it is SQL over the row: the text is split at the finds, each find is replaced, and the pieces
-are joined again. Nothing is shuffled. The functions below return SQL text.
+are joined again. Nothing is shuffled. The functions below return SQL text. The key is read by a
+subquery from a table of one row, so that no plan shows it.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 from pitchside.llm.common import text_or_empty
@@ -64,41 +67,57 @@ def let(value: str, name: str, body: str) -> str:
 # --- Feistel networks -------------------------------------------------------------------------
 
 
-def _stream(key: str, kind: str, step: str, other: str) -> str:
+@dataclass(frozen=True)
+class Key:
+    """The column that holds the key, and whether the networks run backwards."""
+
+    column: str = "_key"
+    back: bool = False
+
+    @property
+    def steps(self) -> str:
+        return f"sequence({ROUNDS}, 1)" if self.back else f"sequence(1, {ROUNDS})"
+
+    @property
+    def sign(self) -> str:
+        return "-" if self.back else "+"
+
+
+def _stream(key: Key, kind: str, step: str, other: str) -> str:
     """Sixty-four keyed hexadecimal digits that depend on the other half."""
-    return f"sha2(concat_ws('|', {quoted(key)}, {kind}, cast({step} as string), {other}), 256)"
+    return f"sha2(concat_ws('|', {key.column}, {kind}, cast({step} as string), {other}), 256)"
 
 
-def _pair_half(own: str, other: str, size: str, key: str, kind: str, step: str) -> str:
+def _pair_half(own: str, other: str, size: str, key: Key, kind: str, step: str) -> str:
     digits = _stream(key, kind, step, f"cast({other} as string)")
     drawn = f"cast(conv(substr({digits}, 1, 12), 16, 10) as bigint)"
-    return f"({own} + {drawn}) % {size}"
+    return f"pmod({own} {key.sign} {drawn}, {size})"
 
 
-def pair(high: str, low: str, m: int, n: int, key: str, kind: str) -> str:
+def pair(high: str, low: str, m: int, n: int, key: Key, kind: str) -> str:
     """A keyed permutation of the pairs below (m, n); a struct of ``a`` and ``b``."""
     one = _pair_half("s.a", "s.b", f"{m}L", key, quoted(kind), "k")
     two = _pair_half("s.b", "s.a", f"{n}L", key, quoted(kind), "k")
     start = f"named_struct('a', cast({high} as bigint), 'b', cast({low} as bigint))"
     return (
-        f"aggregate(sequence(1, {ROUNDS}), {start}, (s, k) -> if(k % 2 = 1,"
+        f"aggregate({key.steps}, {start}, (s, k) -> if(k % 2 = 1,"
         f" named_struct('a', {one}, 'b', s.b), named_struct('a', s.a, 'b', {two})))"
     )
 
 
-def _letters_half(own: str, other: str, key: str, kind: str, step: str) -> str:
+def _letters_half(own: str, other: str, key: Key, kind: str, step: str) -> str:
     """The letters and digits of one half, each moved within its own kind."""
     drawn = "cast(conv(substr(h, 1 + 4 * (i % 16), 4), 16, 10) as int) + i div 16"
     moved = (
-        "case when x between '0' and '9' then char(48 + (ascii(x) - 48 + v) % 10)"
-        " when x between 'a' and 'z' then char(97 + (ascii(x) - 97 + v) % 26)"
-        " when x between 'A' and 'Z' then char(65 + (ascii(x) - 65 + v) % 26) else x end"
+        f"case when x between '0' and '9' then char(48 + pmod(ascii(x) - 48 {key.sign} v, 10))"
+        f" when x between 'a' and 'z' then char(97 + pmod(ascii(x) - 97 {key.sign} v, 26))"
+        f" when x between 'A' and 'Z' then char(65 + pmod(ascii(x) - 65 {key.sign} v, 26)) else x end"
     )
     each = f"transform(split({own}, ''), (x, i) -> {let(drawn, 'v', moved)})"
     return let(_stream(key, kind, step, other), "h", f"array_join({each}, '')")
 
 
-def letters(text: str, key: str, kind: str) -> str:
+def letters(text: str, key: Key, kind: str) -> str:
     """A keyed permutation of the texts whose places hold the same kinds of characters."""
     start = (
         f"named_struct('a', substr({text}, 1, length({text}) div 2),"
@@ -107,7 +126,7 @@ def letters(text: str, key: str, kind: str) -> str:
     one = _letters_half("s.a", "s.b", key, quoted(kind), "k")
     two = _letters_half("s.b", "s.a", key, quoted(kind), "k")
     rounds = (
-        f"aggregate(sequence(1, {ROUNDS}), {start}, (s, k) -> if(k % 2 = 1,"
+        f"aggregate({key.steps}, {start}, (s, k) -> if(k % 2 = 1,"
         f" named_struct('a', {one}, 'b', s.b), named_struct('a', s.a, 'b', {two})),"
         " s -> concat(s.a, s.b))"
     )
@@ -139,7 +158,7 @@ def luhn_sum(digits: str, doubled: int) -> str:
     )
 
 
-def _card(m: str, key: str) -> str:
+def _card(m: str, key: Key) -> str:
     """All but the first digit and the check digit are permuted, and that is made anew."""
     body = letters("substr(d, 2, length(d) - 2)", key, "card")
     with_check = let(
@@ -151,9 +170,15 @@ def _card(m: str, key: str) -> str:
     return let(_digits(m), "d", f"if({valid}, {_refilled(m, with_check)}, {m})")
 
 
-def _phone(m: str, key: str) -> str:
-    """All digits after the country code are permuted."""
-    code = f"regexp_extract({m}, '^[+][0-9]+', 0)"
+#: Country codes of one and of two digits; all others have three.
+COUNTRY_CODES = (
+    "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+)
+
+
+def _phone(m: str, key: Key) -> str:
+    """All digits after the country code are permuted, written together or apart."""
+    code = f"regexp_extract({m}, '^[+]({COUNTRY_CODES}|[0-9]{{3}})', 0)"
     rest = let(
         f"substr({m}, length(f) + 1)",
         "g",
@@ -162,7 +187,7 @@ def _phone(m: str, key: str) -> str:
     return let(code, "f", f"if(length({_digits(m)}) between 8 and 15, {rest}, {m})")
 
 
-def _ip(m: str, key: str) -> str:
+def _ip(m: str, key: Key) -> str:
     parts = f"split({m}, '[.]')"
     turned = let(
         pair("cast(o[0] as int) * 256 + cast(o[1] as int)",
@@ -177,7 +202,7 @@ def _ip(m: str, key: str) -> str:
 FIRST_DAY, DAYS = "1900-01-01", (17, 4_297)
 
 
-def _date(m: str, key: str, places: tuple[int, int, int]) -> str:
+def _date(m: str, key: Key, places: tuple[int, int, int]) -> str:
     """Places of year, month and day. A date of no calendar or beyond the range stays."""
     year, month, day = (f"o[{i}]" for i in places)
     iso = f"concat_ws('-', {year}, lpad({month}, 2, '0'), lpad({day}, 2, '0'))"
@@ -200,7 +225,7 @@ def _date(m: str, key: str, places: tuple[int, int, int]) -> str:
     return let(f"split({m}, '[-/.]')", "o", inner)
 
 
-def _social(m: str, key: str) -> str:
+def _social(m: str, key: Key) -> str:
     """Areas 001 to 899 without 666, groups 01 to 99, serials 0001 to 9999."""
     area = "(cast(o[0] as int) - if(o[0] > '666', 2, 1))"
     valid = (
@@ -215,7 +240,7 @@ def _social(m: str, key: str) -> str:
     return let(f"split({m}, '-')", "o", f"if({valid}, {let(drawn, 'w', written)}, {m})")
 
 
-def _email(m: str, key: str) -> str:
+def _email(m: str, key: Key) -> str:
     """The letters and digits before the sign are permuted; the host stays."""
     return (
         f"concat({letters(f'substring_index({m}, {quoted('@')}, 1)', key, 'email')}, '@',"
@@ -223,7 +248,7 @@ def _email(m: str, key: str) -> str:
     )
 
 
-def pseudonym(m: str, key: str) -> str:
+def pseudonym(m: str, key: Key) -> str:
     """The pseudonym of one find, or the find itself where it isn't valid."""
     kinds = [
         (f"{m} like '%@%'", _email(m, key)),
@@ -236,17 +261,18 @@ def pseudonym(m: str, key: str) -> str:
     return "case " + " ".join(f"when {w} then {t}" for w, t in kinds) + f" else {_card(m, key)} end"
 
 
-def with_pseudonyms(docs: DataFrame, key: str, *, text: str = "text") -> DataFrame:
-    """Replaces the text column, and adds ``n_found`` and ``n_replaced``.
+def _keys(docs: DataFrame, key: str | DataFrame) -> DataFrame:
+    """The table of one row that holds the key."""
+    if isinstance(key, str):
+        return docs.sparkSession.createDataFrame([(key,)], "key string")
+    return key
 
-    Found are e-mail addresses, IPv4 addresses, dates (year first, or day first; 1900 to 2099),
-    social security numbers, phone numbers and card numbers; replaced are those that are valid. A
-    null text stays null with nothing found, and what isn't found stays as it is, byte by byte. Rows
-    stand alone, so repeated rows get one answer. Columns called ``n_found`` and ``n_replaced`` are
-    replaced, and the others pass through, but for names beginning with ``_``.
-    """
+
+def _replaced(docs: DataFrame, key: str | DataFrame, text: str, back: bool) -> DataFrame:
+    """``docs`` with the text's finds replaced, and ``_found`` and ``_put``."""
     out = (
         docs.withColumn("_text", text_or_empty(text))
+        .withColumn("_key", _keys(docs, key).scalar())
         .withColumn(
             "_found",
             F.expr(
@@ -258,18 +284,37 @@ def with_pseudonyms(docs: DataFrame, key: str, *, text: str = "text") -> DataFra
             "_between",
             F.when(F.size("_found") > 0, F.split("_text", FIND, -1)).otherwise(F.array("_text")),
         )
-        .withColumn("_put", F.expr(f"transform(_found, m -> {pseudonym('m', key)})"))
+        .withColumn("_put", F.expr(f"transform(_found, m -> {pseudonym('m', Key(back=back))})"))
     )
     joined = (
         "if(size(_found) = 0, _text, concat(array_join(zip_with(slice(_between, 1, size(_found)),"
         " _put, (b, r) -> concat(b, r)), ''), element_at(_between, -1)))"
     )
+    out = out.withColumn("_joined", F.expr(joined))
+    return out.withColumn(text, F.when(c(text).isNotNull(), c("_joined")))
+
+
+SCRATCH = ("_text", "_key", "_found", "_between", "_put", "_joined")
+
+
+def with_pseudonyms(docs: DataFrame, key: str | DataFrame, *, text: str = "text") -> DataFrame:
+    """Replaces the text column, and adds ``n_found`` and ``n_replaced``.
+
+    Found are e-mail addresses, IPv4 addresses, dates (year first, or day first; 1900 to 2099),
+    social security numbers, phone numbers and card numbers; replaced are those that are valid. Dates
+    with the month first stay where they are none with the day first. A null text stays null with
+    nothing found, and what isn't found stays as it is, byte by byte. Rows stand alone, so repeated
+    rows get one answer. ``key`` is the key itself or a table whose one row and column hold it, such as
+    a secret that is read where the job runs. Columns called ``n_found`` and ``n_replaced`` are
+    replaced, and the others pass through, but for names beginning with ``_``.
+    """
     changed = "cast(size(filter(zip_with(_found, _put, (m, r) -> m <> r), x -> x)) as bigint)"
-    out = out.withColumns(
-        {
-            text: F.when(c(text).isNotNull(), F.expr(joined)),
-            "n_found": F.size("_found").cast("long"),
-            "n_replaced": F.expr(changed),
-        }
+    out = _replaced(docs, key, text, False).withColumns(
+        {"n_found": F.size("_found").cast("long"), "n_replaced": F.expr(changed)}
     )
-    return out.drop("_text", "_found", "_between", "_put")
+    return out.drop(*SCRATCH)
+
+
+def with_originals(docs: DataFrame, key: str | DataFrame, *, text: str = "text") -> DataFrame:
+    """Replaces the pseudonyms of ``with_pseudonyms`` by what they stand for."""
+    return _replaced(docs, key, text, True).drop(*SCRATCH)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import zlib
 
@@ -352,6 +353,100 @@ def test_pseudonyms_link_and_separate(spark):
     assert len({r["text"] for r in pseudonymous(spark, days)}) == 700
 
 
+def drawn(key: str, kind: str, step: int, other) -> str:
+    return hashlib.sha256("|".join([key, kind, str(step), str(other)]).encode()).hexdigest()
+
+
+def plain_pair(high: int, low: int, m: int, n: int, key: str, kind: str) -> tuple[int, int]:
+    for step in range(1, 9):
+        if step % 2:
+            high = (high + int(drawn(key, kind, step, low)[:12], 16)) % m
+        else:
+            low = (low + int(drawn(key, kind, step, high)[:12], 16)) % n
+    return high, low
+
+
+def plain_letters(text: str, key: str, kind: str) -> str:
+    def moved(own, other, step):
+        stream, out = drawn(key, kind, step, other), ""
+        for i, x in enumerate(own):
+            v = int(stream[4 * (i % 16) : 4 * (i % 16) + 4], 16) + i // 16
+            for first, size in (("0", 10), ("a", 26), ("A", 26)):
+                if 0 <= ord(x) - ord(first) < size:
+                    x = chr(ord(first) + (ord(x) - ord(first) + v) % size)
+                    break
+            out += x
+        return out
+
+    one, two = text[: len(text) // 2], text[len(text) // 2 :]
+    for step in range(1, 9):
+        if step % 2:
+            one = moved(one, two, step)
+        else:
+            two = moved(two, one, step)
+    return one + two
+
+
+def plain_luhn(body: str) -> str:
+    return next(x for x in "0123456789" if luhn(body + x))
+
+
+def test_pseudonyms_equal_plain_networks_and_lead_back(spark):
+    """A thousand values of each kind, by networks written anew, and back again."""
+    draw, first = random.Random(8), pd.Timestamp("1900-01-01")
+    texts, wanted = [], []
+    for _ in range(1_000):
+        o = [draw.randrange(256) for _ in range(4)]
+        a, b = plain_pair(o[0] * 256 + o[1], o[2] * 256 + o[3], 65_536, 65_536, "k", "ip")
+        texts.append(".".join(map(str, o)))
+        wanted.append(f"{a // 256}.{a % 256}.{b // 256}.{b % 256}")
+        day = draw.randrange(17 * 4_297)
+        a, b = plain_pair(day // 4_297, day % 4_297, 17, 4_297, "k", "date")
+        texts.append(str((first + pd.Timedelta(days=day)).date()))
+        wanted.append(str((first + pd.Timedelta(days=a * 4_297 + b)).date()))
+        area, group, serial = draw.randrange(898), draw.randrange(99), draw.randrange(9_999)
+        a, b = plain_pair(area * 99 + group, serial, 898 * 99, 9_999, "k", "social")
+
+        def social(x, y, z):
+            return f"{x + (2 if x >= 665 else 1):03}-{y + 1:02}-{z + 1:04}"
+
+        texts.append(social(area, group, serial))
+        wanted.append(social(a // 99, a % 99, b))
+        number = "".join(draw.choices("0123456789", k=10))
+        code = draw.choice(["1", "44", "420", "7", "49"])
+        texts.append(f"+{code}{number}")
+        wanted.append(f"+{code}" + plain_letters(number, "k", "phone"))
+        card = "4" + "".join(draw.choices("0123456789", k=14))
+        texts.append(card + plain_luhn(card))
+        body = card[0] + plain_letters(card[1:], "k", "card")
+        wanted.append(body + plain_luhn(body))
+        name = "".join(draw.choices("abcXYZ019", k=draw.randint(1, 40)))
+        texts.append(f"{name}@Host.example.com")
+        wanted.append(plain_letters(name, "k", "email") + "@Host.example.com")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    hidden = pseudonyms.with_pseudonyms(df, "k")
+    assert [r["text"] for r in hidden.orderBy("doc_id").collect()] == wanted
+    back = pseudonyms.with_originals(hidden, spark.createDataFrame([("k",)], "secret string"))
+    assert [r["text"] for r in back.orderBy("doc_id").collect()] == texts
+
+
+def test_compact_phone_numbers_link_with_spaced_ones(spark):
+    texts = ["+15551234567", "+1 555 123 4567", "+1 (555) 123-4567", "+442079460958", "+44 20 7946 0958"]
+    found = [r["text"] for r in pseudonymous(spark, texts)]
+    digits = ["".join(x for x in t if x.isdigit()) for t in found]
+    assert digits[0] == digits[1] == digits[2] and digits[3] == digits[4]
+    assert found[0].startswith("+1") and found[3].startswith("+44")
+    assert not {*found} & {*texts}
+
+
+def test_no_plan_shows_the_key(spark):
+    df = spark.createDataFrame([(1, "at 10.0.255.7!")], "doc_id long, text string")
+    found = pseudonyms.with_pseudonyms(df, "very secret")
+    found.collect()
+    plans = found._jdf.queryExecution().toString()
+    assert "very secret" not in plans and "Subquery" in plans
+
+
 # --- 7: captures ------------------------------------------------------------------------------
 
 
