@@ -23,12 +23,11 @@ def surrogate_key(df: DataFrame, order_col: str, id_name: str) -> DataFrame:
 
     The rows are partitioned by ranges of the order and sorted; each task numbers its own range as it
     writes it to scratch, so a recomputed task cannot see another split. Then the row counts of the
-    ranges before it are added to a row's number. The rows are shuffled once.
+    ranges before it are added to a row's number. The rows are shuffled once, and written once.
     """
     at, part = "_at", "_range"
     split = stored(
-        stored(df, "keys")
-        .repartitionByRange(order_col)
+        df.repartitionByRange(order_col)
         .sortWithinPartitions(order_col)
         .withColumn(at, F.monotonically_increasing_id()),
         "ranges",
