@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pitchside.llm.common import Scratch, bound_batches, slices, stored
 from pitchside.llm.shingles import mixed, shingle_hashes, word_hashes
@@ -54,8 +54,8 @@ class Likeness:
 BLOCK, BLOCK_SHINGLES = 128, 500_000
 #: Shingles of two blocks that are compared at once.
 COLUMNS = 2_048
-#: The ids of candidate documents are broadcast to the scan of their texts up to so many.
-BROADCAST_IDS = 1_000_000
+#: From here on, nodes are made of the keys of sets; those below are ids of documents.
+KEY_NODES = 1 << 62
 
 
 # --- signatures -------------------------------------------------------------------------------
@@ -89,7 +89,7 @@ def _signed(docs: DataFrame, text: str, like: Likeness) -> DataFrame:
         with np.errstate(over="ignore"):
             for batch in slices(batches, SLICE, "text"):
                 sets = shingle_hashes(*word_hashes(batch.column("text")), like.width)
-                keys = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets]
+                keys = [_key(x) for x in sets]
                 posts = [signature(x, scales, salts) if len(x) else x for x in sets]
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in posts])])
                 flat = np.concatenate([*posts, np.zeros(0, np.uint64)]).view(np.int64)
@@ -107,21 +107,41 @@ def _signed(docs: DataFrame, text: str, like: Likeness) -> DataFrame:
     )
 
 
+def _key(hashes: np.ndarray) -> bytes:
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
+def _key_node(set_key: str) -> Column:
+    """The node of a class that no id of a document can name: 56 bits of its key, above all ids."""
+    return F.conv(F.hex(F.substring(set_key, 1, 7)), 16, 10).cast("long") + F.lit(KEY_NODES)
+
+
 def _sets(docs: DataFrame, text: str, like: Likeness) -> DataFrame:
-    """Per document, its set of shingles as sorted 64-bit hashes."""
+    """Per row, its node and its set of shingles as sorted 64-bit hashes.
+
+    The node is the row's ``doc_id``, or made of the set where ``several`` sets go by that id.
+    """
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in slices(batches, SLICE, "text"):
                 sets = shingle_hashes(*word_hashes(batch.column("text")), like.width)
+                nodes = [
+                    KEY_NODES + int.from_bytes(_key(x)[:7], "big") if several else doc_id
+                    for x, several, doc_id in zip(
+                        sets, batch.column("several").to_pylist(), batch.column("doc_id").to_pylist()
+                    )
+                ]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "node": batch.column("node"),
+                        "node": pa.array(nodes, pa.int64()),
                         "hashes": pa.array([x.tobytes() for x in sets], pa.binary()),
                     }
                 )
 
-    return docs.select("node", c(text).alias("text")).mapInArrow(hashes, "node long, hashes binary")
+    return docs.select("doc_id", "several", c(text).alias("text")).mapInArrow(
+        hashes, "node long, hashes binary"
+    )
 
 
 # --- candidates -------------------------------------------------------------------------------
@@ -400,20 +420,29 @@ def near_duplicates(
     least ``doc_id`` that links lead to, the row's own included, and ``kept`` marks the rows whose
     ``doc_id`` that is. A text without words is linked with nothing, and neither is a row without a
     ``doc_id``, which is kept under no component. Rows that repeat a ``doc_id`` count as documents of
-    one name: they are kept or go together when their texts are alike. Shingles are compared by 64
-    mixed bits. An empty table gives an empty one; other columns are ignored.
+    one name: they are kept or go together when their texts are alike, and each of their texts is
+    linked with what is like it. Shingles are compared by 64 mixed bits. An empty table gives an empty
+    one; other columns are ignored.
     """
     spark = docs.sparkSession
     bound_batches(spark)
     scratch = Scratch(spark)
     signed = stored(_signed(docs, text, like), "signed")
     linkable = signed.where("doc_id is not null and n_shingles > 0")
+    # Ids that several sets go by; none in a sound table. They can't name a class.
+    mixed = F.min(F.xxhash64("set_key")) < F.max(F.xxhash64("set_key"))
+    shared = scratch.store(
+        linkable.groupBy("doc_id").agg(mixed.alias("several")).where("several"), "shared"
+    )
+    named = linkable.groupBy("set_key").agg(
+        F.min("doc_id").alias("doc_id"),
+        F.first("n_shingles").alias("n_shingles"),
+        F.first("posts").alias("posts"),
+    )
+    node = F.when(c("several"), _key_node("set_key")).otherwise(c("doc_id")).alias("node")
     classes = scratch.store(
-        linkable.groupBy("set_key").agg(
-            F.min("doc_id").alias("node"),
-            F.first("n_shingles").alias("n_shingles"),
-            F.first("posts").alias("posts"),
-        ),
+        named.join(shared, "doc_id", "left")
+        .select("set_key", "doc_id", node, "n_shingles", "posts"),
         "classes",
     )
     prefixes = scratch.store(_prefixes(classes, scratch, like), "prefixes")
@@ -421,12 +450,12 @@ def near_duplicates(
     signs = scratch.store(
         classes.select("node", "n_shingles", "posts").join(seekers, "node", "left_semi"), "signs"
     )
-    ids = seekers
-    if seekers.count() <= BROADCAST_IDS:
-        ids = F.broadcast(seekers)
-    named = docs.withColumn("node", c("doc_id").cast("long"))
-    # A repeated doc_id may bring several texts: its class is the one that names it.
-    texts = named.select("node", text).join(ids, "node", "left_semi")
+    # Stored, so Spark knows the size of the ids and broadcasts them only below its threshold.
+    ids = classes.join(seekers, "node", "left_semi").select("doc_id").distinct()
+    ids = scratch.store(ids, "ids")
+    texts = docs.select(c("doc_id").cast("long").alias("doc_id"), c(text).alias(text))
+    texts = texts.join(ids, "doc_id", "left_semi").join(shared, "doc_id", "left")
+    texts = texts.withColumn("several", F.coalesce("several", F.lit(False)))
     sets = scratch.store(_sets(texts, text, like).dropDuplicates(["node"]), "sets")
 
     nothing = spark.createDataFrame([], "node long, component long")
@@ -440,8 +469,14 @@ def near_duplicates(
     posted = scratch.store(_mixed_postings(prefixes, labels), "posted")
     more = scratch.store(_rest_links(posted, classes, sets, scratch, like), "more-links")
     labels = components(links.unionByName(more), scratch)
-    grouped = classes.select("set_key", "node").join(labels, "node", "left").select(
-        "set_key", F.coalesce("component", "node").alias("component")
+    grouped = classes.select("set_key", "doc_id", "node").join(labels, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+    # A component's least node is its least id, but where classes have no id for a node.
+    unnamed = grouped.where(c("node") >= KEY_NODES).groupBy("component")
+    least = scratch.store(unnamed.agg(F.min("doc_id").alias("least")), "least")
+    grouped = grouped.join(least, "component", "left").select(
+        "set_key", F.least("component", "least").alias("component")
     )
     grouped = stored(grouped, "components")
     scratch.clear()

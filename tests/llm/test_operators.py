@@ -160,6 +160,18 @@ def test_near_duplicates_of_a_drifting_group(spark, monkeypatch):
     assert near_rows(near_dups.near_duplicates(df)) == brute.near_duplicates(docs)
 
 
+def test_texts_of_one_id_are_linked_each(spark):
+    """Two texts go by the id 5 (and two by 7); each finds what is like it."""
+    draw = random.Random(6)
+    texts = [" ".join(f"{name}{draw.randint(0, 999)}" for _ in range(200)) for name in "abcd"]
+    like = [f"{x} more" for x in texts]
+    docs = [(5, texts[0]), (5, texts[1]), (9, like[0]), (11, like[1]), (7, texts[2]), (7, texts[3]),
+            (3, texts[3]), (12, like[2]), (4, like[3])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = sorted((r[0], r[1]) for r in near_dups.near_duplicates(df).select("doc_id", "component_id").collect())
+    assert found == [(3, 3), (4, 3), (5, 5), (5, 5), (7, 3), (7, 7), (9, 5), (11, 5), (12, 7)]
+
+
 # --- 3 and 4: models --------------------------------------------------------------------------
 
 
