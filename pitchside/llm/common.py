@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pitchside.session import scratch_path, stored
 
 #: Bytes of one Arrow batch, so that a run of very long texts doesn't fill a Python worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 #: The words of a text, as the contracts of the operators define them.
 WORD = r"[^\x20\x09-\x0D]+"

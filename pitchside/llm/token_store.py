@@ -373,20 +373,27 @@ def lookup(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
     )
 
 
-def read_ids(places: DataFrame, folder: str, width: int) -> DataFrame:
-    """Adds ``ids`` (the payload as stored) to rows with shard, offset and n_tokens."""
+def read_ids(places: DataFrame, folder: str, width: int, crc: bool = False) -> DataFrame:
+    """Adds ``ids`` (the payload as stored) to rows with shard, offset and n_tokens.
+
+    With ``crc`` their ``ids_crc32`` takes the place of the payload: it is found where the bytes are read,
+    so a task needs one Python worker and no payload leaves it.
+    """
     bound_batches(places.sparkSession)
-    names = places.columns
-    schema = T.StructType([*places.schema.fields, T.StructField("ids", T.BinaryType())])
+    added = T.StructField("ids_crc32", T.LongType()) if crc else T.StructField("ids", T.BinaryType())
+    names = [*places.columns, added.name]
+    schema = T.StructType([*places.schema.fields, added])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranges = Ranges(f"{folder}/shards")
         for batch in batches:
             at = [batch.column(x).to_pylist() for x in ("shard", "offset", "n_tokens")]
-            ids = [ranges.read(name, offset, n * width) for name, offset, n in zip(*at)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(ids, pa.binary())], names=[*names, "ids"]
-            )
+            ids = (ranges.read(name, offset, n * width) for name, offset, n in zip(*at))
+            if crc:
+                found = pa.array((wide_crc(x, width) for x in ids), pa.int64())
+            else:
+                found = pa.array(ids, pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=names)
         ranges.close()
 
     # Neighbours in a file are read by one task, and a large file by several.
@@ -413,13 +420,9 @@ def store_report(spark: SparkSession, folder: str, width: int) -> DataFrame:
     ).select("doc_id", "shard", "offset", "n_tokens")
     places = keyed.unionByName(others).join(starts, "shard")
 
-    @F.pandas_udf("long")
-    def crc(ids: pd.Series) -> pd.Series:
-        return pd.Series([wide_crc(x, width) for x in ids], dtype="int64")
-
-    return read_ids(places, folder, width).select(
+    return read_ids(places, folder, width, crc=True).select(
         "doc_id",
         (F.col("shard_start") + (F.col("offset") / width).cast("long")).alias("start"),
         "n_tokens",
-        crc("ids").alias("ids_crc32"),
+        "ids_crc32",
     )

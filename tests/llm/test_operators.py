@@ -108,6 +108,19 @@ def test_token_store_round_trip(spark):
     assert rows(queries.op1_token_store(spark, SF)) == wanted
 
 
+def test_token_report_needs_one_python_worker_per_task(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string")
+    folder = f"file://{tmp_path}/narrow"
+    path = public_tokenizers.path("word_bpe_49k.json")
+    token_store.write_store(docs, folder, path, end_id=2, by_word=True)
+    report = token_store.store_report(spark, folder, 2)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+    payload = token_store.read_ids(token_store.lookup(spark, folder, docs), folder, 2)
+    wanted = {row.doc_id: token_store.wide_crc(bytes(row.ids), 2) for row in payload.collect()}
+    assert {row.doc_id: row.ids_crc32 for row in report.collect()} == wanted
+
+
 def test_token_store_lookup(spark, tmp_path):
     docs = spark.createDataFrame([(i * 7, f"text {i}") for i in range(3_000)], "doc_id long, text string")
     folder = str(tmp_path / "store")
