@@ -18,7 +18,7 @@ from pitchside.operators import entities, keyed, quality  # noqa: E402
 from pitchside.operators.distinct import distinct_counts  # noqa: E402
 from pitchside.plans import batch, contracts, dimensions, facts, marts, staging  # noqa: E402
 from pitchside.schemas import RAW_POSTS  # noqa: E402
-from pitchside.session import scratch_path, stored  # noqa: E402
+from pitchside.session import appended_by, scratch_path, stored, stored_by  # noqa: E402
 from pitchside.sinks import tables as sink  # noqa: E402
 from pitchside.sinks.landing import (  # noqa: E402
     batch_file, land_batch, land_files, read_landed, with_audit,
@@ -509,22 +509,24 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merged_sums(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The sums per match of two loads, matches before 1998 and since, appended one after the other."""
     balls, matches = _balls(spark, sf_dir), _matches(spark, sf_dir)
-    early = matches.where(c("match_date") < "1998-01-01").select("match_id")
-    loads = [
-        balls.join(early, "match_id", "left_semi"), balls.join(early, "match_id", "left_anti"),
-    ]
-    found = {}
-    for name, part in marts.PARTS.items():
-        path = scratch_path(spark, name)
-        for load in loads:
-            part(load).write.mode("append").parquet(path)
-        found[name] = spark.read.parquet(path)
-    return found
+    early = matches.where(c("match_date") < "1998-01-01").select("match_id").distinct()
+    # The balls are made once for both loads and all sums, and lie by match.
+    held = balls.join(early.withColumn("early", F.lit(True)), "match_id", "left").select(
+        "match_id", "inning_number", "batting_team", "batter", "bowler", "runs_batter", "runs_total",
+        "is_four", "is_six", "is_wicket", c("early").isNotNull().alias("early"),
+    )
+    held = stored_by(held, "balls", "match_id")
+    loads = [held.where("early"), held.where("not early")]
+    return {
+        name: appended_by([part(load) for load in loads], name, "match_id")
+        for name, part in marts.PARTS.items()
+    }
 
 
 def merged_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Season marts of players, merged from the stored sums of two loads."""
-    matches, sums = _matches(spark, sf_dir), merged_sums(spark, sf_dir)
+    sums = merged_sums(spark, sf_dir)
+    matches = stored_by(_matches(spark, sf_dir).select("match_id", "season"), "seasons", "match_id")
     batting = marts.batting_of(sums["batting_innings"], matches)
     bowling = marts.bowling_of(sums["bowling_matches"], matches)
     return batting.select(

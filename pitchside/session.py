@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +57,25 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stored_by(df: DataFrame, label: str, key: str) -> DataFrame:
+    """``stored`` in buckets of ``key``, as many as there are shuffle partitions.
+
+    Joins and groupings by ``key`` read such tables without a shuffle. Rows that come dealt by ``key`` are
+    written as they are; all rows of a key lie in one bucket.
+    """
+    return appended_by([df], label, key)
+
+
+def appended_by(loads: Sequence[DataFrame], label: str, key: str) -> DataFrame:
+    """``stored_by`` of several loads of the same columns, appended one after the other."""
+    spark = loads[0].sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name, path = f"{label}_{uuid.uuid4().hex}", scratch_path(spark, label)
+    for load in loads:
+        (
+            load.repartition(buckets, key).write.mode("append").format("parquet")
+            .bucketBy(buckets, key).option("path", path).saveAsTable(name)
+        )
+    return spark.table(name)

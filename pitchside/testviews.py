@@ -78,9 +78,11 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ball per line item."""
     t = parquet_tables(spark, sf_dir, "lineitem", "orders")
-    orders = t["orders"].select("o_orderkey", "o_custkey")
-    # The big join comes first: on the bare order columns its sizes are known.
-    lines = t["lineitem"].join(orders, c("l_orderkey") == c("o_orderkey"))
+    orders = t["orders"].select("o_orderkey", "o_custkey", _text(c("o_orderkey")).alias("_order"))
+    # The big join comes first: on the bare order columns its sizes are known. It is on the id as it is
+    # given out, so that what follows by match finds the balls of a match together already.
+    lines = t["lineitem"].withColumn("match_id", _text(c("l_orderkey")))
+    lines = lines.join(orders, c("match_id") == c("_order"))
     line, part, supp = c("l_linenumber"), c("l_partkey"), c("l_suppkey")
     extra = c("l_returnflag") == "N"
     runs = c("l_quantity").cast("int") % 7
@@ -88,7 +90,7 @@ def raw_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     wicket = (c("l_returnflag") == "R") & (c("l_orderkey") % 5 == 0) & (part % 60 >= 10)
     batter = _named("Player ", supp)
     return _with_teams(lines, sf_dir).select(
-        _text(c("l_orderkey")).alias("match_id"),
+        "match_id",
         (1 + line % 2).cast("int").alias("inning_number"),
         F.when(line % 2 == 0, c("team1")).otherwise(c("team2")).alias("batting_team"),
         (line - 1).cast("int").alias("over_number"),
