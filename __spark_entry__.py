@@ -493,7 +493,9 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = quality.Measured(contracts.RULES)
 
     def keep(layer: str, name: str, df: DataFrame) -> DataFrame:
-        return stored(measured.watch(df, name), name)
+        df = measured.watch(df, name)
+        # What is joined and summed by match lies by match.
+        return stored_by(df, name, "match_id") if "match_id" in df.columns else stored(df, name)
 
     matches = keep("staging", "stg_matches", _matches(spark, sf_dir))
     balls = keep("staging", "stg_deliveries", _balls(spark, sf_dir))

@@ -157,21 +157,21 @@ def team_performance(deliveries: DataFrame, matches: DataFrame) -> DataFrame:
 
 def team_performance_of(runs: DataFrame, matches: DataFrame) -> DataFrame:
     """``team_performance`` from the rows of ``team_runs``."""
-    runs = runs.select(
-        F.col("match_id").alias("_match"), F.col("batting_team").alias("_team"), "match_runs"
+    # A match meets the list of its teams' sums, so both sides move by match alone, if they move at all.
+    sums = runs.where(F.col("match_id").isNotNull() & F.col("batting_team").isNotNull())
+    sums = sums.groupBy("match_id").agg(
+        F.collect_list(F.struct("batting_team", "match_runs")).alias("_sums")
     )
-    played = team_matches(matches)
+    keep = ["season", "match_winner", "toss_winner", "_sums"]
+    played = unpivot_roles(matches.join(sums, "match_id", "left"), ["team1", "team2"], "team_name", keep)
+    own = F.filter("_sums", lambda x: x["batting_team"] == F.col("team_name"))
     # Both sides take the season from the same match row; only a missing season never matches.
-    same = (
-        (F.col("match_id") == F.col("_match"))
-        & (F.col("team_name") == F.col("_team"))
-        & F.col("season").isNotNull()
-    )
+    own = F.when(F.col("season").isNotNull(), own)
+    played = played.select("*", F.explode_outer(own["match_runs"]).alias("match_runs"))
     won = F.col("match_winner") == F.col("team_name")
     toss = F.col("toss_winner") == F.col("team_name")
     return (
-        played.join(runs, same, "left")
-        .groupBy("team_name", "season")
+        played.groupBy("team_name", "season")
         .agg(
             F.count(F.lit(1)).alias("matches_played"),
             count_when(won).alias("matches_won"),

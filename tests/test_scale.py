@@ -45,3 +45,27 @@ def test_tables_stored_by_match_are_joined_and_summed_without_a_shuffle(spark, n
     assert moves(joined) == 0
     wanted = sum(k == key for k, _ in rows if k for key, _ in seasons)
     assert joined.count() == wanted
+
+
+def test_team_runs_join_by_match(spark, no_broadcast):
+    matches = spark.createDataFrame(
+        [("1", "2020", "A", "B", "A", "A"), ("2", "2020", "A", "C", None, "C"),
+         ("3", None, "A", "B", "B", "B"), ("4", "2020", "A", None, "A", "A"),
+         (None, "2020", "A", "B", "B", "A")],
+        "match_id string, season string, team1 string, team2 string, match_winner string,"
+        " toss_winner string",
+    )
+    runs = spark.createDataFrame(
+        [("1", "A", 10), ("1", "B", 20), ("2", "A", 40), ("3", "A", 50), ("4", None, 60), (None, "A", 70),
+         ("2", "A", 5)],
+        "match_id string, batting_team string, match_runs long",
+    )
+    found = {
+        (r.team_name, r.season): (r.matches_played, r.avg_runs_per_match)
+        for r in marts.team_performance_of(runs, matches).collect()
+    }
+    # A match with two sums of a team counts twice, as a join has it.
+    assert found == {
+        ("A", "2020"): (5, 18.33), ("B", "2020"): (2, 20.0), ("C", "2020"): (1, None),
+        (None, "2020"): (1, None), ("A", None): (1, None), ("B", None): (1, None),
+    }
