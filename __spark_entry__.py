@@ -168,17 +168,21 @@ def insert_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(existing.unionByName(new))
 
 
-def _loaded_and_reloaded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+LOADED = ["match_id", "inning_number", "over_number", "ball_number", "batter", "bowler",
+          "runs_batter", "runs_total"]
+
+
+def _loaded_and_reloaded(
+    spark: SparkSession, sf_dir: str, balls: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """All balls, and those since 1997 again without their wicket balls."""
     dates = views.raw_matches(spark, sf_dir).select("match_id", "match_date")
-    balls = views.raw_deliveries(spark, sf_dir)
-    columns = ["match_id", "inning_number", "over_number", "ball_number", "batter", "bowler",
-               "runs_batter", "runs_total"]
+    balls = views.raw_deliveries(spark, sf_dir) if balls is None else balls
     again = balls.join(dates, "match_id").where(
         (c("match_date") >= "1997-01-01") & ~c("is_wicket")
     )
-    existing = balls.select(*columns, F.lit("first load").alias("load"))
-    return existing, again.select(*columns, F.lit("reloaded").alias("load"))
+    existing = balls.select(*LOADED, F.lit("first load").alias("load"))
+    return existing, again.select(*LOADED, F.lit("reloaded").alias("load"))
 
 
 def replace_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,7 +261,9 @@ def load_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_replacing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``replace_by_key`` as a stored table, loaded in two steps and read back."""
-    existing, incoming = _loaded_and_reloaded(spark, sf_dir)
+    # Both loads read the balls, which are made once and lie by match.
+    balls = views.raw_deliveries(spark, sf_dir).select(*LOADED, "is_wicket")
+    existing, incoming = _loaded_and_reloaded(spark, sf_dir, stored_by(balls, "balls", "match_id"))
     name = _new_table(spark, "replaced", existing.schema, bucketed=True)
     for load in (existing, incoming):
         sink.load_replacing(load, "raw", name, ["match_id"], 8)

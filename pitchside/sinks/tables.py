@@ -7,10 +7,10 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import (
-    Column, DataFrame, Observation, SparkSession, functions as F, types as T,
+    Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T,
 )
 
-from pitchside.operators.keyed import insert_new_keys, replace_by_key, upsert_by_key
+from pitchside.operators.keyed import insert_new_keys, upsert_by_key
 from pitchside.session import stored
 from pitchside.sinks.redo import Redo
 from pitchside.sources.tables import read_table, table_name
@@ -132,8 +132,9 @@ def load_replacing(
 
     Rows of keys that the table does not hold are appended. Only the storage buckets of held keys
     are rewritten; each then holds an incoming row, so the dynamic overwrite reaches it. The
-    rebalance splits a bucket that a hot key has made large. An overwrite that a crash has cut short
-    is finished first, and keys of an append that was cut short are held when it runs again.
+    incoming rows are laid out by bucket as they are stored, where the rebalance splits a bucket that a
+    hot key has made large; only where some of their keys are held and some are not, they move again. An overwrite that a crash has cut short is finished first, and keys of an append that was cut
+    short are held when it runs again.
     """
     spark = incoming.sparkSession
     target = table_name(layer, name)
@@ -144,22 +145,42 @@ def load_replacing(
             contents["content"].write.mode("overwrite").insertInto(target)
 
     redo.finish(apply)
-    incoming = stored(incoming.withColumn(BUCKET, key_bucket(keys, buckets)), "incoming")
+    incoming = incoming.withColumn(BUCKET, key_bucket(keys, buckets))
+    incoming = stored(incoming.hint("rebalance", BUCKET), "incoming")
     table = read_table(spark, layer, name)
     bucketed_keys = [*keys, BUCKET]
     in_reach = table.where(F.col(BUCKET).isin(_buckets(incoming)))
-    held = in_reach.select(*bucketed_keys).join(
-        incoming.select(*bucketed_keys).distinct(), bucketed_keys, "left_semi"
-    )
+    wanted = stored(incoming.select(*bucketed_keys).distinct(), "wanted")
+    held = in_reach.select(*bucketed_keys).join(wanted, bucketed_keys, "left_semi")
     held = stored(held.distinct(), "held")
     rewritten = _buckets(held)
+    all_held = held.count() == wanted.count()
+    known, unknown = incoming, incoming
+    if rewritten and not all_held:
+        known = incoming.join(held, bucketed_keys, "left_semi").hint("rebalance", BUCKET)
+        unknown = incoming.join(held, bucketed_keys, "left_anti").hint("rebalance", BUCKET)
     if rewritten:
-        known = incoming.join(held, bucketed_keys, "left_semi")
         existing = table.where(F.col(BUCKET).isin(rewritten))
-        content = replace_by_key(existing, known, keys).select(*table.columns)
-        redo.run({"content": content.hint("rebalance", BUCKET)}, apply)
-    unknown = incoming.join(held, bucketed_keys, "left_anti").select(*table.columns)
-    unknown.hint("rebalance", BUCKET).write.mode("append").insertInto(target)
+        kept = _without(existing, held, keys, len(rewritten))
+        redo.run({"content": kept.unionByName(known.select(*table.columns))}, apply)
+    if not all_held:
+        unknown.select(*table.columns).write.mode("append").insertInto(target)
+
+
+def _without(existing: DataFrame, held: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Rows of so many storage buckets without the ``held`` keys, by one shuffle that leaves few buckets
+    to a task.
+
+    A bucket is cut into slots by its keys, so that there are as many of them as shuffle partitions.
+    """
+    slots = max(1, int(existing.sparkSession.conf.get("spark.sql.shuffle.partitions")) // buckets)
+    slot = F.pmod(F.shiftright(F.xxhash64(*keys), 32), F.lit(slots)).alias("_slot")
+    rows = existing.select("*", F.lit(False).alias("_gone"), slot).unionByName(
+        held.select("*", F.lit(True).alias("_gone"), slot), allowMissingColumns=True
+    )
+    of_key = Window.partitionBy(BUCKET, "_slot", *keys)
+    marked = rows.repartition(BUCKET, "_slot").withColumn("_gone", F.max("_gone").over(of_key))
+    return marked.where(~F.col("_gone")).select(*existing.columns)
 
 
 def _buckets(df: DataFrame) -> list[int]:

@@ -69,3 +69,18 @@ def test_team_runs_join_by_match(spark, no_broadcast):
         ("A", "2020"): (5, 18.33), ("B", "2020"): (2, 20.0), ("C", "2020"): (1, None),
         (None, "2020"): (1, None), ("A", None): (1, None), ("B", None): (1, None),
     }
+
+
+@pytest.mark.parametrize("come", [["a", "b", "c"], ["a", "x"], ["x", "y"], ["a", None]])
+def test_replaced_rows_by_what_is_held(spark, come):
+    schema = "k string, n int"
+    name = "scaled_" + "_".join(map(str, come)).lower()
+    before = [(k, i) for i, k in enumerate(["a", "a", "b", "c", "d", None])]
+    after = [(k, 100 + i) for i, k in enumerate(come + come)]
+    sink.create_if_absent(spark, "raw", name, spark.createDataFrame([], schema).schema, bucketed=True)
+    for rows in (before, after):
+        sink.load_replacing(spark.createDataFrame(rows, schema), "raw", name, ["k"], 3)
+    gone = {k for k in come if k}
+    wanted = [r for r in before if r[0] not in gone] + after
+    found = [(r.k, r.n) for r in spark.table(f"raw.{name}").collect()]
+    assert sorted(found, key=str) == sorted(wanted, key=str)
