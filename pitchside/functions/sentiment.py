@@ -5,6 +5,9 @@ carries its neighbours, and the rules of Hutto and Gilbert (ICWSM 2014) work on
 are a fold that walks outwards from the word: each neighbour that is no lexicon word itself first adds
 its degree, then its negation turns what has come together so far. So the only shuffle is the final sum
 per text, which is reduced in each task first.
+
+Words outside the lexicon have no valence, whatever stands around them. With rules they are only counted,
+and leave after the first lookup; a text without lexicon words still has its row.
 """
 
 from __future__ import annotations
@@ -263,9 +266,11 @@ def score_text(
             # Facts about the whole text, found once per text and not once per word.
             .withColumn("mixed_case", (upper > 0) & (upper < F.size(words)))
             .withColumn("contrast_at", contrast.cast("int") - 1)
+            .withColumn("text_words", F.size(F.filter(words, lambda word: word != "")))
             .select(
                 "_id",
                 "emphasis",
+                "text_words",
                 "mixed_case",
                 "contrast_at",
                 F.explode(F.transform(words, _with_neighbours(words))).alias("w"),
@@ -279,21 +284,28 @@ def score_text(
     lookup = lexicon.select(F.col("token").alias("_token"), F.col("valence").cast("double"))
     valued = worded.join(lookup, F.lower("w.word") == F.col("_token"), "left")
     if rules:
+        # The first word of a text stays for the text, and counts all its words.
+        first = F.col("w.at") == 0
+        valued = valued.where(F.col("valence").isNotNull() | first)
         valued = _with_known_neighbours(valued, lookup, rules)
+        counts = F.when(first, F.col("text_words")).otherwise(0)
+    else:
+        counts = F.when(F.col("w.word") != "", 1).otherwise(0)
     valued = valued.select(
         "_id",
         "emphasis",
         (F.col("w.word") != "").alias("is_word"),
+        counts.alias("words"),
         F.coalesce(_in_context(rules) if rules else F.col("valence"), F.lit(0.0)).alias("v"),
     )
     v = F.col("v")
     sums = valued.groupBy("_id").agg(
-        F.count_if("is_word").alias("n_words"),
+        F.sum("words").alias("n_words"),
         F.max("emphasis").alias("emphasis"),
         F.sum(v).alias("total"),
         F.sum(F.when(v > 0, v + 1).otherwise(0.0)).alias("up"),
         F.sum(F.when(v < 0, v - 1).otherwise(0.0)).alias("down"),
-        F.count_if(F.col("is_word") & (v == 0)).alias("flat"),
+        F.count_if(F.col("is_word") & (v != 0)).alias("moved"),
     )
 
     total, up, down, emphasis = (F.col(c) for c in ("total", "up", "down", "emphasis"))
@@ -305,7 +317,7 @@ def score_text(
         F.round(amplified / F.sqrt(amplified * amplified + F.lit(alpha)), 4).alias("compound"),
         (up + F.when(balance > 0, emphasis).otherwise(0.0)).alias("up"),
         F.abs(down - F.when(balance < 0, emphasis).otherwise(0.0)).alias("down"),
-        F.col("flat").cast("double").alias("flat"),
+        (F.col("n_words") - F.col("moved")).cast("double").alias("flat"),
     )
     some = F.col("n_words") > 0
     mass = F.col("up") + F.col("down") + F.col("flat")

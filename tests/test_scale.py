@@ -84,3 +84,17 @@ def test_replaced_rows_by_what_is_held(spark, come):
     wanted = [r for r in before if r[0] not in gone] + after
     found = [(r.k, r.n) for r in spark.table(f"raw.{name}").collect()]
     assert sorted(found, key=str) == sorted(wanted, key=str)
+
+
+def test_only_lexicon_words_meet_the_rules(spark):
+    lexicon = spark.createDataFrame([("good", 2.0)], "token string, valence double")
+    texts = spark.createDataFrame(
+        [(1, "plain words alone"), (2, "a good day"), (3, ""), (2, "not good")], "id int, text string"
+    )
+    scored = score_text(texts, "id", "text", lexicon, rules=Rules())
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "(isnotnull(valence" in plan or "Filter (isnotnull" in plan
+    rows = {r.id: r for r in scored.collect()}
+    assert rows[1].sentiment_neutral == 1.0 and rows[3].sentiment_neutral is None
+    # Texts that share an id are one text of five words, of which two have a valence.
+    assert rows[2].sentiment_positive == round(3 / (3 + 2.48 + 3), 3)
