@@ -28,6 +28,9 @@ c = F.col
 #: Windows in a block, and bytes of text that a task takes at once.
 BLOCK = 16_384
 SLICE = 2 << 20
+#: Bytes of text whose q-grams are hashed at once, and hits of windows that are counted at once; those
+#: of one text always are.
+PIECE, HITS = 1 << 17, 1 << 17
 #: Regions aligned at once.
 ALIGNED = 8_192
 
@@ -85,8 +88,9 @@ def normal(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     firsts = offsets[:-1][offsets[:-1] < total]
     keep[firsts] = True
     keep[firsts[space[firsts]]] = False
-    kept = np.concatenate([[0], np.cumsum(keep)])
-    return raw[keep], kept[offsets]
+    cuts = offsets.tolist()
+    lengths = [np.count_nonzero(keep[a:b]) for a, b in zip(cuts, cuts[1:])]
+    return raw[keep], np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
 
 
 def q_grams(data: np.ndarray, q: int) -> np.ndarray:
@@ -188,29 +192,48 @@ class Index:
         out: list[set[int]] = [set() for _ in range(len(upto) - 1)]
         if not len(self.known):
             return out
-        hashes = q_grams(data, self.budget.q)
-        at = np.flatnonzero(self.there[hashes >> self.bits])
-        rank = np.searchsorted(self.known, hashes[at])
-        rank[rank == len(self.known)] = 0
-        real = self.known[rank] == hashes[at]
-        at, rank = at[real], rank[real]
+        at, rank = self._known(data)
         text = np.searchsorted(upto, at, "right") - 1
         inside = at + self.budget.q <= upto[text + 1]
         at, rank, text = at[inside], rank[inside], text[inside]
-        if not len(at):
-            return out
-        # A hit for each window that holds the q-gram.
+        hits = np.cumsum(self.count[rank])
+        begin = 0
+        while begin < len(at):
+            before = hits[begin] - self.count[rank[begin]]
+            end = int(np.searchsorted(hits, before + HITS, "right"))
+            if end < len(at):
+                # The hits of a text stay together.
+                end = int(np.searchsorted(text, text[end]))
+                if end <= begin:
+                    end = int(np.searchsorted(text, text[begin], "right"))
+            regions = self._hit(at[begin:end], rank[begin:end], text[begin:end])
+            for first in range(0, len(regions[0]), ALIGNED):
+                some = [x[first : first + ALIGNED] for x in regions]
+                for i, window in zip(*self._aligned(data, upto, *some)):
+                    out[i].add(int(self.items[window]))
+            begin = end
+        return out
+
+    def _known(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the q-grams of windows lie in the bytes, and which these are."""
+        places, ranks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for begin in range(0, len(data) - self.budget.q + 1, PIECE):
+            hashes = q_grams(data[begin : begin + PIECE + self.budget.q - 1], self.budget.q)
+            at = np.flatnonzero(self.there[hashes >> self.bits])
+            rank = np.searchsorted(self.known, hashes[at])
+            rank[rank == len(self.known)] = 0
+            real = self.known[rank] == hashes[at]
+            places.append(at[real] + begin)
+            ranks.append(rank[real])
+        return np.concatenate(places), np.concatenate(ranks)
+
+    def _hit(self, at, rank, text) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The regions of these q-grams: each is a hit for every window that holds it."""
         times = self.count[rank]
         nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         posting = np.repeat(self.first[rank], times) + nth
-        owner, text = self.owners[posting], np.repeat(text, times)
         diagonal = np.repeat(at, times) - self.places[posting]
-        regions = self._regions(text, owner, diagonal)
-        for begin in range(0, len(regions[0]), ALIGNED):
-            some = [x[begin : begin + ALIGNED] for x in regions]
-            for i, window in zip(*self._aligned(data, upto, *some)):
-                out[i].add(int(self.items[window]))
-        return out
+        return self._regions(np.repeat(text, times), self.owners[posting], diagonal)
 
     def _regions(self, text, owner, diagonal) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, window and first diagonal of the bands with q-grams enough.

@@ -32,7 +32,7 @@ from pitchside.llm.shingles import mixed, shingle_hashes, word_hashes
 c = F.col
 
 #: Bytes of text that a task hashes at once.
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 
 @dataclass(frozen=True)

@@ -10,6 +10,8 @@ import pyarrow as pa
 #: An odd multiplier, so that its powers have inverses modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
+#: Bytes of text whose sums are held at once.
+PIECE = 1 << 17
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -42,6 +44,39 @@ LETTERS = _letters()
 SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
+def _sums(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Of each word, the sum of its letters, each times the base to the power of its place.
+
+    Words are summed by pieces of the text; one longer than a piece is summed alone, piece by piece. So
+    memory goes by the piece, however long the texts are.
+    """
+    up, down = _powers(PIECE)
+
+    def weighed(begin: int, end: int) -> np.ndarray:
+        return (LETTERS[raw[begin:end]].astype(np.uint64) + np.uint64(1)) * up[: end - begin]
+
+    out = np.empty(len(begins), np.uint64)
+    word = 0
+    while word < len(begins):
+        first = int(begins[word])
+        after = int(np.searchsorted(ends, first + PIECE, "right"))
+        if after > word:
+            some, last = slice(word, after), int(ends[after - 1])
+            sums = np.zeros(last - first + 1, np.uint64)
+            np.cumsum(weighed(first, last), out=sums[1:])
+            begin, end = begins[some] - first, ends[some] - first
+            out[some] = (sums[end] - sums[begin]) * down[begin]
+            word = after
+        else:
+            total, last = 0, int(ends[word])
+            for at in range(first, last, PIECE):
+                part = weighed(at, min(at + PIECE, last)).sum(dtype=np.uint64)
+                total += int(part) * pow(BASE, at - first, 1 << 64)
+            out[word] = np.uint64(total % (1 << 64))
+            word += 1
+    return out
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word of each text (null: no words), and the words before each text.
 
@@ -68,13 +103,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     cuts = offsets[(offsets > 0) & (offsets <= total)] - 1
     before[cuts] = True
     ends = np.flatnonzero(~space & before) + 1
-    size = max(1 << 20, 1 << int(total).bit_length())
-    up, down = _powers(size)
-    sums = np.empty(total + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum((LETTERS[raw].astype(np.uint64) + np.uint64(1)) * up[:total], out=sums[1:])
-    words = mixed((sums[ends] - sums[begins]) * down[begins])
-    return words, np.searchsorted(begins, offsets)
+    return mixed(_sums(raw, begins, ends)), np.searchsorted(begins, offsets)
 
 
 def shingle_hashes(words: np.ndarray, upto: np.ndarray, width: int) -> list[np.ndarray]:

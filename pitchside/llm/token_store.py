@@ -36,7 +36,7 @@ SEGMENT_KEYS = 1_024
 BITS_PER_KEY = 2.0
 MOST_LEVELS = 48
 #: Words of a generation that a worker remembers; of those before, it remembers one generation.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 #: A word a worker remembers has at most so many code points; longer ones are encoded each time.
 WORD_KEPT_CHARS = 64
 
